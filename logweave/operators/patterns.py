@@ -102,8 +102,11 @@ def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions:
         out = f.join(s, cond, "inner").select(*keys, "first", "second")
     else:
         cand = base if pattern.contiguity == "strict" else base.where(F.col("is_first") | F.col("is_second"))
+        # the records travel with the scan as JSON text (only for rows that can be in a match),
+        # so no join back on seq is needed
+        rec_type = base.schema["rec"].dataType
+        cand = cand.withColumn("payload", F.when(F.col("is_first") | F.col("is_second"), F.to_json("rec")))
         pairs = next_match(cand, keys, pattern.contiguity, w, num_partitions)
-        firsts = base.where("is_first").select(F.col("seq").alias("seq1"), F.col("rec").alias("first"))
-        seconds = base.where("is_second").select(F.col("seq").alias("seq2"), F.col("rec").alias("second"))
-        out = pairs.join(firsts, "seq1").join(seconds, "seq2").select(*keys, "first", "second")
+        out = pairs.select(*keys, F.from_json("p1", rec_type).alias("first"),
+                           F.from_json("p2", rec_type).alias("second"))
     return out.withColumn("alert_name", F.lit(pattern.name))

@@ -33,6 +33,7 @@ def _out_schema(key_fields: list[T.StructField]) -> T.StructType:
         [T.StructField("kind", T.StringType()), T.StructField("pid", T.IntegerType())]
         + key_fields
         + [T.StructField(n, T.LongType()) for n in ("seq1", "t1", "seq2", "t2")]
+        + [T.StructField("p1", T.StringType()), T.StructField("p2", T.StringType())]
         + [T.StructField("found", T.BooleanType()), T.StructField("only_key", T.BooleanType())]
     )
 
@@ -49,7 +50,7 @@ def _segments(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
 
 
 def _rows(kind: str, pid: int, keys: list[str], kdf: pd.DataFrame, seq1=None, t1=None, seq2=None, t2=None,
-          found=None, only_key=None) -> pd.DataFrame:
+          p1=None, p2=None, found=None, only_key=None) -> pd.DataFrame:
     n = len(kdf)
     out = {"kind": [kind] * n, "pid": np.full(n, pid, dtype=np.int32)}
     for k in keys:
@@ -59,6 +60,9 @@ def _rows(kind: str, pid: int, keys: list[str], kdf: pd.DataFrame, seq1=None, t1
     out["t1"] = none if t1 is None else t1
     out["seq2"] = none if seq2 is None else seq2
     out["t2"] = none if t2 is None else t2
+    nos = np.full(n, None, dtype=object)
+    out["p1"] = nos if p1 is None else p1
+    out["p2"] = nos if p2 is None else p2
     nob = pd.array([None] * n, dtype="boolean")
     out["found"] = nob if found is None else found
     out["only_key"] = nob if only_key is None else only_key
@@ -66,7 +70,7 @@ def _rows(kind: str, pid: int, keys: list[str], kdf: pd.DataFrame, seq1=None, t1
 
 
 def _scan_factory(keys: list[str], mode: str, within_ms: int):
-    cols = keys + ["t", "seq", "is_first", "is_second"]
+    cols = keys + ["t", "seq", "is_first", "is_second", "payload"]
 
     def scan(batches):
         from pyspark import TaskContext
@@ -85,9 +89,9 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
                 head_key = tuple(first[k].iloc[0] for k in keys)
                 if mode == "strict":
                     head = dict(kdf=first, seq2=first["seq"].to_numpy(), t2=first["t"].to_numpy(),
-                                found=first["is_second"].to_numpy().astype(bool))
+                                p2=first["payload"].to_numpy(), found=first["is_second"].to_numpy().astype(bool))
                 else:
-                    head = dict(kdf=first, seq2=None, t2=None, found=False)
+                    head = dict(kdf=first, seq2=None, t2=None, p2=None, found=False)
             # next mode: the first key's earliest candidate, and whether the slice holds other keys
             if mode == "next" and not head["found"]:
                 same = np.ones(len(pdf), dtype=bool)
@@ -98,7 +102,8 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
                 cand = np.flatnonzero(same & pdf["is_second"].to_numpy().astype(bool))
                 if len(cand):
                     j = cand[0]
-                    head.update(seq2=pdf["seq"].to_numpy()[j:j + 1], t2=pdf["t"].to_numpy()[j:j + 1], found=True)
+                    head.update(seq2=pdf["seq"].to_numpy()[j:j + 1], t2=pdf["t"].to_numpy()[j:j + 1],
+                                p2=pdf["payload"].to_numpy()[j:j + 1], found=True)
             if carry is not None and len(carry):
                 pdf = pd.concat([carry, pdf], ignore_index=True)
             else:
@@ -109,10 +114,11 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
             seq = pdf["seq"].to_numpy(dtype=np.int64)
             is_first = pdf["is_first"].to_numpy().astype(bool)
             is_second = pdf["is_second"].to_numpy().astype(bool)
+            pay = pdf["payload"].to_numpy()
             if mode == "strict":
                 i = np.flatnonzero(is_first[:-1] & is_second[1:] & (seg[:-1] == seg[1:]) & (t[1:] - t[:-1] < within_ms))
                 if len(i):
-                    yield _rows(PAIR, pid, keys, pdf.iloc[i], seq[i], t[i], seq[i + 1], t[i + 1])
+                    yield _rows(PAIR, pid, keys, pdf.iloc[i], seq[i], t[i], seq[i + 1], t[i + 1], pay[i], pay[i + 1])
                 carry = pdf.iloc[[n - 1]]
             else:
                 s_pos = np.flatnonzero(is_second)
@@ -128,7 +134,8 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
                 jj = j[same]
                 ok = t[jj] - t[hit] < within_ms
                 if ok.any():
-                    yield _rows(PAIR, pid, keys, pdf.iloc[hit[ok]], seq[hit[ok]], t[hit[ok]], seq[jj[ok]], t[jj[ok]])
+                    a, b = hit[ok], jj[ok]
+                    yield _rows(PAIR, pid, keys, pdf.iloc[a], seq[a], t[a], seq[b], t[b], pay[a], pay[b])
                 # unmatched firsts of the last key stay open unless already out of the time bound
                 rest = f_pos[~same]
                 rest = rest[(seg[rest] == seg[n - 1]) & (t[n - 1] - t[rest] < within_ms)]
@@ -140,51 +147,55 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
                 carry = carry[carry["is_first"].astype(bool)]
             if len(carry):
                 yield _rows(OPEN, pid, keys, carry, carry["seq"].to_numpy(dtype=np.int64),
-                            carry["t"].to_numpy(dtype=np.int64))
+                            carry["t"].to_numpy(dtype=np.int64), p1=carry["payload"].to_numpy())
         found = np.array([bool(head["found"]) if mode == "next" else bool(head["found"][0])])
         seq2 = head["seq2"] if head["seq2"] is not None else pd.array([None], dtype="Int64")
         t2 = head["t2"] if head["t2"] is not None else pd.array([None], dtype="Int64")
-        yield _rows(HEAD, pid, keys, head["kdf"], seq2=seq2, t2=t2, found=found, only_key=np.array([only_key]))
+        yield _rows(HEAD, pid, keys, head["kdf"], seq2=seq2, t2=t2, p2=head["p2"], found=found,
+                    only_key=np.array([only_key]))
 
     return scan
 
 
 def next_match(df: DataFrame, keys: list[str], mode: str, within_ms: int,
                num_partitions: int | None = None) -> DataFrame:
-    """Pairs ``(keys, seq1, t1, seq2, t2)`` for the ordered scan described above.
+    """Pairs ``(keys, seq1, t1, p1, seq2, t2, p2)`` for the ordered scan described above.
 
-    ``df`` has ``keys``, ``t`` (epoch ms, long), ``seq`` (long, unique) and the
-    boolean columns ``is_first`` and ``is_second``; rows with null keys must be
-    removed by the caller.
+    ``df`` has ``keys``, ``t`` (epoch ms, long), ``seq`` (long, unique), the
+    boolean columns ``is_first`` / ``is_second`` and ``payload`` (text carried
+    along for rows that may be part of a match, null otherwise). Rows with null
+    keys must be removed by the caller.
     """
     if mode not in ("strict", "next"):
         raise ValueError(f"mode must be 'strict' or 'next', not {mode!r}")
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    slim = df.select(*keys, "t", "seq", "is_first", "is_second")
+    slim = df.select(*keys, "t", "seq", "is_first", "is_second", "payload")
     key_fields = [slim.schema[k] for k in keys]
     order = [*keys, "t", "seq"]
     ranged = slim.repartitionByRange(n, *order).sortWithinPartitions(*order)
     scanned = ranged.mapInPandas(_scan_factory(keys, mode, within_ms), _out_schema(key_fields))
-    # one small exchange so the three consumers below share a single scan
-    scanned = scanned.repartition(n, "pid")
 
-    pairs = scanned.where(F.col("kind") == PAIR).select(*keys, "seq1", "t1", "seq2", "t2")
-    heads = scanned.where(F.col("kind") == HEAD)
-    opens = scanned.where(F.col("kind") == OPEN).select("pid", *keys, "seq1", "t1")
-
-    # Resolve each slice's open rows against the nearest later slice that is not
-    # "transparent" (a slice of one key with no candidate, in next mode).
+    # Cross-slice resolution in the same pass: pairs stay spread by slice; the open
+    # rows and the head rows (one per slice) share one group, ordered by slice
+    # descending, where each open row picks up the nearest later slice's head that
+    # is not "transparent" (next mode: a slice of one key with no candidate).
+    kind = F.col("kind")
     transparent = F.col("only_key") & ~F.col("found") if mode == "next" else F.lit(False)
-    nxt = F.struct(*[F.col(k).alias(f"k_{k}") for k in keys], "found", "seq2", "t2")
-    w = Window.orderBy(F.col("pid").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    resolved = heads.select("pid", F.last(F.when(~transparent, nxt), ignorenulls=True).over(w).alias("nx"))
-    # one row per partition: a size bounded by the partition count, safe to broadcast
-    joined = opens.join(F.broadcast(resolved), "pid")
+    nxt = F.struct(*[F.col(k).alias(f"k_{k}") for k in keys], "found", "seq2", "t2", "p2")
+    g = F.when(kind == PAIR, F.col("pid")).otherwise(F.lit(-1))
+    w = (Window.partitionBy("g").orderBy(F.col("pid").desc(), F.col("rank"))
+         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    windowed = scanned.select("*", g.alias("g"), F.when(kind == HEAD, 1).otherwise(0).alias("rank")) \
+        .select("*", F.last(F.when((kind == HEAD) & ~transparent, nxt), ignorenulls=True).over(w).alias("nx"))
     same_key = F.lit(True)
     for k in keys:
         same_key = same_key & (F.col(f"nx.k_{k}") == F.col(k))
-    crossing = joined.where(F.col("nx").isNotNull() & same_key & F.col("nx.found")
-                            & (F.col("nx.t2") - F.col("t1") < within_ms)) \
-        .select(*keys, "seq1", "t1", F.col("nx.seq2").alias("seq2"), F.col("nx.t2").alias("t2"))
-    return pairs.unionByName(crossing)
+    crossing = ((kind == OPEN) & F.col("nx").isNotNull() & same_key & F.col("nx.found")
+                & (F.col("nx.t2") - F.col("t1") < within_ms))
+    is_pair = kind == PAIR
+    return windowed.where(is_pair | crossing).select(
+        *keys, "seq1", "t1", "p1",
+        F.when(is_pair, F.col("seq2")).otherwise(F.col("nx.seq2")).alias("seq2"),
+        F.when(is_pair, F.col("t2")).otherwise(F.col("nx.t2")).alias("t2"),
+        F.when(is_pair, F.col("p2")).otherwise(F.col("nx.p2")).alias("p2"))

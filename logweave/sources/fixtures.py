@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logweave.functions._util import literal_map
 from logweave.schema import SEVERITY_CODES
+from logweave.sources.balance import rebalance_if_narrow
 
 # Fixed values of the adapter.
 EVENT_LEVELS = {"error": "ERROR", "view": "WARNING", "click": "INFO", "signup": "NOTICE", "purchase": "DEBUG"}
@@ -79,5 +80,5 @@ def events_to_lines(events: DataFrame) -> DataFrame:
 
 def read_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read ``events.parquet`` under ``sf_dir`` and adapt it to syslog lines."""
-    events = spark.read.parquet(f"{sf_dir}/events.parquet")
-    return events_to_lines(events)
+    events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
+    return events_to_lines(rebalance_if_narrow(events))
