@@ -1,0 +1,106 @@
+"""Streaming job: parse -> four tables per micro-batch, and the alert stream (STR1-STR9, SNK1-SNK5).
+
+The table query writes every accepted row (late or not: no watermark before
+the append sinks) through ``foreachBatch``; each micro-batch is persisted
+once, written to the four tables and the quarantine, then released. ``now``
+is taken once per micro-batch, so the period test and the TTL agree. Writes
+are keyed by batch id, so a replayed batch overwrites itself.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+import time
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.streaming import StreamingQuery
+from pyspark.errors import StreamingQueryException
+
+from logweave.operators.parse import accepted_entries, parse_entries, validate
+from logweave.operators.patterns import SequencePattern, correlated_create_vm
+from logweave.operators.views import Placement, node_rows, raw_rows, service_rows, stack_rows
+from logweave.session import ensure_checkpoint_dir
+from logweave.sinks.writers import TABLE_PARTITIONS, alerts_to_text, write_micro_batch
+from logweave.streaming.matcher import match_sequence_stream
+
+
+def _checkpoint(df: DataFrame, name: str, location: str | None) -> str:
+    return location or f"{ensure_checkpoint_dir(df.sparkSession)}/streams/{name}"
+
+
+def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None = None, parse_body: bool = True,
+                        place: Placement = Placement(), trigger_ms: int | None = None,
+                        query_name: str = "logweave_tables", available_now: bool = False) -> StreamingQuery:
+    v = validate(parse_entries(lines, parse_body))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+        batch.persist()
+        try:
+            accepted = batch.where(F.col("reject_reason").isNull()).drop("raw_value", "json_error", "reject_reason")
+            tables = {
+                "node_rows": node_rows(accepted, now, place),
+                "service_rows": service_rows(accepted, now, place),
+                "stack_rows": stack_rows(accepted, now, place),
+                "raw_rows": raw_rows(accepted, place),
+            }
+            for name, df in tables.items():
+                write_micro_batch(df, f"{out_path}/{name}", batch_id, TABLE_PARTITIONS[name])
+            q = batch.where(F.col("reject_reason").isNotNull()).select("seq", "raw_value", "reject_reason")
+            write_micro_batch(q, f"{out_path}/quarantine", batch_id)
+        finally:
+            batch.unpersist()
+
+    w = v.writeStream.queryName(query_name).foreachBatch(write) \
+        .option("checkpointLocation", _checkpoint(v, query_name, checkpoint))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger_ms:
+        w = w.trigger(processingTime=f"{int(trigger_ms)} milliseconds")
+    return w.start()
+
+
+def alerts_stream(lines: DataFrame, pattern: SequencePattern | None = None, parse_body: bool = True,
+                  delay_s: int = 0) -> DataFrame:
+    accepted = accepted_entries(lines, parse_body)
+    return match_sequence_stream(accepted, pattern or correlated_create_vm(), delay_s)
+
+
+def start_alerts_stream(lines: DataFrame, sink: str, path_or_topic: str, pattern: SequencePattern | None = None,
+                        parse_body: bool = True, delay_s: int = 0, checkpoint: str | None = None,
+                        options: dict | None = None, query_name: str = "logweave_alerts",
+                        trigger_ms: int | None = None) -> StreamingQuery:
+    """Alert text to ``sink``: ``"kafka"`` (topic), ``"text"`` / ``"json"`` (path) or ``"memory"`` (query name)."""
+    text = alerts_to_text(alerts_stream(lines, pattern, parse_body, delay_s))
+    w = text.writeStream.queryName(query_name).outputMode("append") \
+        .option("checkpointLocation", _checkpoint(text, query_name, checkpoint))
+    for k, v in (options or {}).items():
+        w = w.option(k, v)
+    if trigger_ms:
+        w = w.trigger(processingTime=f"{int(trigger_ms)} milliseconds")
+    if sink == "kafka":
+        return w.format("kafka").option("topic", path_or_topic).start()
+    if sink == "memory":
+        return w.format("memory").start()
+    return w.format(sink).start(path_or_topic)
+
+
+def run_with_restarts(start: Callable[[], StreamingQuery], attempts: int = 3, delay_s: float = 600.0,
+                      sleep: Callable[[float], None] = time.sleep) -> StreamingQuery:
+    """Fixed-delay restart (STR8): restart a failed query up to ``attempts`` times.
+
+    Recovery resumes from the query's checkpoint (offsets and state), so a
+    restart neither loses nor repeats committed micro-batches.
+    """
+    failures = 0
+    while True:
+        q = start()
+        try:
+            q.awaitTermination()
+            return q
+        except StreamingQueryException:
+            failures += 1
+            if failures > attempts:
+                raise
+            sleep(delay_s)
