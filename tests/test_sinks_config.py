@@ -1,0 +1,97 @@
+"""Writers, table specs, sources and configuration (SNK1-SNK11, SRC3-SRC7, CFG1-CFG4, UDF2)."""
+
+import tempfile
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from logweave.config import PipelineConfig, get_value, parse_args
+from logweave.plans.pipeline import build, run_batch
+from logweave.sinks.writers import write_keyed, write_micro_batch
+from logweave.sources.fixtures import read_event_lines
+from logweave.sources.table_specs import parse_table_specs, read_table_specs, spec_schema
+from logweave.sources.text import read_lines, read_primitives
+from logweave.operators.parse import accepted_entries
+from tests.conftest import SF_SMALL
+
+
+def tmp():
+    return tempfile.mkdtemp(prefix="run-", dir="/tmp")
+
+
+def test_table_specs_both_formats(spark):
+    d = tmp()
+    with open(f"{d}/specs.txt", "w") as f:
+        f.write("stack_services:id;region;loglevel;service;timeframe;ts;tfhours\n"
+                "counters_nodes:id;region;az;loglevel;node_type;ts\n\n"
+                "t1:c1;c2\n")
+    specs = {r["table_name"]: (r["columns"], r["arity"]) for r in read_table_specs(spark, f"{d}/specs.txt").collect()}
+    assert specs["stack_services"][1] == 7 and specs["t1"] == (["c1", "c2"], 2)
+    alt = spark.createDataFrame([("t2;a;b;c;end",)], "value string")
+    r = parse_table_specs(alt, all_semicolons=True).first()
+    assert (r["table_name"], r["columns"], r["arity"]) == ("t2", ["a", "b", "c"], 3)
+    assert spec_schema(["a", "b"]).fieldNames() == ["a", "b"]
+
+
+def test_text_sources(spark):
+    d = tmp()
+    with open(f"{d}/p.csv", "w") as f:
+        f.write("1\n 22 \n333\n")
+    assert [r[0] for r in read_primitives(spark, f"{d}/p.csv", "int").collect()] == [1, 22, 333]
+    lines = read_lines(spark, f"{d}/p.csv")
+    assert lines.columns == ["seq", "value"] and lines.select("seq").distinct().count() == 3
+
+
+def test_write_keyed_by_name_position_and_exclusive(spark):
+    df = spark.createDataFrame([("a", "b", 1)], "x string, y string, z int")
+    target = T.StructType([T.StructField("z", T.LongType()), T.StructField("x", T.StringType())])
+    by_name = write_keyed(df, target=target)
+    assert by_name.columns == ["z", "x"] and by_name.schema["z"].dataType == T.LongType()
+    by_pos = write_keyed(df, columns=["id", "text", "n"], ttl_s=20)
+    assert by_pos.columns == ["id", "text", "n", "ttl_s"] and by_pos.first()["text"] == "b"
+    with pytest.raises(ValueError):
+        write_keyed(df, target=target, columns=["a", "b", "c"])
+    with pytest.raises(ValueError):
+        write_keyed(df, columns=["only_one"])
+    d = tmp()
+    write_keyed(df, f"{d}/t", columns=["id", "text", "n"])
+    assert spark.read.parquet(f"{d}/t").count() == 1
+
+
+def test_micro_batch_write_is_idempotent(spark):
+    d = tmp()
+    df = spark.range(5).withColumn("id_s", F.col("id").cast("string"))
+    for _ in range(2):
+        write_micro_batch(df, f"{d}/t", 7, ["id_s"])
+    write_micro_batch(df, f"{d}/t", 8, ["id_s"])
+    out = spark.read.parquet(f"{d}/t")
+    assert out.count() == 10 and out.where("batch_id = 7").count() == 5
+
+
+def test_config():
+    args = parse_args(["--topic", "logs", "--broker", "k:9092", "--target-topic", "alerts", "--tables.path",
+                       "/data", "--restart.attempts", "", "--parseBody", "false", "--group.id", "g"])
+    assert get_value(args, "restart.attempts", "3") == "3"
+    assert get_value(args, "absent", "d") == "d"
+    cfg = PipelineConfig.from_args(["--topic", "logs", "--broker", "k:9092", "--target-topic", "alerts",
+                                    "--tables.path", "/data", "--restart.attempts", "", "--parseBody", "false",
+                                    "--group.id", "g"])
+    assert cfg.restart_attempts == 3 and cfg.parse_body is False and cfg.extra == {"group.id": "g"}
+    assert "topic=logs" in cfg.job_name()
+    with pytest.raises(ValueError):
+        PipelineConfig.from_args(["--topic", "logs"])
+
+
+def test_batch_pipeline_writes_and_counts(spark):
+    d = tmp()
+    lines = read_event_lines(spark, SF_SMALL)
+    counters = run_batch(lines, d, "2024-01-31 00:00:00")
+    n = accepted_entries(lines).count()
+    assert counters["node_rows"] == 6 * n and counters["raw_rows"] == n
+    assert counters["stack_rows"] == spark.read.parquet(f"{d}/stack_rows").count() > 0
+    # partitioned by the lookup key: a read by id prunes to one directory
+    plan = spark.read.parquet(f"{d}/stack_rows").where("id = '24h'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(id" in plan
+    assert spark.read.text(f"{d}/alerts").count() > 0
+    o = build(lines, "2024-01-31 00:00:00", observe=False)
+    assert o.quarantine.count() == lines.count() - n
