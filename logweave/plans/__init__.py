@@ -1 +1 @@
-"""Query plans: the driver registry, its DuckDB oracles and the pipeline builders."""
+"""Query plans: the driver registry, its DuckDB oracles and the batch job builder."""

@@ -33,6 +33,11 @@ def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None
                         place: Placement = Placement(), trigger_ms: int | None = None,
                         query_name: str = "logweave_tables", available_now: bool = False) -> StreamingQuery:
     v = validate(parse_entries(lines, parse_body))
+    # per-micro-batch row counters (UDF2), reported in StreamingQueryProgress.observedMetrics
+    accepted_flag = F.col("reject_reason").isNull()
+    v = v.observe("ingest", F.count(F.lit(1)).alias("lines"),
+                  F.count(F.when(accepted_flag, 1)).alias("accepted"),
+                  F.count(F.when(~accepted_flag, 1)).alias("rejected"))
 
     def write(batch: DataFrame, batch_id: int) -> None:
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F, types as T
 
 from logweave.config import PipelineConfig, get_value, parse_args
-from logweave.plans.pipeline import build, run_batch
+from logweave.plans.job import build, run_batch
 from logweave.sinks.writers import write_keyed, write_micro_batch
 from logweave.sources.fixtures import read_event_lines
 from logweave.sources.table_specs import parse_table_specs, read_table_specs, spec_schema
@@ -82,7 +82,7 @@ def test_config():
         PipelineConfig.from_args(["--topic", "logs"])
 
 
-def test_batch_pipeline_writes_and_counts(spark):
+def test_batch_job_writes_and_counts(spark):
     d = tmp()
     lines = read_event_lines(spark, SF_SMALL)
     counters = run_batch(lines, d, "2024-01-31 00:00:00")

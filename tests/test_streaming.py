@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from logweave.operators.parse import accepted_entries
 from logweave.operators.patterns import MINUTES, consecutive_errors, correlated_create_vm, match_sequence
-from logweave.streaming.pipeline import alerts_stream, run_with_restarts, start_tables_stream
+from logweave.streaming.jobs import alerts_stream, run_with_restarts, start_tables_stream
 from logweave.sources.fixtures import read_event_lines
 from tests.conftest import SF_SMALL
 
@@ -80,6 +80,9 @@ def test_tables_stream_writes_every_row(spark):
     q = start_tables_stream(stream, f"{d}/out", checkpoint=f"{d}/ck", available_now=True)
     q.awaitTermination()
     n_acc = accepted_entries(lines).count()
+    observed = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert sum(m["lines"] for m in observed) == len(rows)
+    assert sum(m["accepted"] for m in observed) == n_acc
     assert spark.read.parquet(f"{d}/out/raw_rows").count() == n_acc
     assert spark.read.parquet(f"{d}/out/node_rows").count() == 6 * n_acc
     assert spark.read.parquet(f"{d}/out/quarantine").count() == len(rows) - n_acc
