@@ -1,8 +1,11 @@
-"""The whole job as one batch plan: parse once, four tables, one alert stream.
+"""The whole job as batch plans: parse once, four tables, quarantine, one alert stream.
 
-``build`` returns lazy DataFrames that all derive from one parsed input;
-``run_batch`` writes them. Row counters (UDF2) are ``observe`` metrics: they
-are computed inside the write jobs, no extra pass.
+``run_batch`` parses the input exactly once: the parsed rows (accepted and
+rejected) are written as one Parquet table partitioned by ``status``. Every
+output is then derived from column-pruned reads of that table, so the JSON
+parse is not repeated per output, and the written table cuts the lineage (a
+lost executor recomputes from it, not from the raw input). Row counters
+(UDF2) are ``observe`` metrics computed inside the write jobs.
 """
 
 from __future__ import annotations
@@ -26,11 +29,15 @@ class Outputs:
     observations: dict[str, Observation]
 
 
-def build(lines: DataFrame, as_of, parse_body: bool = True, place: Placement = Placement(),
-          pattern: SequencePattern | None = None, observe: bool = True) -> Outputs:
-    v = validate(parse_entries(lines, parse_body))
-    accepted = v.where(F.col("reject_reason").isNull()).drop("raw_value", "json_error", "reject_reason")
-    quarantine = v.where(F.col("reject_reason").isNotNull()).select("seq", "raw_value", "reject_reason")
+def split(parsed: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Validated rows -> (accepted, quarantine)."""
+    accepted = parsed.where(F.col("reject_reason").isNull()).drop("raw_value", "json_error", "reject_reason")
+    quarantine = parsed.where(F.col("reject_reason").isNotNull()).select("seq", "raw_value", "reject_reason")
+    return accepted, quarantine
+
+
+def derive(accepted: DataFrame, quarantine: DataFrame, as_of, place: Placement = Placement(),
+           pattern: SequencePattern | None = None, observe: bool = True) -> Outputs:
     tables = {
         "node_rows": node_rows(accepted, as_of, place),
         "service_rows": service_rows(accepted, as_of, place),
@@ -47,12 +54,31 @@ def build(lines: DataFrame, as_of, parse_body: bool = True, place: Placement = P
     return Outputs(accepted, quarantine, tables, alerts, observations)
 
 
+def build(lines: DataFrame, as_of, parse_body: bool = True, place: Placement = Placement(),
+          pattern: SequencePattern | None = None, observe: bool = True) -> Outputs:
+    """All outputs as lazy plans over ``lines`` (each action parses the lines it needs)."""
+    accepted, quarantine = split(validate(parse_entries(lines, parse_body)))
+    return derive(accepted, quarantine, as_of, place, pattern, observe)
+
+
 def run_batch(lines: DataFrame, out_path: str, as_of, parse_body: bool = True,
               place: Placement = Placement(), pattern: SequencePattern | None = None) -> dict[str, int]:
-    """Write the four tables, the quarantine and the alert text under ``out_path``; return row counters."""
-    o = build(lines, as_of, parse_body, place, pattern)
+    """Parse once into ``out_path/parsed``, then write the tables, quarantine and alert text from it."""
+    spark = lines.sparkSession
+    parsed = validate(parse_entries(lines, parse_body)).withColumn(
+        "status", F.when(F.col("reject_reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected")))
+    obs = Observation("parsed")
+    parsed = parsed.observe(obs, F.count(F.lit(1)).alias("lines"),
+                            F.count(F.when(F.col("status") == "accepted", 1)).alias("accepted"))
+    write_table(parsed, f"{out_path}/parsed", ["status"], mode="overwrite")
+    stored = spark.read.parquet(f"{out_path}/parsed")
+    # the quarantine is the "rejected" partition of the parsed table
+    accepted, _ = split(stored.where(F.col("status") == "accepted").drop("status"))
+    _, quarantine = split(stored.where(F.col("status") == "rejected").drop("status"))
+    o = derive(accepted, quarantine, as_of, place, pattern)
     for name, df in o.tables.items():
         write_table(df, f"{out_path}/{name}", TABLE_PARTITIONS[name])
-    write_table(o.quarantine, f"{out_path}/quarantine", ["reject_reason"])
     alerts_to_text(o.alerts).write.mode("append").text(f"{out_path}/alerts")
-    return {name: int(obs.get.get("rows", 0)) for name, obs in o.observations.items()}
+    counters = {name: int(ob.get.get("rows", 0)) for name, ob in o.observations.items()}
+    counters.update({k: int(v) for k, v in obs.get.items()})
+    return counters

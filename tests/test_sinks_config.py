@@ -88,6 +88,8 @@ def test_batch_job_writes_and_counts(spark):
     counters = run_batch(lines, d, "2024-01-31 00:00:00")
     n = accepted_entries(lines).count()
     assert counters["node_rows"] == 6 * n and counters["raw_rows"] == n
+    assert counters["lines"] == lines.count() and counters["accepted"] == n
+    assert spark.read.parquet(f"{d}/parsed").where("status = 'rejected'").count() == lines.count() - n
     assert counters["stack_rows"] == spark.read.parquet(f"{d}/stack_rows").count() > 0
     # partitioned by the lookup key: a read by id prunes to one directory
     plan = spark.read.parquet(f"{d}/stack_rows").where("id = '24h'")._jdf.queryExecution().executedPlan().toString()
