@@ -213,6 +213,30 @@ FROM acc""")
          END AS reject_reason
   FROM rec)
 SELECT reject_reason, count(*) AS n_rows FROM reasons WHERE reject_reason IS NOT NULL GROUP BY reject_reason""")
+    noparse = f"""
+, np AS (
+  SELECT *, date_trunc('millisecond', ts) AS np_time,
+         CASE json_sev WHEN '3' THEN 'ERROR' WHEN '4' THEN 'WARNING' WHEN '5' THEN 'NOTICE'
+                       WHEN '6' THEN 'INFO' WHEN '7' THEN 'DEBUG' END AS np_level,
+         CASE WHEN json_ts = '' THEN 'no_timestamp'
+              WHEN json_sev NOT IN ('3', '4', '6') THEN 'level_not_accepted' END AS np_reason
+  FROM parsed)
+, np_acc AS (SELECT * FROM np WHERE np_reason IS NULL)
+, np_fan AS (
+  SELECT np_acc.*, hz.horizon_id, hz.horizon_s, (epoch_ms({AS_OF}) - epoch_ms(np_time)) // 1000 AS age_s
+  FROM np_acc CROSS JOIN hz)"""
+    q["accepted_entries_noparse"] = _sql(noparse + f"""
+SELECT seq, np_level AS level, service, json_ts AS timestamp, {_fmt('np_time')} AS event_time FROM np_acc""")
+    q["quarantine_counts_noparse"] = _sql(noparse + """
+, reasons AS (
+  SELECT kind AS reject_reason FROM rec WHERE kind IN ('bad_json', 'missing_field')
+  UNION ALL SELECT np_reason FROM np WHERE np_reason IS NOT NULL)
+SELECT reject_reason, count(*) AS n_rows FROM reasons GROUP BY reject_reason""")
+    q["stack_rows_noparse"] = _sql(noparse + """
+SELECT horizon_id AS id, 'boston' AS region, np_level AS loglevel, service,
+       CAST(hour(np_time) * 60 + minute(np_time) AS INTEGER) AS timeframe, json_ts AS tfhours,
+       CAST(horizon_s - age_s AS INTEGER) AS ttl_s, seq
+FROM np_fan WHERE age_s BETWEEN 0 AND horizon_s AND horizon_s - age_s > 0""")
     q["to_event_time"] = _sql(f"""
 SELECT seq, json_ts AS timestamp,
        CASE WHEN json_ts = '' THEN '1970-01-01 00:00:00.000' ELSE {_fmt("date_trunc('millisecond', ts)")} END

@@ -98,6 +98,22 @@ def q_quarantine_counts(spark, sf_dir):
     return quarantine_counts(_lines(spark, sf_dir), True)
 
 
+# parse-body off: severity and time come from the JSON fields (ISO times with an offset included)
+
+def q_accepted_entries_noparse(spark, sf_dir):
+    return _accepted(spark, sf_dir, parse_body=False).select(
+        "seq", "level", "service", "timestamp", fmt("event_time").alias("event_time"))
+
+
+def q_quarantine_counts_noparse(spark, sf_dir):
+    return quarantine_counts(_lines(spark, sf_dir), False)
+
+
+def q_stack_rows_noparse(spark, sf_dir):
+    s = stack_rows(_accepted(spark, sf_dir, parse_body=False), AS_OF)
+    return s.select("id", "region", "loglevel", "service", "timeframe", "tfhours", "ttl_s", "seq")
+
+
 def q_to_event_time(spark, sf_dir):
     p = _parsed(spark, sf_dir, False)
     return p.select("seq", "timestamp", fmt(to_event_time("timestamp")).alias("event_time"))

@@ -9,19 +9,22 @@ def read_lines(spark: SparkSession, path: str, streaming: bool = False, seq_col:
                max_files_per_trigger: int | None = None) -> DataFrame:
     """Text file(s) as ``(seq, value)``.
 
-    Batch: ``seq`` is a stable id (file name order is not global, so the id is
-    ``monotonically_increasing_id`` over the scan, increasing in file order
-    within a partition). Streaming: ``seq`` is built from the file and line
-    position, which is what arrival order means for a file source.
+    Batch: ``seq`` is ``monotonically_increasing_id`` over the scan: unique,
+    and increasing in line order within a file split. Streaming: a file source
+    exposes no line offsets, so ``seq`` is a hash of the file path and the
+    line (deterministic under replay; ties between identical lines of one file
+    have no defined order, as in the source).
     """
     if streaming:
         reader = spark.readStream.format("text")
         if max_files_per_trigger:
             reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
         df = reader.load(path)
+        seq = F.xxhash64(F.col("_metadata.file_path"), F.col("value"))
     else:
         df = spark.read.text(path)
-    return df.select(F.monotonically_increasing_id().alias(seq_col), F.col("value"))
+        seq = F.monotonically_increasing_id()
+    return df.select(seq.alias(seq_col), F.col("value"))
 
 
 def read_primitives(spark: SparkSession, path: str, cast: str = "string") -> DataFrame:

@@ -67,22 +67,24 @@ def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None
 
 
 def alerts_stream(lines: DataFrame, pattern: SequencePattern | None = None, parse_body: bool = True,
-                  delay_s: int = 0) -> DataFrame:
+                  delay_s: int = 0, future_cap_s: int | None = None) -> DataFrame:
     accepted = accepted_entries(lines, parse_body)
-    return match_sequence_stream(accepted, pattern or correlated_create_vm(), delay_s)
+    return match_sequence_stream(accepted, pattern or correlated_create_vm(), delay_s, future_cap_s)
 
 
 def start_alerts_stream(lines: DataFrame, sink: str, path_or_topic: str, pattern: SequencePattern | None = None,
                         parse_body: bool = True, delay_s: int = 0, checkpoint: str | None = None,
                         options: dict | None = None, query_name: str = "logweave_alerts",
-                        trigger_ms: int | None = None) -> StreamingQuery:
+                        trigger_ms: int | None = None, available_now: bool = False) -> StreamingQuery:
     """Alert text to ``sink``: ``"kafka"`` (topic), ``"text"`` / ``"json"`` (path) or ``"memory"`` (query name)."""
     text = alerts_to_text(alerts_stream(lines, pattern, parse_body, delay_s))
     w = text.writeStream.queryName(query_name).outputMode("append") \
         .option("checkpointLocation", _checkpoint(text, query_name, checkpoint))
     for k, v in (options or {}).items():
         w = w.option(k, v)
-    if trigger_ms:
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif trigger_ms:
         w = w.trigger(processingTime=f"{int(trigger_ms)} milliseconds")
     if sink == "kafka":
         return w.format("kafka").option("topic", path_or_topic).start()

@@ -34,21 +34,32 @@ _STATE = T.StructType([
     T.StructField("o_seq", T.ArrayType(T.LongType())),
     T.StructField("o_f", T.ArrayType(T.BooleanType())),
     T.StructField("o_pay", T.ArrayType(T.StringType())),
+    # the last released (t, seq): anything at or before it arrived too late for this key
+    T.StructField("done_t", T.LongType()),
+    T.StructField("done_seq", T.LongType()),
 ])
 
 
 def _matcher(keys: list[str], mode: str, within_ms: int):
     def fn(key, batches, state):
         if state.exists:
-            p_t, p_seq, p_f, p_s, p_pay, o_t, o_seq, o_f, o_pay = (list(x) for x in state.get)
+            st = state.get
+            p_t, p_seq, p_f, p_s, p_pay, o_t, o_seq, o_f, o_pay = (list(x) for x in st[:9])
+            done = (st[9], st[10]) if st[9] is not None else None
         else:
             p_t, p_seq, p_f, p_s, p_pay, o_t, o_seq, o_f, o_pay = ([] for _ in range(9))
+            done = None
         for pdf in batches:
-            p_t += pdf["t"].astype("int64").tolist()
-            p_seq += pdf["seq"].astype("int64").tolist()
-            p_f += pdf["is_first"].astype(bool).tolist()
-            p_s += pdf["is_second"].astype(bool).tolist()
-            p_pay += pdf["payload"].tolist()
+            t_new = pdf["t"].astype("int64").to_numpy()
+            s_new = pdf["seq"].astype("int64").to_numpy()
+            ok = np.ones(len(pdf), dtype=bool)
+            if done is not None:
+                ok = (t_new > done[0]) | ((t_new == done[0]) & (s_new > done[1]))
+            p_t += t_new[ok].tolist()
+            p_seq += s_new[ok].tolist()
+            p_f += pdf["is_first"].astype(bool).to_numpy()[ok].tolist()
+            p_s += pdf["is_second"].astype(bool).to_numpy()[ok].tolist()
+            p_pay += pdf["payload"].to_numpy()[ok].tolist()
         wm = state.getCurrentWatermarkMs()
         order = sorted(range(len(p_t)), key=lambda i: (p_t[i], p_seq[i]))
         out = []
@@ -58,6 +69,7 @@ def _matcher(keys: list[str], mode: str, within_ms: int):
                 keep.append(i)
                 continue
             t, s, is_f, is_s, pay = p_t[i], p_seq[i], p_f[i], p_s[i], p_pay[i]
+            done = (t, s)
             if mode == "strict":
                 if o_t and o_f[0] and is_s and t - o_t[0] < within_ms:
                     out.append((o_seq[0], o_t[0], o_pay[0], s, t, pay))
@@ -78,12 +90,22 @@ def _matcher(keys: list[str], mode: str, within_ms: int):
         if o_t:
             live = [j for j in range(len(o_t)) if wm - o_t[j] < within_ms]
             o_t, o_seq, o_f, o_pay = ([lst[j] for j in live] for lst in (o_t, o_seq, o_f, o_pay))
-        if p_t or o_t:
-            state.update((p_t, p_seq, p_f, p_s, p_pay, o_t, o_seq, o_f, o_pay))
-            wake = min(p_t) if p_t else min(o_t) + within_ms
+        if p_t:
+            wake = min(p_t)
+        elif o_t:
+            wake = min(o_t) + within_ms
+        elif done is not None and wm - done[0] <= within_ms:
+            # keep the "done" mark a little longer: Spark's own late filter lags one micro-batch
+            wake = done[0] + within_ms + 1
+        else:
+            wake = None
+        if wake is None:
+            if state.exists:
+                state.remove()
+        else:
+            d_t, d_seq = done if done is not None else (None, None)
+            state.update((p_t, p_seq, p_f, p_s, p_pay, o_t, o_seq, o_f, o_pay, d_t, d_seq))
             state.setTimeoutTimestamp(max(int(wake), wm + 1))
-        elif state.exists:
-            state.remove()
         if out:
             a = np.array(out, dtype=object)
             res = {k: [v] * len(out) for k, v in zip(keys, key)}
@@ -108,9 +130,18 @@ def _prepare(entries: DataFrame, pattern: SequencePattern) -> tuple[DataFrame, l
     return base, keys, base.schema["rec"].dataType
 
 
-def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s: int = 0) -> DataFrame:
-    """Streaming alerts ``(key..., first, second, alert_name)`` with a bounded out-of-orderness watermark."""
+def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s: int = 0,
+                          future_cap_s: int | None = None) -> DataFrame:
+    """Streaming alerts ``(key..., first, second, alert_name)`` with a bounded out-of-orderness watermark.
+
+    ``future_cap_s``: drop rows dated more than this many seconds after the
+    micro-batch's processing time before they reach the watermark, so one
+    future-dated row cannot make every later row "late".
+    """
     base, keys, rec_type = _prepare(entries, pattern)
+    if future_cap_s is not None:
+        cap = F.current_timestamp() + F.make_interval(secs=F.lit(int(future_cap_s)))
+        base = base.where(F.col("event_time") <= cap)
     base = base.withWatermark("event_time", f"{int(delay_s)} seconds")
     w = pattern.within_ms
     if pattern.contiguity == "any":

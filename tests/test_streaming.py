@@ -20,13 +20,13 @@ def jline(seq, hhmmss, sev="3", svc="Nova", body_tail="[x] y"):
                              "timestamp": "t"}))
 
 
-def run_files(spark, chunks, pattern, delay_s=0):
+def run_files(spark, chunks, pattern, delay_s=0, future_cap_s=None):
     d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     for i, rows in enumerate(chunks):
         spark.createDataFrame(rows, "seq long, value string").coalesce(1).write.parquet(f"{d}/src/c{i:03d}")
     stream = spark.readStream.schema("seq long, value string").option("maxFilesPerTrigger", 1).parquet(f"{d}/src/*")
     name = "alerts_" + d.rsplit("-", 1)[-1]
-    a = alerts_stream(stream, pattern, delay_s=delay_s).select(F.col("first.seq").alias("s1"),
+    a = alerts_stream(stream, pattern, delay_s=delay_s, future_cap_s=future_cap_s).select(F.col("first.seq").alias("s1"),
                                                                F.col("second.seq").alias("s2"))
     q = a.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{d}/ck").start()
     q.processAllAvailable()
@@ -107,3 +107,31 @@ def test_run_with_restarts():
     always = iter([True] * 5)
     with pytest.raises(StreamingQueryException):
         run_with_restarts(lambda: Q(next(always)), attempts=2, delay_s=0, sleep=lambda s: None)
+
+
+def test_command_line_job_on_files(spark):
+    from logweave.__main__ import start
+    from logweave.config import PipelineConfig
+    lines = read_event_lines(spark, SF_SMALL)
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    import os
+    os.makedirs(f"{d}/src")
+    with open(f"{d}/src/part-0.txt", "w") as f:
+        for r in lines.orderBy("seq").collect():
+            f.write(r["value"] + "\n")
+    cfg = PipelineConfig.from_args(["--topic", "t", "--broker", "b", "--target-topic", "a", "--tables.path",
+                                    f"{d}/tables", "--source.path", f"{d}/src", "--alerts.path", f"{d}/alerts",
+                                    "--once", "true"])
+    start(spark, cfg).awaitTermination()
+    n_acc = accepted_entries(lines).count()
+    assert spark.read.parquet(f"{d}/tables/raw_rows").count() == n_acc
+    assert spark.read.parquet(f"{d}/tables/node_rows").count() == 6 * n_acc
+
+
+def test_future_cap_keeps_watermark_honest(spark):
+    future = (50, jline(50, "00:00:00")[1].replace("2017-04-26", "2099-01-01"))
+    chunks = [[jline(1, "00:01:00"), future], [jline(3, "00:01:30", svc="Cinder")], [jline(2, "00:02:00")],
+              [jline(99, "23:00:00", svc="Zed")]]
+    # without the cap the future row moves the watermark and row 2 is late
+    assert run_files(spark, chunks, consecutive_errors())[0] == []
+    assert run_files(spark, chunks, consecutive_errors(), future_cap_s=3600)[0] == [(1, 2)]
