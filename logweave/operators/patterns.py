@@ -15,7 +15,7 @@ breaks ties in arrival order. The bound is strict: ``t2 - t1 < within``.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -69,12 +69,16 @@ def _payload(df: DataFrame) -> Column:
     return F.struct(*[F.col(c) for c in PAYLOAD_FIELDS if c in df.columns])
 
 
-def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions: int | None = None) -> DataFrame:
+def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions: int | None = None,
+                   partition_by: list[str] | None = None) -> DataFrame:
     """Alerts as ``(key..., first struct, second struct, alert_name)`` (SEQ1, SEQ11).
 
-    ``entries`` are accepted rows with ``seq`` and ``event_time``. An empty key
-    means one global order; it is still spread over many tasks by the scan.
+    ``entries`` are accepted rows with ``seq`` and ``event_time``. The key is
+    the pattern's, or ``partition_by`` (column names) when given; an empty key
+    means one global order, still spread over many tasks by the scan.
     """
+    if partition_by is not None:
+        pattern = replace(pattern, key=tuple((c, F.col(c)) for c in partition_by))
     keys = [k for k, _ in pattern.key]
     base = entries.select("*", *[c.alias(k) for k, c in pattern.key if k not in entries.columns]) \
         if pattern.key else entries

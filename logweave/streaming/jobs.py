@@ -19,9 +19,9 @@ from pyspark.errors import StreamingQueryException
 
 from logweave.operators.parse import accepted_entries, parse_entries, validate
 from logweave.operators.patterns import SequencePattern, correlated_create_vm
-from logweave.operators.views import Placement, node_rows, raw_rows, service_rows, stack_rows
+from logweave.operators.views import RAW_KEYS, Placement, node_rows, raw_rows, service_rows, stack_rows
 from logweave.session import ensure_checkpoint_dir
-from logweave.sinks.writers import TABLE_PARTITIONS, alerts_to_text, write_micro_batch
+from logweave.sinks.writers import TABLE_PARTITIONS, alerts_to_text, merge_latest, write_micro_batch
 from logweave.streaming.matcher import match_sequence_stream
 
 
@@ -31,7 +31,9 @@ def _checkpoint(df: DataFrame, name: str, location: str | None) -> str:
 
 def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None = None, parse_body: bool = True,
                         place: Placement = Placement(), trigger_ms: int | None = None,
-                        query_name: str = "logweave_tables", available_now: bool = False) -> StreamingQuery:
+                        query_name: str = "logweave_tables", available_now: bool = False,
+                        keep_latest: bool = False) -> StreamingQuery:
+    """Start the table query; ``keep_latest`` also upserts ``raw_latest`` (last write per raw key, SNK4b)."""
     v = validate(parse_entries(lines, parse_body))
     # per-micro-batch row counters (UDF2), reported in StreamingQueryProgress.observedMetrics
     accepted_flag = F.col("reject_reason").isNull()
@@ -54,6 +56,9 @@ def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None
                 write_micro_batch(df, f"{out_path}/{name}", batch_id, TABLE_PARTITIONS[name])
             q = batch.where(F.col("reject_reason").isNotNull()).select("seq", "raw_value", "reject_reason")
             write_micro_batch(q, f"{out_path}/quarantine", batch_id)
+            if keep_latest:
+                raw = tables["raw_rows"].withColumn("batch_id", F.lit(batch_id).cast("long"))
+                merge_latest(raw, f"{out_path}/raw_latest", RAW_KEYS, ["batch_id", "seq"], ["date"])
         finally:
             batch.unpersist()
 

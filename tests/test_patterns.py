@@ -90,3 +90,9 @@ def test_custom_pattern_and_validation(spark):
     with pytest.raises(ValueError):
         from logweave.operators.scan import next_match
         next_match(e.select(F.lit(1).alias("t")), [], "sometimes", 1)
+
+
+def test_partition_by_override(spark):
+    e = entries(spark, [(1, "10:00:00.000", "3", "Nova", "[a]"), (2, "10:01:00.000", "3", "Cinder", "[b]")])
+    assert pairs(match_sequence(e, consecutive_errors())) == []
+    assert pairs(match_sequence(e, consecutive_errors(), partition_by=[])) == [(1, 2)]

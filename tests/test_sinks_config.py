@@ -7,7 +7,7 @@ from pyspark.sql import functions as F, types as T
 
 from logweave.config import PipelineConfig, get_value, parse_args
 from logweave.plans.job import build, run_batch
-from logweave.sinks.writers import write_keyed, write_micro_batch
+from logweave.sinks.writers import merge_latest, write_keyed, write_micro_batch
 from logweave.sources.fixtures import read_event_lines
 from logweave.sources.table_specs import parse_table_specs, read_table_specs, spec_schema
 from logweave.sources.text import read_lines, read_primitives
@@ -97,3 +97,21 @@ def test_batch_job_writes_and_counts(spark):
     assert spark.read.text(f"{d}/alerts").count() > 0
     o = build(lines, "2024-01-31 00:00:00", observe=False)
     assert o.quarantine.count() == lines.count() - n
+
+
+def test_merge_latest_upserts_touched_partitions(spark):
+    d = tmp()
+    schema = "date string, service string, loglevel string, region string, payload string, seq long"
+    first = spark.createDataFrame([("2024-1-1", "Nova", "ERROR", "r", "a", 1), ("2024-1-1", "Nova", "INFO", "r", "b", 2),
+                                   ("2024-1-2", "Nova", "ERROR", "r", "c", 3)], schema)
+    keys = ["date", "service", "loglevel", "region"]
+    merge_latest(first, f"{d}/latest", keys, ["seq"], ["date"])
+    second = spark.createDataFrame([("2024-1-1", "Nova", "ERROR", "r", "d", 9), ("2024-1-3", "Cinder", "INFO", "r", "e", 4)],
+                                   schema)
+    merge_latest(second, f"{d}/latest", keys, ["seq"], ["date"])
+    # an older write does not replace a newer one
+    merge_latest(spark.createDataFrame([("2024-1-2", "Nova", "ERROR", "r", "old", 0)], schema), f"{d}/latest", keys,
+                 ["seq"], ["date"])
+    got = sorted((r["date"], r["loglevel"], r["payload"]) for r in spark.read.parquet(f"{d}/latest").collect())
+    assert got == [("2024-1-1", "ERROR", "d"), ("2024-1-1", "INFO", "b"), ("2024-1-2", "ERROR", "c"),
+                   ("2024-1-3", "INFO", "e")]

@@ -73,13 +73,18 @@ def test_stream_equals_batch_on_fixture(spark, make):
 def test_tables_stream_writes_every_row(spark):
     lines = read_event_lines(spark, SF_SMALL)
     d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    rows = [(r["seq"], r["value"]) for r in lines.collect()]
+    rows = [(r["seq"], r["value"]) for r in lines.orderBy("seq").collect()]
     for i in range(0, len(rows), 250):
         spark.createDataFrame(rows[i:i + 250], "seq long, value string").coalesce(1).write.parquet(f"{d}/src/c{i:05d}")
     stream = spark.readStream.schema("seq long, value string").option("maxFilesPerTrigger", 1).parquet(f"{d}/src/*")
-    q = start_tables_stream(stream, f"{d}/out", checkpoint=f"{d}/ck", available_now=True)
+    q = start_tables_stream(stream, f"{d}/out", checkpoint=f"{d}/ck", available_now=True, keep_latest=True)
     q.awaitTermination()
     n_acc = accepted_entries(lines).count()
+    from logweave.operators.retention import latest_by_key
+    from logweave.operators.views import RAW_KEYS, raw_rows
+    exp = latest_by_key(raw_rows(accepted_entries(lines)), RAW_KEYS, ["seq"])
+    got = spark.read.parquet(f"{d}/out/raw_latest")
+    assert sorted(r["seq"] for r in got.collect()) == sorted(r["seq"] for r in exp.collect())
     observed = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(m["lines"] for m in observed) == len(rows)
     assert sum(m["accepted"] for m in observed) == n_acc
