@@ -49,6 +49,38 @@ def _segments(pdf: pd.DataFrame, keys: list[str]) -> np.ndarray:
     return np.cumsum(change)
 
 
+def match_block(t: np.ndarray, is_first: np.ndarray, is_second: np.ndarray, seg: np.ndarray, mode: str,
+                within_ms: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Matches inside one block of rows sorted by ``(segment, t, seq)``.
+
+    Returns ``(i, j, carry)``: first-row and second-row positions of each
+    match, and the positions that must be carried into the next block of the
+    same (last) segment: strict, the last row; next, the unmatched first rows
+    of the last segment still within the bound of the block's end.
+    """
+    n = len(t)
+    if n == 0:
+        e = np.zeros(0, dtype=np.int64)
+        return e, e, e
+    if mode == "strict":
+        i = np.flatnonzero(is_first[:-1] & is_second[1:] & (seg[:-1] == seg[1:]) & (t[1:] - t[:-1] < within_ms))
+        return i, i + 1, np.array([n - 1])
+    s_pos = np.flatnonzero(is_second)
+    f_pos = np.flatnonzero(is_first)
+    if len(s_pos) and len(f_pos):
+        idx = np.searchsorted(s_pos, f_pos, side="right")
+        j = s_pos[np.minimum(idx, len(s_pos) - 1)]
+        same = (idx < len(s_pos)) & (seg[j] == seg[f_pos])
+    else:
+        j = np.zeros(len(f_pos), dtype=np.int64)
+        same = np.zeros(len(f_pos), dtype=bool)
+    hit, jj = f_pos[same], j[same]
+    ok = t[jj] - t[hit] < within_ms
+    rest = f_pos[~same]
+    rest = rest[(seg[rest] == seg[n - 1]) & (t[n - 1] - t[rest] < within_ms)]
+    return hit[ok], jj[ok], rest
+
+
 def _rows(kind: str, pid: int, keys: list[str], kdf: pd.DataFrame, seq1=None, t1=None, seq2=None, t2=None,
           p1=None, p2=None, found=None, only_key=None) -> pd.DataFrame:
     n = len(kdf)
@@ -108,38 +140,16 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
                 pdf = pd.concat([carry, pdf], ignore_index=True)
             else:
                 pdf = pdf.reset_index(drop=True)
-            n = len(pdf)
             seg = _segments(pdf, keys)
             t = pdf["t"].to_numpy(dtype=np.int64)
             seq = pdf["seq"].to_numpy(dtype=np.int64)
             is_first = pdf["is_first"].to_numpy().astype(bool)
             is_second = pdf["is_second"].to_numpy().astype(bool)
             pay = pdf["payload"].to_numpy()
-            if mode == "strict":
-                i = np.flatnonzero(is_first[:-1] & is_second[1:] & (seg[:-1] == seg[1:]) & (t[1:] - t[:-1] < within_ms))
-                if len(i):
-                    yield _rows(PAIR, pid, keys, pdf.iloc[i], seq[i], t[i], seq[i + 1], t[i + 1], pay[i], pay[i + 1])
-                carry = pdf.iloc[[n - 1]]
-            else:
-                s_pos = np.flatnonzero(is_second)
-                f_pos = np.flatnonzero(is_first)
-                if len(s_pos) and len(f_pos):
-                    idx = np.searchsorted(s_pos, f_pos, side="right")
-                    j = s_pos[np.minimum(idx, len(s_pos) - 1)]
-                    same = (idx < len(s_pos)) & (seg[j] == seg[f_pos])
-                else:
-                    j = np.zeros(len(f_pos), dtype=np.int64)
-                    same = np.zeros(len(f_pos), dtype=bool)
-                hit = f_pos[same]
-                jj = j[same]
-                ok = t[jj] - t[hit] < within_ms
-                if ok.any():
-                    a, b = hit[ok], jj[ok]
-                    yield _rows(PAIR, pid, keys, pdf.iloc[a], seq[a], t[a], seq[b], t[b], pay[a], pay[b])
-                # unmatched firsts of the last key stay open unless already out of the time bound
-                rest = f_pos[~same]
-                rest = rest[(seg[rest] == seg[n - 1]) & (t[n - 1] - t[rest] < within_ms)]
-                carry = pdf.iloc[rest]
+            a, b, keep = match_block(t, is_first, is_second, seg, mode, within_ms)
+            if len(a):
+                yield _rows(PAIR, pid, keys, pdf.iloc[a], seq[a], t[a], seq[b], t[b], pay[a], pay[b])
+            carry = pdf.iloc[keep]
         if head is None:
             return
         if carry is not None and len(carry):

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
 from logweave.operators.patterns import PAYLOAD_FIELDS, SequencePattern
+from logweave.operators.scan import match_block
 
 _STATE = T.StructType([
     T.StructField("p_t", T.ArrayType(T.LongType())),
@@ -29,10 +30,11 @@ _STATE = T.StructType([
     T.StructField("p_f", T.ArrayType(T.BooleanType())),
     T.StructField("p_s", T.ArrayType(T.BooleanType())),
     T.StructField("p_pay", T.ArrayType(T.StringType())),
-    # strict: the last released row; next: the open first rows
+    # rows carried to the next release: strict, the last row if it may start a match; next, open first rows
     T.StructField("o_t", T.ArrayType(T.LongType())),
     T.StructField("o_seq", T.ArrayType(T.LongType())),
     T.StructField("o_f", T.ArrayType(T.BooleanType())),
+    T.StructField("o_s", T.ArrayType(T.BooleanType())),
     T.StructField("o_pay", T.ArrayType(T.StringType())),
     # the last released (t, seq): anything at or before it arrived too late for this key
     T.StructField("done_t", T.LongType()),
@@ -40,60 +42,67 @@ _STATE = T.StructType([
 ])
 
 
+_COLS = ("t", "seq", "f", "s", "pay")
+
+
+def _arrays(values) -> dict:
+    t, seq, f, s_, pay = values
+    return {"t": np.asarray(t if t is not None else [], dtype=np.int64),
+            "seq": np.asarray(seq if seq is not None else [], dtype=np.int64),
+            "f": np.asarray(f if f is not None else [], dtype=bool),
+            "s": np.asarray(s_ if s_ is not None else [], dtype=bool),
+            "pay": np.asarray(pay if pay is not None else [], dtype=object)}
+
+
+def _take(a: dict, idx) -> dict:
+    return {c: a[c][idx] for c in _COLS}
+
+
+def _cat(*parts: dict) -> dict:
+    return {c: np.concatenate([p[c] for p in parts]) for c in _COLS}
+
+
 def _matcher(keys: list[str], mode: str, within_ms: int):
+    """State function: hold rows until the watermark passes them, then match them in order
+    with the same vectorised core as the batch scan (``match_block``)."""
+
     def fn(key, batches, state):
         if state.exists:
             st = state.get
-            p_t, p_seq, p_f, p_s, p_pay, o_t, o_seq, o_f, o_pay = (list(x) for x in st[:9])
-            done = (st[9], st[10]) if st[9] is not None else None
+            pend, carry = _arrays(st[0:5]), _arrays(st[5:10])
+            done = (st[10], st[11]) if st[10] is not None else None
         else:
-            p_t, p_seq, p_f, p_s, p_pay, o_t, o_seq, o_f, o_pay = ([] for _ in range(9))
+            pend = carry = _arrays([None] * 5)
             done = None
         for pdf in batches:
-            t_new = pdf["t"].astype("int64").to_numpy()
-            s_new = pdf["seq"].astype("int64").to_numpy()
-            ok = np.ones(len(pdf), dtype=bool)
+            new = _arrays((pdf["t"], pdf["seq"], pdf["is_first"], pdf["is_second"], pdf["payload"]))
             if done is not None:
-                ok = (t_new > done[0]) | ((t_new == done[0]) & (s_new > done[1]))
-            p_t += t_new[ok].tolist()
-            p_seq += s_new[ok].tolist()
-            p_f += pdf["is_first"].astype(bool).to_numpy()[ok].tolist()
-            p_s += pdf["is_second"].astype(bool).to_numpy()[ok].tolist()
-            p_pay += pdf["payload"].to_numpy()[ok].tolist()
+                # at or before the last released row: late for this key
+                new = _take(new, (new["t"] > done[0]) | ((new["t"] == done[0]) & (new["seq"] > done[1])))
+            pend = _cat(pend, new)
         wm = state.getCurrentWatermarkMs()
-        order = sorted(range(len(p_t)), key=lambda i: (p_t[i], p_seq[i]))
-        out = []
-        keep = []
-        for i in order:
-            if p_t[i] > wm:
-                keep.append(i)
-                continue
-            t, s, is_f, is_s, pay = p_t[i], p_seq[i], p_f[i], p_s[i], p_pay[i]
-            done = (t, s)
-            if mode == "strict":
-                if o_t and o_f[0] and is_s and t - o_t[0] < within_ms:
-                    out.append((o_seq[0], o_t[0], o_pay[0], s, t, pay))
-                o_t, o_seq, o_f, o_pay = [t], [s], [is_f], [pay]
-            else:
-                if is_s and o_t:
-                    for j in range(len(o_t)):
-                        if t - o_t[j] < within_ms:
-                            out.append((o_seq[j], o_t[j], o_pay[j], s, t, pay))
-                    o_t, o_seq, o_f, o_pay = [], [], [], []
-                if is_f:
-                    o_t.append(t)
-                    o_seq.append(s)
-                    o_f.append(True)
-                    o_pay.append(pay)
-        p_t, p_seq, p_f, p_s, p_pay = ([lst[i] for i in keep] for lst in (p_t, p_seq, p_f, p_s, p_pay))
-        # rows released so far can no longer match anything once the watermark is a bound past them
-        if o_t:
-            live = [j for j in range(len(o_t)) if wm - o_t[j] < within_ms]
-            o_t, o_seq, o_f, o_pay = ([lst[j] for j in live] for lst in (o_t, o_seq, o_f, o_pay))
-        if p_t:
-            wake = min(p_t)
-        elif o_t:
-            wake = min(o_t) + within_ms
+        pend = _take(pend, np.lexsort((pend["seq"], pend["t"])))
+        ready = pend["t"] <= wm
+        released, pend = _take(pend, ready), _take(pend, ~ready)
+        out = None
+        if len(released["t"]):
+            block = _cat(carry, released)
+            i, j, keep = match_block(block["t"], block["f"], block["s"], np.zeros(len(block["t"]), dtype=np.int64),
+                                     mode, within_ms)
+            if len(i):
+                out = {k: [v] * len(i) for k, v in zip(keys, key)}
+                out.update(seq1=block["seq"][i], t1=block["t"][i], p1=block["pay"][i],
+                           seq2=block["seq"][j], t2=block["t"][j], p2=block["pay"][j])
+            carry = _take(block, keep)
+            done = (int(block["t"][-1]), int(block["seq"][-1]))
+        # carried rows a bound behind the watermark can no longer match anything
+        carry = _take(carry, wm - carry["t"] < within_ms)
+        if mode == "strict":
+            carry = _take(carry, carry["f"])
+        if len(pend["t"]):
+            wake = int(pend["t"].min())
+        elif len(carry["t"]):
+            wake = int(carry["t"].min()) + within_ms
         elif done is not None and wm - done[0] <= within_ms:
             # keep the "done" mark a little longer: Spark's own late filter lags one micro-batch
             wake = done[0] + within_ms + 1
@@ -104,14 +113,11 @@ def _matcher(keys: list[str], mode: str, within_ms: int):
                 state.remove()
         else:
             d_t, d_seq = done if done is not None else (None, None)
-            state.update((p_t, p_seq, p_f, p_s, p_pay, o_t, o_seq, o_f, o_pay, d_t, d_seq))
+            state.update(tuple(pend[c].tolist() for c in _COLS) + tuple(carry[c].tolist() for c in _COLS)
+                         + (d_t, d_seq))
             state.setTimeoutTimestamp(max(int(wake), wm + 1))
-        if out:
-            a = np.array(out, dtype=object)
-            res = {k: [v] * len(out) for k, v in zip(keys, key)}
-            res.update(seq1=a[:, 0].astype("int64"), t1=a[:, 1].astype("int64"), p1=a[:, 2],
-                       seq2=a[:, 3].astype("int64"), t2=a[:, 4].astype("int64"), p2=a[:, 5])
-            yield pd.DataFrame(res)
+        if out is not None:
+            yield pd.DataFrame(out)
 
     return fn
 
