@@ -178,12 +178,14 @@ def next_match(df: DataFrame, keys: list[str], mode: str, within_ms: int,
     """
     if mode not in ("strict", "next"):
         raise ValueError(f"mode must be 'strict' or 'next', not {mode!r}")
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     slim = df.select(*keys, "t", "seq", "is_first", "is_second", "payload")
     key_fields = [slim.schema[k] for k in keys]
     order = [*keys, "t", "seq"]
-    ranged = slim.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # Without an explicit count the range exchange is sized by AQE, which may merge
+    # adjacent (small) ranges; merged slices keep their order, which is all the
+    # cross-slice resolution relies on.
+    ranged = slim.repartitionByRange(num_partitions, *order) if num_partitions else slim.repartitionByRange(*order)
+    ranged = ranged.sortWithinPartitions(*order)
     scanned = ranged.mapInPandas(_scan_factory(keys, mode, within_ms), _out_schema(key_fields))
 
     # Cross-slice resolution in the same pass: pairs stay spread by slice; the open
