@@ -119,7 +119,6 @@ def test_entry_json_and_alert_text(spark):
               "facility", "timestamp"]
     a = ["3", 'say "hi"', "13", "h1", "UDP", "1", "/s", "Nova", "7", "1", "2024-01-01 00:00:00.000"]
     b = ["6", "ok", None, "h2", "UDP", "1", "/s", "Neutron", "8", "1", "2024-01-01 00:00:02.000"]
-    schema = ", ".join(f"{f} string" for f in fields)
     df = spark.createDataFrame([tuple(a) + tuple(b)], ", ".join(
         [f"a_{f} string" for f in fields] + [f"b_{f} string" for f in fields]))
     df = df.select(F.struct(*[F.col(f"a_{f}").alias(f) for f in fields]).alias("first"),
@@ -133,4 +132,3 @@ def test_entry_json_and_alert_text(spark):
     assert lines[2] == "Neutron-6-2024-01-01 00:00:02.000"
     assert '"body":"say \\"hi\\""' in lines[3]
     assert text.endswith("\n")
-    assert schema
