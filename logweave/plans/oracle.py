@@ -237,6 +237,15 @@ SELECT horizon_id AS id, 'boston' AS region, np_level AS loglevel, service,
        CAST(hour(np_time) * 60 + minute(np_time) AS INTEGER) AS timeframe, json_ts AS tfhours,
        CAST(horizon_s - age_s AS INTEGER) AS ttl_s, seq
 FROM np_fan WHERE age_s BETWEEN 0 AND horizon_s AND horizon_s - age_s > 0""")
+    q["quarantine_rows"] = _sql("""
+SELECT seq, CASE kind WHEN 'bad_json' THEN 'bad_json' WHEN 'missing_field' THEN 'missing_field'
+                      WHEN 'bad_word' THEN 'no_severity' WHEN 'no_bracket' THEN 'no_info'
+                      ELSE 'level_not_accepted' END AS reject_reason
+FROM rec
+WHERE kind <> 'ok' AND kind <> 'no_body_time' OR lvl NOT IN ('ERROR', 'WARNING', 'INFO')""")
+    q["time_flags"] = _sql("""
+SELECT seq, 'no_body_time' AS time_flag, '1970-01-01 00:00:00.000' AS event_time
+FROM parsed WHERE kind = 'no_body_time'""")
     q["to_event_time"] = _sql(f"""
 SELECT seq, json_ts AS timestamp,
        CASE WHEN json_ts = '' THEN '1970-01-01 00:00:00.000' ELSE {_fmt("date_trunc('millisecond', ts)")} END

@@ -17,7 +17,9 @@ from logweave.functions import (
     severity_code, severity_name, severity_word, timeframe_minutes, to_event_time,
 )
 from logweave.functions.render import alert_text as alert_text_col
-from logweave.operators.parse import accepted_entries, parse_entries, quarantine_counts, valid_entries
+from logweave.operators.parse import (
+    accepted_entries, parse_entries, quarantine, quarantine_counts, valid_entries, validate,
+)
 from logweave.operators.patterns import MINUTES, consecutive_errors, correlated_create_vm, match_sequence
 from logweave.operators.retention import fan_out, latest_by_key, live, ttl_left
 from logweave.operators.views import (
@@ -98,6 +100,16 @@ def q_quarantine_counts(spark, sf_dir):
     return quarantine_counts(_lines(spark, sf_dir), True)
 
 
+def q_quarantine_rows(spark, sf_dir):
+    return quarantine(_lines(spark, sf_dir), True).select("seq", "reject_reason")
+
+
+def q_time_flags(spark, sf_dir):
+    v = validate(parse_entries(_lines(spark, sf_dir), True))
+    return v.where(F.col("json_error").isNull() & F.col("time_flag").isNotNull()).select(
+        "seq", "time_flag", fmt("event_time").alias("event_time"))
+
+
 # parse-body off: severity and time come from the JSON fields (ISO times with an offset included)
 
 def q_accepted_entries_noparse(spark, sf_dir):
