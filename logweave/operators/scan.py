@@ -184,7 +184,14 @@ def next_match(df: DataFrame, keys: list[str], mode: str, within_ms: int,
     # Without an explicit count the range exchange is sized by AQE, which may merge
     # adjacent (small) ranges; merged slices keep their order, which is all the
     # cross-slice resolution relies on.
-    ranged = slim.repartitionByRange(num_partitions, *order) if num_partitions else slim.repartitionByRange(*order)
+    #
+    # The range exchange samples its input with a separate job. A rebalance of the
+    # slim rows right below it makes that input a materialised shuffle stage, so the
+    # sample reads a few columns from shuffle files instead of recomputing the whole
+    # upstream plan (scan + JSON parse) a second time. (A plain ``repartition`` here
+    # would be collapsed into the range exchange by the optimizer; a rebalance is not.)
+    staged = slim.hint("rebalance", "seq")
+    ranged = staged.repartitionByRange(num_partitions, *order) if num_partitions else staged.repartitionByRange(*order)
     ranged = ranged.sortWithinPartitions(*order)
     scanned = ranged.mapInPandas(_scan_factory(keys, mode, within_ms), _out_schema(key_fields))
 

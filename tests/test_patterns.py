@@ -96,3 +96,12 @@ def test_partition_by_override(spark):
     e = entries(spark, [(1, "10:00:00.000", "3", "Nova", "[a]"), (2, "10:01:00.000", "3", "Cinder", "[b]")])
     assert pairs(match_sequence(e, consecutive_errors())) == []
     assert pairs(match_sequence(e, consecutive_errors(), partition_by=[])) == [(1, 2)]
+
+
+def test_range_exchange_reads_a_materialised_stage(spark):
+    """The range exchange's sampling must not re-run the upstream plan: a rebalance sits below it."""
+    e = entries(spark, [(i, f"10:{i // 60:02d}:{i % 60:02d}.000", "3", "Nova", "[a]") for i in range(50)])
+    a = match_sequence(e, consecutive_errors())
+    a.collect()
+    plan = a._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" in plan and "REBALANCE_PARTITIONS_BY_COL" in plan
