@@ -92,14 +92,26 @@ def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions:
     w = pattern.within_ms
 
     if pattern.contiguity == "any":
-        # band join: a match lies in the first row's time bucket or the next one
+        # Band join on (key, time bucket): a match lies in the first row's bucket or the next.
+        # The candidate rows are rebalanced once (one materialised stage holding the parsed
+        # rows), then a Generate gives each row its roles: a first row goes to its own and
+        # the next bucket, a second row to its own. Both join sides filter on the generated
+        # role, which cannot move below the Generate, so they share the one stage and the
+        # input is parsed once.
         bucket = F.floor(F.col("t") / F.lit(w)).cast("long")
-        f = base.where("is_first").select(*keys, F.col("t").alias("t1"), F.col("seq").alias("seq1"),
-                                          F.col("rec").alias("first"),
-                                          F.explode(F.array(bucket, bucket + 1)).alias("b"))
-        s = base.where("is_second").select(*[F.col(k).alias(f"_{k}") for k in keys],
-                                           F.col("t").alias("t2"), F.col("seq").alias("seq2"),
-                                           F.col("rec").alias("second"), bucket.alias("b2"))
+        roles = F.concat(
+            F.when(F.col("is_first"), F.array(F.struct(F.lit("F").alias("role"), bucket.alias("b")),
+                                              F.struct(F.lit("F").alias("role"), (bucket + 1).alias("b"))))
+             .otherwise(F.array().cast("array<struct<role:string,b:bigint>>")),
+            F.when(F.col("is_second"), F.array(F.struct(F.lit("S").alias("role"), bucket.alias("b"))))
+             .otherwise(F.array().cast("array<struct<role:string,b:bigint>>")))
+        staged = base.where(F.col("is_first") | F.col("is_second")).hint("rebalance") \
+            .select(*keys, "t", "seq", "rec", F.inline(roles))
+        f = staged.where(F.col("role") == "F").select(*keys, F.col("t").alias("t1"), F.col("seq").alias("seq1"),
+                                                      F.col("rec").alias("first"), "b")
+        s = staged.where(F.col("role") == "S").select(*[F.col(k).alias(f"_{k}") for k in keys],
+                                                      F.col("t").alias("t2"), F.col("seq").alias("seq2"),
+                                                      F.col("rec").alias("second"), F.col("b").alias("b2"))
         cond = [f["b"] == s["b2"]] + [f[k] == s[f"_{k}"] for k in keys]
         cond += [(s["t2"] > f["t1"]) | ((s["t2"] == f["t1"]) & (s["seq2"] > f["seq1"])),
                  s["t2"] - f["t1"] < w]

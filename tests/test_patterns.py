@@ -105,3 +105,14 @@ def test_range_exchange_reads_a_materialised_stage(spark):
     a.collect()
     plan = a._jdf.queryExecution().executedPlan().toString()
     assert "rangepartitioning" in plan and "REBALANCE_PARTITIONS_BY_COL" in plan
+
+
+def test_band_join_parses_input_once(spark):
+    """Both join sides of the `any` mode read one materialised stage: from_json appears once."""
+    from logweave.operators.parse import accepted_entries
+    from logweave.sources.fixtures import read_event_lines
+    from tests.conftest import SF_SMALL
+    a = match_sequence(accepted_entries(read_event_lines(spark, SF_SMALL)), correlated_create_vm(contiguity="any"))
+    a.collect()
+    final = a._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert final.count("from_json") == 1 and "ReusedExchange" in final, final
