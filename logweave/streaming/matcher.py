@@ -126,8 +126,6 @@ def _prepare(entries: DataFrame, pattern: SequencePattern) -> tuple[DataFrame, l
     keys = [k for k, _ in pattern.key]
     base = entries.select("*", *[c.alias(k) for k, c in pattern.key if k not in entries.columns]) \
         if pattern.key else entries
-    for k in keys:
-        base = base.where(F.col(k).isNotNull())
     rec = F.struct(*[F.col(c) for c in PAYLOAD_FIELDS if c in entries.columns])
     base = base.select(*keys, "event_time", F.unix_millis("event_time").alias("t"), "seq",
                        F.coalesce(pattern.first.where, F.lit(False)).alias("is_first"),
@@ -136,6 +134,17 @@ def _prepare(entries: DataFrame, pattern: SequencePattern) -> tuple[DataFrame, l
     return base, keys, base.schema["rec"].dataType
 
 
+def _keep_after_watermark(cond) -> "F.Column":
+    """``cond`` as one predicate on the event-time column.
+
+    The optimizer pushes filters that do not reference the event-time column
+    below ``withWatermark``; the watermark would then advance only on the rows
+    that survive them. Wrapping the condition around ``event_time`` keeps the
+    filter above, so every accepted row moves the watermark, as in the source.
+    """
+    return F.when(cond, F.col("event_time")).isNotNull()
+
+
 def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s: int = 0,
                           future_cap_s: int | None = None) -> DataFrame:
     """Streaming alerts ``(key..., first, second, alert_name)`` with a bounded out-of-orderness watermark.
@@ -149,6 +158,13 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
         cap = F.current_timestamp() + F.make_interval(secs=F.lit(int(future_cap_s)))
         base = base.where(F.col("event_time") <= cap)
     base = base.withWatermark("event_time", f"{int(delay_s)} seconds")
+    has_key = F.lit(True)
+    for k in keys:
+        has_key = has_key & F.col(k).isNotNull()
+    if pattern.contiguity == "strict":
+        base = base.where(_keep_after_watermark(has_key))
+    else:
+        base = base.where(_keep_after_watermark(has_key & (F.col("is_first") | F.col("is_second"))))
     w = pattern.within_ms
     if pattern.contiguity == "any":
         f = base.where("is_first").select(*[F.col(k).alias(f"f_{k}") for k in keys],
@@ -171,8 +187,6 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
         raise ValueError(f"unknown contiguity {pattern.contiguity!r}")
     slim = base.select(*keys, "event_time", "t", "seq", "is_first", "is_second",
                        F.when(F.col("is_first") | F.col("is_second"), F.to_json("rec")).alias("payload"))
-    if pattern.contiguity == "next":
-        slim = slim.where(F.col("is_first") | F.col("is_second"))
     key_fields = [slim.schema[k] for k in keys]
     out_schema = T.StructType(key_fields + [
         T.StructField("seq1", T.LongType()), T.StructField("t1", T.LongType()), T.StructField("p1", T.StringType()),
