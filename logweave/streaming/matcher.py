@@ -167,10 +167,10 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
         base = base.where(_keep_after_watermark(has_key & (F.col("is_first") | F.col("is_second"))))
     w = pattern.within_ms
     if pattern.contiguity == "any":
-        f = base.where("is_first").select(*[F.col(k).alias(f"f_{k}") for k in keys],
+        f = base.where(_keep_after_watermark(F.col("is_first"))).select(*[F.col(k).alias(f"f_{k}") for k in keys],
                                           F.col("event_time").alias("t1_time"), F.col("t").alias("t1"),
                                           F.col("seq").alias("seq1"), F.col("rec").alias("first"))
-        s = base.where("is_second").select(*[F.col(k).alias(f"s_{k}") for k in keys],
+        s = base.where(_keep_after_watermark(F.col("is_second"))).select(*[F.col(k).alias(f"s_{k}") for k in keys],
                                            F.col("event_time").alias("t2_time"), F.col("t").alias("t2"),
                                            F.col("seq").alias("seq2"), F.col("rec").alias("second"))
         cond = [F.col(f"f_{k}") == F.col(f"s_{k}") for k in keys] + [
