@@ -115,3 +115,20 @@ def test_merge_latest_upserts_touched_partitions(spark):
     got = sorted((r["date"], r["loglevel"], r["payload"]) for r in spark.read.parquet(f"{d}/latest").collect())
     assert got == [("2024-1-1", "ERROR", "d"), ("2024-1-1", "INFO", "b"), ("2024-1-2", "ERROR", "c"),
                    ("2024-1-3", "INFO", "e")]
+
+
+def test_drop_expired_partitions(spark):
+    import datetime as dt
+    from logweave.operators.views import node_rows
+    from logweave.sinks.expiry import drop_expired
+    d = tmp()
+    t0 = dt.datetime(2024, 1, 31)
+    acc = spark.createDataFrame([(1, "ERROR", "h1", t0)], "seq long, level string, hostname string, event_time timestamp")
+    write_micro_batch(node_rows(acc, t0), f"{d}/nodes", 0, ["id"])
+    write_micro_batch(node_rows(acc, t0 + dt.timedelta(hours=3)), f"{d}/nodes", 1, ["id"])
+    # 4.5 hours after the first write: the 1h rows of both batches (written at +0 h and +3 h) have
+    # expired, every longer horizon is still live
+    removed = drop_expired(spark, f"{d}/nodes", t0 + dt.timedelta(hours=4, minutes=30))
+    assert removed == 2
+    left = {(r["batch_id"], r["id"]) for r in spark.read.parquet(f"{d}/nodes").collect()}
+    assert len(left) == 10 and not any(i == "1h" for _, i in left)
