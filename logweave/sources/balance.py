@@ -6,14 +6,17 @@ from pyspark.sql import DataFrame
 
 
 def rebalance_if_narrow(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` only when its scan yields fewer partitions than the cluster can run.
+    """Round-robin ``df`` only when its scan would leave most of the cluster idle.
 
     A large input is already split into many files / row groups and is returned
-    unchanged (no shuffle). A single small file (one row group) would otherwise
-    put the whole parse into one task.
+    unchanged (no shuffle): the trigger is a scan with fewer than half as many
+    partitions as the target (the cluster's parallelism, capped by
+    ``spark.sql.shuffle.partitions``). A single small file with one row group
+    would otherwise put the whole parse into one task.
     """
     spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
+    target = min_partitions or min(spark.sparkContext.defaultParallelism,
+                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
+    if df.rdd.getNumPartitions() * 2 <= target:
         return df.repartition(target)
     return df
