@@ -105,7 +105,7 @@ def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions:
              .otherwise(F.array().cast("array<struct<role:string,b:bigint>>")),
             F.when(F.col("is_second"), F.array(F.struct(F.lit("S").alias("role"), bucket.alias("b"))))
              .otherwise(F.array().cast("array<struct<role:string,b:bigint>>")))
-        staged = base.where(F.col("is_first") | F.col("is_second")).hint("rebalance") \
+        staged = base.where(F.col("is_first") | F.col("is_second")).hint("rebalance", "seq") \
             .select(*keys, "t", "seq", "rec", F.inline(roles))
         f = staged.where(F.col("role") == "F").select(*keys, F.col("t").alias("t1"), F.col("seq").alias("seq1"),
                                                       F.col("rec").alias("first"), "b")
