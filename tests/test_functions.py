@@ -132,3 +132,12 @@ def test_entry_json_and_alert_text(spark):
     assert lines[2] == "Neutron-6-2024-01-01 00:00:02.000"
     assert '"body":"say \\"hi\\""' in lines[3]
     assert text.endswith("\n")
+
+
+@pytest.mark.parametrize("horizon_id,horizon_s", [("1h", 3600), ("6h", 21600), ("12h", 43200), ("24h", 86400),
+                                                   ("1w", 604800), ("1m", 2419200)])
+def test_every_horizon_bounds(spark, horizon_id, horizon_s):
+    rows = [(AS_OF + dt.timedelta(seconds=5),), (AS_OF - dt.timedelta(seconds=horizon_s),),
+            (AS_OF - dt.timedelta(seconds=horizon_s + 1),)]
+    got = [r[0] for r in spark.createDataFrame(rows, "t timestamp").select(in_period("t", horizon_s, AS_OF)).collect()]
+    assert got == [False, True, False]

@@ -116,3 +116,25 @@ def test_band_join_parses_input_once(spark):
     a.collect()
     final = a._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("from_json") == 1 and "ReusedExchange" in final, final
+
+
+def test_alert_properties_on_fixture(spark):
+    """Every alert: same key, first before second, within the bound, the right levels, different ids."""
+    from logweave.operators.parse import accepted_entries
+    from logweave.sources.fixtures import read_event_lines
+    from tests.conftest import SF_SMALL
+    acc = accepted_entries(read_event_lines(spark, SF_SMALL))
+    for pat, key, levels in [(consecutive_errors(120 * MINUTES), "service", ("3", "3")),
+                             (correlated_create_vm(120 * MINUTES), "correlation_id", ("3", "6")),
+                             (correlated_create_vm(120 * MINUTES, "any"), "correlation_id", ("3", "6"))]:
+        rows = match_sequence(acc, pat).collect()
+        assert rows
+        for r in rows:
+            a, b = r["first"], r["second"]
+            assert (a["event_time"], a["seq"]) < (b["event_time"], b["seq"])
+            assert (b["event_time"] - a["event_time"]).total_seconds() * 1000 < pat.within_ms
+            assert (a["severity"], b["severity"]) == levels and a["id"] != b["id"]
+            if key == "service":
+                assert a["service"] == b["service"] == r["service"]
+            else:
+                assert f"CEP_ID={r['correlation_id']} " in a["body"] + " " and f"CEP_ID={r['correlation_id']} " in b["body"] + " "
