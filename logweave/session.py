@@ -44,9 +44,13 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``logweave`` importable on the executors' Python workers (as ``--py-files`` would).
 
     The pattern operators run Python on executors (``mapInPandas``,
-    ``applyInPandasWithState``); their functions live in this package, so the
-    package is zipped once per SparkContext and added with ``addPyFile``.
+    ``applyInPandasWithState``); their functions live in this package. The
+    package is zipped in memory, written once per SparkContext into the shared
+    checkpoint folder (``spark.checkpoint.dir``), and added with ``addPyFile``,
+    which executors fetch from there.
     """
+    import hashlib
+    import io
     import zipfile
 
     sc = spark.sparkContext
@@ -55,14 +59,25 @@ def ship_package(spark: SparkSession) -> None:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
     root = os.path.dirname(pkg)
-    out = os.path.join(tempfile.mkdtemp(prefix="logweave-pyfiles-"), "logweave.zip")
-    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
-        for d, _, files in os.walk(pkg):
-            for f in files:
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as z:
+        for d, _, files in sorted(os.walk(pkg)):
+            for f in sorted(files):
                 if f.endswith(".py"):
                     full = os.path.join(d, f)
                     z.write(full, os.path.relpath(full, root))
-    sc.addPyFile(out)
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:12]
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    jvm = sc._jvm
+    target = jvm.org.apache.hadoop.fs.Path(f"{base}/pyfiles/{app}/logweave-{digest}.zip")
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    out = fs.create(target, True)
+    try:
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    sc.addPyFile(target.toString())
     _SHIPPED.add(app)
 
 
