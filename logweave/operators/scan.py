@@ -14,9 +14,10 @@ all rows. Here the rows are range-partitioned on ``(key, t, seq)``, which
 samples the sort key and splits a hot key over many tasks. Each task scans its
 sorted slice once (vectorised with numpy, batch by batch, constant state).
 Only the last key of a slice can continue into the next slice, so each task
-emits at most a bounded set of "open" rows plus one "head" summary row; a
-window over the head rows (one per partition) resolves what continues across
-slices.
+emits its "open" rows (first rows still waiting at the slice end), one "head"
+summary and at most one "marker"; a small window over heads and markers (two
+rows per slice) finds each slice's continuation, and a window per slice hands
+it to the open rows, which never leave their slice's partition.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
 
-PAIR, OPEN, HEAD = "pair", "open", "head"
+PAIR, OPEN, HEAD, MARK = "pair", "open", "head", "mark"
 
 
 def _out_schema(key_fields: list[T.StructField]) -> T.StructType:
@@ -158,6 +159,8 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
             if len(carry):
                 yield _rows(OPEN, pid, keys, carry, carry["seq"].to_numpy(dtype=np.int64),
                             carry["t"].to_numpy(dtype=np.int64), p1=carry["payload"].to_numpy())
+                # one marker per slice asks for the continuation of its last key
+                yield _rows(MARK, pid, keys, carry.iloc[[0]])
         found = np.array([bool(head["found"]) if mode == "next" else bool(head["found"][0])])
         seq2 = head["seq2"] if head["seq2"] is not None else pd.array([None], dtype="Int64")
         t2 = head["t2"] if head["t2"] is not None else pd.array([None], dtype="Int64")
@@ -195,26 +198,33 @@ def next_match(df: DataFrame, keys: list[str], mode: str, within_ms: int,
     ranged = ranged.sortWithinPartitions(*order)
     scanned = ranged.mapInPandas(_scan_factory(keys, mode, within_ms), _out_schema(key_fields))
 
-    # Cross-slice resolution in the same pass: pairs stay spread by slice; the open
-    # rows and the head rows (one per slice) share one group, ordered by slice
-    # descending, where each open row picks up the nearest later slice's head that
-    # is not "transparent" (next mode: a slice of one key with no candidate).
+    # Cross-slice resolution, as one chain over the scan output (no second consumer):
+    # 1. heads (one per slice) and markers (one per slice with open rows) share one small
+    #    group, ordered by slice descending; each marker picks up the nearest later slice's
+    #    head that is not "transparent" (next mode: a slice of one key with no candidate);
+    # 2. a window per slice hands the marker's answer to that slice's open rows.
+    # Pairs and open rows stay spread by slice in both steps; the shared group holds at
+    # most two rows per slice whatever the key distribution.
     kind = F.col("kind")
     transparent = F.col("only_key") & ~F.col("found") if mode == "next" else F.lit(False)
     nxt = F.struct(*[F.col(k).alias(f"k_{k}") for k in keys], "found", "seq2", "t2", "p2")
-    g = F.when(kind == PAIR, F.col("pid")).otherwise(F.lit(-1))
-    w = (Window.partitionBy("g").orderBy(F.col("pid").desc(), F.col("rank"))
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    windowed = scanned.select("*", g.alias("g"), F.when(kind == HEAD, 1).otherwise(0).alias("rank")) \
-        .select("*", F.last(F.when((kind == HEAD) & ~transparent, nxt), ignorenulls=True).over(w).alias("nx"))
+    g = F.when(kind.isin(HEAD, MARK), F.lit(-1)).otherwise(F.col("pid"))
+    w1 = (Window.partitionBy("g").orderBy(F.col("pid").desc(), F.col("rank"))
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    step1 = scanned.select("*", g.alias("g"), F.when(kind == HEAD, 1).otherwise(0).alias("rank")) \
+        .select("*", F.last(F.when((kind == HEAD) & ~transparent, nxt), ignorenulls=True).over(w1).alias("nx")) \
+        .where(kind != HEAD)
+    w2 = (Window.partitionBy("pid").orderBy(F.when(kind == MARK, 0).otherwise(1))
+          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    windowed = step1.select("*", F.first(F.when(kind == MARK, F.col("nx")), ignorenulls=True).over(w2).alias("rx"))
     same_key = F.lit(True)
     for k in keys:
-        same_key = same_key & (F.col(f"nx.k_{k}") == F.col(k))
-    crossing = ((kind == OPEN) & F.col("nx").isNotNull() & same_key & F.col("nx.found")
-                & (F.col("nx.t2") - F.col("t1") < within_ms))
+        same_key = same_key & (F.col(f"rx.k_{k}") == F.col(k))
+    crossing = ((kind == OPEN) & F.col("rx").isNotNull() & same_key & F.col("rx.found")
+                & (F.col("rx.t2") - F.col("t1") < within_ms))
     is_pair = kind == PAIR
     return windowed.where(is_pair | crossing).select(
         *keys, "seq1", "t1", "p1",
-        F.when(is_pair, F.col("seq2")).otherwise(F.col("nx.seq2")).alias("seq2"),
-        F.when(is_pair, F.col("t2")).otherwise(F.col("nx.t2")).alias("t2"),
-        F.when(is_pair, F.col("p2")).otherwise(F.col("nx.p2")).alias("p2"))
+        F.when(is_pair, F.col("seq2")).otherwise(F.col("rx.seq2")).alias("seq2"),
+        F.when(is_pair, F.col("t2")).otherwise(F.col("rx.t2")).alias("t2"),
+        F.when(is_pair, F.col("p2")).otherwise(F.col("rx.p2")).alias("p2"))
