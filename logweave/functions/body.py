@@ -16,8 +16,8 @@ CORRELATION_MARKER = "CEP_ID="
 
 def body_timestamp(body: "str | Column") -> Column:
     """First ``yyyy-MM-dd HH:mm:ss.SSS`` in the text, else the epoch text (PRS3)."""
-    found = F.regexp_extract(col(body), TIMESTAMP_PATTERN, 0)
-    return F.when(found == "", F.lit(EPOCH_TEXT)).otherwise(found)
+    # regexp_substr is null when nothing matches: one regex evaluation per row
+    return F.coalesce(F.regexp_substr(col(body), F.lit(TIMESTAMP_PATTERN)), F.lit(EPOCH_TEXT))
 
 
 def severity_word(body: "str | Column") -> Column:

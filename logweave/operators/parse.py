@@ -10,9 +10,9 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from logweave.functions.body import body_info, body_severity, body_timestamp
+from logweave.functions.body import TIMESTAMP_PATTERN, body_info, body_severity
 from logweave.functions.severity import accepted_level, severity_name
-from logweave.functions.timeparse import parse_time_or_null, to_event_time
+from logweave.functions.timeparse import parse_time_or_null
 from logweave.schema import ACCEPTED_LEVELS, CORRUPT_COL, EPOCH_TEXT, LOG_ENTRY_WITH_CORRUPT, LOG_FIELDS
 
 JSON_OPTIONS = {
@@ -46,11 +46,17 @@ def parse_entries(lines: DataFrame, parse_body: bool = True, value_col: str = "v
     if parse_body:
         body = r["body"]
         r["severity"] = F.when(body.isNotNull(), body_severity(body))
-        r["timestamp"] = F.when(body.isNotNull(), body_timestamp(body))
+        # the raw first match; the epoch fallback is applied above, on the stored match
+        r["timestamp"] = F.when(body.isNotNull(), F.regexp_extract(body, TIMESTAMP_PATTERN, 0))
         r["body"] = F.when(body.isNotNull(), body_info(body))
     ok = json_error.isNull()
-    fields = [F.when(ok, r[f]).alias(f) for f in LOG_FIELDS]
-    return parsed.select(*[F.col(k) for k in keep], "raw_value", *fields, json_error.alias("json_error"))
+    # again behind a Generate, so later filters on these fields do not re-run the extractors
+    fields = F.struct(*[F.when(ok, r[f]).alias(f) for f in LOG_FIELDS], json_error.alias("json_error"))
+    out = parsed.select(*[F.col(k) for k in keep], "raw_value", F.inline(F.array(fields)))
+    if parse_body:
+        ts = F.col("timestamp")
+        out = out.withColumn("timestamp", F.when(ts == "", F.lit(EPOCH_TEXT)).otherwise(ts))
+    return out
 
 
 def validate(entries: DataFrame, accepted=ACCEPTED_LEVELS) -> DataFrame:
@@ -67,15 +73,21 @@ def validate(entries: DataFrame, accepted=ACCEPTED_LEVELS) -> DataFrame:
               .when(~_nonempty(body), F.lit("no_info"))
               .when(level.isNull(), F.lit("unknown_severity"))
               .when(~accepted_level(level, accepted), F.lit("level_not_accepted")))
+    # Computed inside a Generate (``inline`` of a one-element array), like the JSON parse:
+    # a filter on ``reject_reason`` cannot be pushed below it, so the extractors and time
+    # parsing it depends on run once per row instead of once in the filter and again in
+    # the projection above it. The multi-format time parse is evaluated once and both the
+    # event time and the flag are derived from it.
+    derived = F.struct(level.alias("level"), parse_time_or_null(ts).alias("_parsed_time"),
+                       reason.alias("reject_reason"))
+    out = entries.select("*", F.inline(F.array(derived)))
+    parsed_time = F.col("_parsed_time")
+    event_time = F.when(_nonempty(ts), F.date_trunc("millisecond",
+                                                    F.coalesce(parsed_time, F.timestamp_millis(F.lit(0)))))
     time_flag = (F.when(ts == EPOCH_TEXT, F.lit("no_body_time"))
-                 .when(_nonempty(ts) & parse_time_or_null(ts).isNull(), F.lit("bad_time")))
-    return entries.select(
-        "*",
-        level.alias("level"),
-        F.when(_nonempty(ts), to_event_time(ts)).alias("event_time"),
-        time_flag.alias("time_flag"),
-        reason.alias("reject_reason"),
-    )
+                 .when(_nonempty(ts) & parsed_time.isNull(), F.lit("bad_time")))
+    return out.select(*entries.columns, "level", event_time.alias("event_time"), time_flag.alias("time_flag"),
+                      "reject_reason")
 
 
 def accepted_entries(lines: DataFrame, parse_body: bool = True, accepted=ACCEPTED_LEVELS) -> DataFrame:
