@@ -1,7 +1,10 @@
 """Parse, validate and quarantine (PRS1, PRS2, FLT1, FLT2, FLT8).
 
-All steps are one narrow projection over the input lines: no shuffle, one
-whole-stage-codegen span, valid in batch and in streaming.
+All steps are narrow (no shuffle) and valid in batch and in streaming. The
+JSON parse, the text extractors and the validation each sit behind a one-row
+``inline`` (a Generate): Catalyst cannot push a filter through it, so a filter
+on a derived column (``reject_reason``, the pattern key, ...) never re-runs the
+costly expressions it depends on.
 """
 
 from __future__ import annotations
