@@ -68,16 +68,23 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     data = buf.getvalue()
     digest = hashlib.sha1(data).hexdigest()[:12]
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    jvm = sc._jvm
-    target = jvm.org.apache.hadoop.fs.Path(f"{base}/pyfiles/{app}/logweave-{digest}.zip")
-    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
-    out = fs.create(target, True)
     try:
-        out.write(bytearray(data))
-    finally:
-        out.close()
-    sc.addPyFile(target.toString())
+        base = ensure_checkpoint_dir(spark).rstrip("/")
+        jvm = sc._jvm
+        target = jvm.org.apache.hadoop.fs.Path(f"{base}/pyfiles/{app}/logweave-{digest}.zip")
+        fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+        out = fs.create(target, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+        location = target.toString()
+    except Exception:  # shared folder not writable: the driver serves the file itself
+        local = os.path.join(tempfile.mkdtemp(prefix="logweave-pyfiles-"), f"logweave-{digest}.zip")
+        with open(local, "wb") as fh:
+            fh.write(data)
+        location = local
+    sc.addPyFile(location)
     _SHIPPED.add(app)
 
 
