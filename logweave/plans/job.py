@@ -62,8 +62,13 @@ def build(lines: DataFrame, as_of, parse_body: bool = True, place: Placement = P
 
 
 def run_batch(lines: DataFrame, out_path: str, as_of, parse_body: bool = True,
-              place: Placement = Placement(), pattern: SequencePattern | None = None) -> dict[str, int]:
-    """Parse once into ``out_path/parsed``, then write the tables, quarantine and alert text from it."""
+              place: Placement = Placement(), pattern: SequencePattern | None = None,
+              mode: str = "overwrite") -> dict[str, int]:
+    """Parse once into ``out_path/parsed``, then write the tables, quarantine and alert text from it.
+
+    ``mode="overwrite"`` (default) makes a rerun after a failure replace its own output
+    rather than add to it; ``"append"`` adds a run to existing tables.
+    """
     spark = lines.sparkSession
     parsed = validate(parse_entries(lines, parse_body)).withColumn(
         "status", F.when(F.col("reject_reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected")))
@@ -77,8 +82,8 @@ def run_batch(lines: DataFrame, out_path: str, as_of, parse_body: bool = True,
     _, quarantine = split(stored.where(F.col("status") == "rejected").drop("status"))
     o = derive(accepted, quarantine, as_of, place, pattern)
     for name, df in o.tables.items():
-        write_table(df, f"{out_path}/{name}", TABLE_PARTITIONS[name])
-    alerts_to_text(o.alerts).write.mode("append").text(f"{out_path}/alerts")
+        write_table(df, f"{out_path}/{name}", TABLE_PARTITIONS[name], mode=mode)
+    alerts_to_text(o.alerts).write.mode(mode).text(f"{out_path}/alerts")
     counters = {name: int(ob.get.get("rows", 0)) for name, ob in o.observations.items()}
     counters.update({k: int(v) for k, v in obs.get.items()})
     return counters

@@ -97,6 +97,9 @@ def test_batch_job_writes_and_counts(spark):
     assert spark.read.text(f"{d}/alerts").count() > 0
     o = build(lines, "2024-01-31 00:00:00", observe=False)
     assert o.quarantine.count() == lines.count() - n
+    # a rerun replaces its own output
+    run_batch(lines, d, "2024-01-31 00:00:00")
+    assert spark.read.parquet(f"{d}/raw_rows").count() == n
 
 
 def test_merge_latest_upserts_touched_partitions(spark):
