@@ -36,13 +36,32 @@ class _Both:
                     q.stop()
 
 
+# options of this command that are not Kafka consumer properties
+LOCAL_KEYS = {"source.path", "alerts.path", "once"}
+# consumer settings the Spark Kafka source has no use for
+IGNORED_KEYS = {"zookeeper.connect"}
+
+
+def kafka_source_options(cfg: PipelineConfig) -> tuple[str, dict]:
+    """Bootstrap servers and consumer properties for the source.
+
+    Extra arguments are consumer properties (``--group.id g`` -> ``kafka.group.id``);
+    ``--bootstrap.servers`` names the source cluster, else ``--broker`` is used.
+    """
+    servers = cfg.extra.get("bootstrap.servers") or cfg.broker
+    opts = {f"kafka.{k}": v for k, v in cfg.extra.items()
+            if k not in LOCAL_KEYS | IGNORED_KEYS | {"bootstrap.servers"} and v != ""}
+    return servers, opts
+
+
 def start(spark, cfg: PipelineConfig):
     once = cfg.extra.get("once", "false").lower() == "true"
     src = cfg.extra.get("source.path")
     if src:
         lines = read_lines(spark, src, streaming=True)
     else:
-        lines = read_kafka_lines(spark, cfg.broker, cfg.topic)
+        servers, opts = kafka_source_options(cfg)
+        lines = read_kafka_lines(spark, servers, cfg.topic, options=opts)
     place = Placement(cfg.az, cfg.region)
     trigger = None if once else cfg.trigger_ms
     tables = start_tables_stream(lines, cfg.tables_path, parse_body=cfg.parse_body, place=place,

@@ -135,3 +135,14 @@ def test_drop_expired_partitions(spark):
     assert removed == 2
     left = {(r["batch_id"], r["id"]) for r in spark.read.parquet(f"{d}/nodes").collect()}
     assert len(left) == 10 and not any(i == "1h" for _, i in left)
+
+
+def test_kafka_consumer_properties_from_arguments():
+    from logweave.__main__ import kafka_source_options
+    cfg = PipelineConfig.from_args(["--topic", "t", "--broker", "out:9092", "--target-topic", "a", "--tables.path",
+                                    "/x", "--bootstrap.servers", "in:9092", "--group.id", "g",
+                                    "--zookeeper.connect", "zk:2181", "--once", "true"])
+    servers, opts = kafka_source_options(cfg)
+    assert servers == "in:9092" and opts == {"kafka.group.id": "g"}
+    cfg2 = PipelineConfig.from_args(["--topic", "t", "--broker", "b:9092", "--target-topic", "a", "--tables.path", "/x"])
+    assert kafka_source_options(cfg2) == ("b:9092", {})
