@@ -138,3 +138,12 @@ def test_alert_properties_on_fixture(spark):
                 assert a["service"] == b["service"] == r["service"]
             else:
                 assert f"CEP_ID={r['correlation_id']} " in a["body"] + " " and f"CEP_ID={r['correlation_id']} " in b["body"] + " "
+
+
+@pytest.mark.parametrize("mode", ["strict", "next", "any"])
+def test_empty_and_candidate_free_inputs(spark, mode):
+    none = entries(spark, [(1, "10:00:00.000", "6", "Nova", "[a]")]).where("seq < 0")
+    assert match_sequence(none, consecutive_errors()).count() == 0
+    info_only = entries(spark, [(i, f"10:00:{i:02d}.000", "6", "Nova", "[a]") for i in range(20)])
+    pat = correlated_create_vm(contiguity=mode) if mode != "strict" else consecutive_errors()
+    assert match_sequence(info_only, pat, num_partitions=4).count() == 0
