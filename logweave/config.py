@@ -72,6 +72,8 @@ class PipelineConfig:
         )
 
     def job_name(self) -> str:
-        """Query name listing the settings (CFG4)."""
-        return (f"logweave topic={self.topic} broker={self.broker} target-topic={self.target_topic} "
-                f"tables={self.tables_path}")
+        """Application name listing every setting, extra properties included (CFG4)."""
+        fixed = {"topic": self.topic, "broker": self.broker, "target-topic": self.target_topic,
+                 "tables.path": self.tables_path, "parseBody": str(self.parse_body).lower(),
+                 "maxOutOfOrderness": str(self.max_out_of_order_s)}
+        return "logweave - " + "; ".join(f"{k}: {v}" for k, v in {**fixed, **self.extra}.items())

@@ -10,6 +10,7 @@ are keyed by batch id, so a replayed batch overwrites itself.
 from __future__ import annotations
 
 import datetime as dt
+import logging
 import time
 from collections.abc import Callable
 
@@ -24,6 +25,8 @@ from logweave.session import ensure_checkpoint_dir
 from logweave.sinks.writers import TABLE_PARTITIONS, alerts_to_text, merge_latest, write_micro_batch
 from logweave.streaming.matcher import match_sequence_stream
 
+_LOG = logging.getLogger(__name__)
+
 
 def _checkpoint(df: DataFrame, name: str, location: str | None) -> str:
     return location or f"{ensure_checkpoint_dir(df.sparkSession)}/streams/{name}"
@@ -111,8 +114,10 @@ def run_with_restarts(start: Callable[[], StreamingQuery], attempts: int = 3, de
         try:
             q.awaitTermination()
             return q
-        except StreamingQueryException:
+        except StreamingQueryException as exc:
             failures += 1
             if failures > attempts:
+                _LOG.error("streaming job failed, no restart left (%d attempts): %s", attempts, exc)
                 raise
+            _LOG.error("streaming job failed (restart %d of %d in %.0f s): %s", failures, attempts, delay_s, exc)
             sleep(delay_s)

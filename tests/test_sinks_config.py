@@ -77,7 +77,7 @@ def test_config():
                                     "--tables.path", "/data", "--restart.attempts", "", "--parseBody", "false",
                                     "--group.id", "g"])
     assert cfg.restart_attempts == 3 and cfg.parse_body is False and cfg.extra == {"group.id": "g"}
-    assert "topic=logs" in cfg.job_name()
+    assert "topic: logs" in cfg.job_name() and "group.id: g" in cfg.job_name()
     with pytest.raises(ValueError):
         PipelineConfig.from_args(["--topic", "logs"])
 
