@@ -81,4 +81,4 @@ def events_to_lines(events: DataFrame) -> DataFrame:
 def read_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Read ``events.parquet`` under ``sf_dir`` and adapt it to syslog lines."""
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
-    return events_to_lines(rebalance_if_narrow(events))
+    return events_to_lines(rebalance_if_narrow(events, key="event_id"))
