@@ -74,3 +74,22 @@ def test_unkeyed_scan(spark, tiny_batches, mode):
                                "t long, seq long, is_first boolean, is_second boolean, payload string")
     got = {(r["seq1"], r["seq2"]) for r in next_match(df, [], mode, 15, num_partitions=9).collect()}
     assert got == brute(rows, mode, 15)
+
+
+@pytest.mark.parametrize("mode", ["strict", "next"])
+def test_aqe_coalesced_slices_keep_order(spark, tiny_batches, mode):
+    """With no explicit count AQE sizes the range exchange by merging adjacent slices; order holds."""
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        rnd = random.Random(5)
+        rows = [(rnd.choice(["a", "b"]), rnd.randint(0, 400), i, rnd.random() < 0.5, rnd.random() < 0.3)
+                for i in range(400)]
+        df = spark.createDataFrame([(k, t, s, f, sec, None) for k, t, s, f, sec in rows],
+                                   "k string, t long, seq long, is_first boolean, is_second boolean, payload string")
+        if mode == "next":
+            df = df.where(F.col("is_first") | F.col("is_second"))
+        got = {(r["seq1"], r["seq2"]) for r in next_match(df, ["k"], mode, 25).collect()}
+        assert got == brute(rows, mode, 25)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
