@@ -38,8 +38,9 @@ class _Both:
 
 # options of this command that are not Kafka consumer properties
 LOCAL_KEYS = {"source.path", "alerts.path", "once"}
-# consumer settings the Spark Kafka source has no use for
-IGNORED_KEYS = {"zookeeper.connect"}
+# settings the Spark Kafka source has no use for: the old consumer's ZooKeeper address, and the
+# column-store address of the original sinks (tables go to --tables.path here)
+IGNORED_KEYS = {"zookeeper.connect", "cassandra.host", "cassandra.port"}
 
 
 def kafka_source_options(cfg: PipelineConfig) -> tuple[str, dict]:

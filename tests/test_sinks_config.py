@@ -141,7 +141,7 @@ def test_kafka_consumer_properties_from_arguments():
     from logweave.__main__ import kafka_source_options
     cfg = PipelineConfig.from_args(["--topic", "t", "--broker", "out:9092", "--target-topic", "a", "--tables.path",
                                     "/x", "--bootstrap.servers", "in:9092", "--group.id", "g",
-                                    "--zookeeper.connect", "zk:2181", "--once", "true"])
+                                    "--zookeeper.connect", "zk:2181", "--cassandra.host", "db", "--once", "true"])
     servers, opts = kafka_source_options(cfg)
     assert servers == "in:9092" and opts == {"kafka.group.id": "g"}
     cfg2 = PipelineConfig.from_args(["--topic", "t", "--broker", "b:9092", "--target-topic", "a", "--tables.path", "/x"])
