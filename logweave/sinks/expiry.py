@@ -15,26 +15,26 @@ from pyspark.sql import SparkSession, functions as F
 from logweave.functions.timeparse import as_of_column
 
 
-def expired_partitions(spark: SparkSession, path: str, read_at, partition_cols: list[str]) -> list[dict]:
-    """Partition values (one dict each) whose rows have all expired at ``read_at``."""
+def expired_partitions(spark: SparkSession, path: str, read_at, partition_cols: list[str]):
+    """Partition values (one row each) whose rows have all expired at ``read_at``, as a DataFrame."""
     df = spark.read.parquet(path)
     latest = df.groupBy(*partition_cols).agg(F.max("expires_at").alias("last_expiry"))
-    gone = latest.where(F.col("last_expiry") <= as_of_column(read_at)).select(*partition_cols)
-    # one row per partition directory: metadata-sized
-    return [r.asDict() for r in gone.collect()]
+    return latest.where(F.col("last_expiry") <= as_of_column(read_at)).select(*partition_cols)
 
 
 def drop_expired(spark: SparkSession, path: str, read_at, partition_cols: list[str] | None = None) -> int:
-    """Delete expired partition directories under ``path``; returns how many were removed."""
+    """Delete expired partition directories under ``path``; returns how many were removed.
+
+    The list of expired partitions is streamed to the driver one Spark partition at
+    a time (``toLocalIterator``), so its length does not bound driver memory.
+    """
     cols = partition_cols or ["batch_id", "id"]
-    parts = expired_partitions(spark, path, read_at, cols)
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(conf)
+    fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)
     removed = 0
-    for p in parts:
-        sub = "/".join(f"{c}={p[c]}" for c in cols)
+    for row in expired_partitions(spark, path, read_at, cols).toLocalIterator():
+        sub = "/".join(f"{c}={row[c]}" for c in cols)
         target = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{sub}")
         if fs.exists(target) and fs.delete(target, True):
             removed += 1
