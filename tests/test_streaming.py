@@ -60,7 +60,8 @@ def test_out_of_order_within_bound(spark):
 
 @pytest.mark.parametrize("make", [lambda: consecutive_errors(120 * MINUTES),
                                   lambda: correlated_create_vm(120 * MINUTES),
-                                  lambda: correlated_create_vm(120 * MINUTES, "any")])
+                                  lambda: correlated_create_vm(120 * MINUTES, "any"),
+                                  lambda: correlated_create_vm(120 * MINUTES, "strict")])
 def test_stream_equals_batch_on_fixture(spark, make):
     pattern = make()
     lines = read_event_lines(spark, SF_SMALL)
