@@ -113,14 +113,22 @@ def write_keyed(df: DataFrame, path: str | None = None, *, target: T.StructType
     return out
 
 
-def alerts_to_text(alerts: DataFrame) -> DataFrame:
-    """Alerts -> one ``value`` text column (PRS14)."""
-    return alerts.select(alert_text("first", "second").alias("value"))
+def alerts_to_text(alerts: DataFrame, with_key: bool = False) -> DataFrame:
+    """Alerts -> one ``value`` text column (PRS14).
+
+    ``with_key`` adds a ``key`` that is the same for the same pair of records, so a
+    consumer of an at-least-once sink (Kafka) can drop an alert replayed after a failure.
+    """
+    value = alert_text("first", "second").alias("value")
+    if not with_key:
+        return alerts.select(value)
+    key = F.xxhash64(F.col("first.seq"), F.col("second.seq")).cast("string").alias("key")
+    return alerts.select(key, value)
 
 
 def write_alerts_kafka(alerts: DataFrame, bootstrap_servers: str, topic: str, options: dict | None = None):
-    """Alert text to a Kafka topic (SNK5); a streaming frame returns the ``DataStreamWriter``."""
-    out = alerts_to_text(alerts)
+    """Alert text to a Kafka topic (SNK5), keyed for de-duplication; a streaming frame returns the ``DataStreamWriter``."""
+    out = alerts_to_text(alerts, with_key=True)
     w = out.writeStream if out.isStreaming else out.write
     w = w.format("kafka").option("kafka.bootstrap.servers", bootstrap_servers).option("topic", topic)
     for k, v in (options or {}).items():

@@ -85,7 +85,7 @@ def start_alerts_stream(lines: DataFrame, sink: str, path_or_topic: str, pattern
                         options: dict | None = None, query_name: str = "logweave_alerts",
                         trigger_ms: int | None = None, available_now: bool = False) -> StreamingQuery:
     """Alert text to ``sink``: ``"kafka"`` (topic), ``"text"`` / ``"json"`` (path) or ``"memory"`` (query name)."""
-    text = alerts_to_text(alerts_stream(lines, pattern, parse_body, delay_s))
+    text = alerts_to_text(alerts_stream(lines, pattern, parse_body, delay_s), with_key=sink == "kafka")
     w = text.writeStream.queryName(query_name).outputMode("append") \
         .option("checkpointLocation", _checkpoint(text, query_name, checkpoint))
     for k, v in (options or {}).items():

@@ -146,3 +146,16 @@ def test_kafka_consumer_properties_from_arguments():
     assert servers == "in:9092" and opts == {"kafka.group.id": "g"}
     cfg2 = PipelineConfig.from_args(["--topic", "t", "--broker", "b:9092", "--target-topic", "a", "--tables.path", "/x"])
     assert kafka_source_options(cfg2) == ("b:9092", {})
+
+
+def test_alert_messages_keyed_for_dedupe(spark):
+    from logweave.operators.patterns import consecutive_errors, match_sequence
+    from logweave.sinks.writers import alerts_to_text
+    lines = read_event_lines(spark, SF_SMALL)
+    alerts = match_sequence(accepted_entries(lines), consecutive_errors(120 * 60 * 1000))
+    keyed = alerts_to_text(alerts, with_key=True)
+    assert keyed.columns == ["key", "value"]
+    rows = keyed.collect()
+    assert len({r["key"] for r in rows}) == len(rows) > 0
+    assert {r["key"] for r in rows} == {r["key"] for r in alerts_to_text(alerts, with_key=True).collect()}
+    assert alerts_to_text(alerts).columns == ["value"]
