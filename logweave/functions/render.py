@@ -6,6 +6,10 @@ from pyspark.sql import Column, functions as F
 
 from logweave.schema import LOG_FIELDS
 
+# Alert text header and the separator of the per-record summary line.
+ALERT_HEADER = "ErrorAlert: "
+SUMMARY_SEPARATOR = "-"
+
 
 def entry_json(prefix: str = "") -> Column:
     """Record as JSON in fixed key order; null fields written as ``""`` (SNK11).
@@ -16,13 +20,14 @@ def entry_json(prefix: str = "") -> Column:
 
 
 def _summary(prefix: str) -> Column:
-    return F.concat_ws("-", *[F.coalesce(F.col(prefix + f), F.lit("")) for f in ("service", "severity", "timestamp")])
+    return F.concat_ws(SUMMARY_SEPARATOR,
+                       *[F.coalesce(F.col(prefix + f), F.lit("")) for f in ("service", "severity", "timestamp")])
 
 
 def alert_text(first: str = "first", second: str = "second") -> Column:
     """Alert text: header, one summary line per record, both records as JSON, trailing newline (PRS14)."""
     return F.concat(
-        F.lit("ErrorAlert: \n"),
+        F.lit(ALERT_HEADER + "\n"),
         _summary(first + "."), F.lit("\n"),
         _summary(second + "."), F.lit("\n"),
         entry_json(first + "."), F.lit("\n"),
