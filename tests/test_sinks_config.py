@@ -159,3 +159,15 @@ def test_alert_messages_keyed_for_dedupe(spark):
     assert len({r["key"] for r in rows}) == len(rows) > 0
     assert {r["key"] for r in rows} == {r["key"] for r in alerts_to_text(alerts, with_key=True).collect()}
     assert alerts_to_text(alerts).columns == ["value"]
+
+
+def test_alert_text_files_and_print(spark, capsys):
+    from logweave.operators.patterns import consecutive_errors, match_sequence
+    from logweave.sinks.writers import print_rows, write_alerts_text
+    d = tmp()
+    alerts = match_sequence(accepted_entries(read_event_lines(spark, SF_SMALL)), consecutive_errors(120 * 60 * 1000))
+    write_alerts_text(alerts, f"{d}/alerts")
+    text = spark.read.text(f"{d}/alerts", wholetext=True).collect()
+    assert sum(t["value"].count("ErrorAlert: ") for t in text) == alerts.count() > 0
+    print_rows(alerts.select("service"), n=3)
+    assert "service" in capsys.readouterr().out
