@@ -17,8 +17,12 @@ def rebalance_if_narrow(df: DataFrame, min_partitions: int | None = None, key: s
     without the local sort a round-robin repartition needs.
     """
     spark = df.sparkSession
-    target = min_partitions or min(spark.sparkContext.defaultParallelism,
-                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if df.rdd.getNumPartitions() * 2 <= target:
+    try:
+        target = min_partitions or min(spark.sparkContext.defaultParallelism,
+                                       int(spark.conf.get("spark.sql.shuffle.partitions")))
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave the input as it is
+        return df
+    if current * 2 <= target:
         return df.repartition(target, key) if key else df.repartition(target)
     return df
