@@ -79,9 +79,11 @@ def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions:
     """
     if partition_by is not None:
         pattern = replace(pattern, key=tuple((c, F.col(c)) for c in partition_by))
-    keys = [k for k, _ in pattern.key]
-    base = entries.select("*", *[c.alias(k) for k, c in pattern.key if k not in entries.columns]) \
-        if pattern.key else entries
+    names = [k for k, _ in pattern.key]
+    # keys are evaluated into internal columns, so the steps and the records see the rows as
+    # they are even when a key expression reuses a column's name; they are renamed at the end
+    keys = [f"_key{i}" for i in range(len(names))]
+    base = entries.select("*", *[c.alias(ik) for ik, (_, c) in zip(keys, pattern.key)])
     for k in keys:
         base = base.where(F.col(k).isNotNull())
     base = base.select(
@@ -115,7 +117,7 @@ def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions:
         cond = [f["b"] == s["b2"]] + [f[k] == s[f"_{k}"] for k in keys]
         cond += [(s["t2"] > f["t1"]) | ((s["t2"] == f["t1"]) & (s["seq2"] > f["seq1"])),
                  s["t2"] - f["t1"] < w]
-        out = f.join(s, cond, "inner").select(*keys, "first", "second")
+        out = f.join(s, cond, "inner").select(*[f[k].alias(n) for k, n in zip(keys, names)], "first", "second")
     else:
         cand = base if pattern.contiguity == "strict" else base.where(F.col("is_first") | F.col("is_second"))
         # the records travel with the scan as JSON text (only for rows that can be in a match),
@@ -123,6 +125,6 @@ def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions:
         rec_type = base.schema["rec"].dataType
         cand = cand.withColumn("payload", F.when(F.col("is_first") | F.col("is_second"), F.to_json("rec")))
         pairs = next_match(cand, keys, pattern.contiguity, w, num_partitions)
-        out = pairs.select(*keys, F.from_json("p1", rec_type).alias("first"),
-                           F.from_json("p2", rec_type).alias("second"))
+        out = pairs.select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
+                           F.from_json("p1", rec_type).alias("first"), F.from_json("p2", rec_type).alias("second"))
     return out.withColumn("alert_name", F.lit(pattern.name))

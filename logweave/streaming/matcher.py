@@ -123,9 +123,9 @@ def _matcher(keys: list[str], mode: str, within_ms: int):
 
 
 def _prepare(entries: DataFrame, pattern: SequencePattern) -> tuple[DataFrame, list[str], T.DataType]:
-    keys = [k for k, _ in pattern.key]
-    base = entries.select("*", *[c.alias(k) for k, c in pattern.key if k not in entries.columns]) \
-        if pattern.key else entries
+    # keys go to internal columns (renamed on output), so steps and records see the rows as they are
+    keys = [f"_key{i}" for i in range(len(pattern.key))]
+    base = entries.select("*", *[c.alias(ik) for ik, (_, c) in zip(keys, pattern.key)])
     rec = F.struct(*[F.col(c) for c in PAYLOAD_FIELDS if c in entries.columns])
     base = base.select(*keys, "event_time", F.unix_millis("event_time").alias("t"), "seq",
                        F.coalesce(pattern.first.where, F.lit(False)).alias("is_first"),
@@ -154,6 +154,7 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
     future-dated row cannot make every later row "late".
     """
     base, keys, rec_type = _prepare(entries, pattern)
+    names = [k for k, _ in pattern.key]
     if future_cap_s is not None:
         cap = F.current_timestamp() + F.make_interval(secs=F.lit(int(future_cap_s)))
         base = base.where(F.col("event_time") <= cap)
@@ -181,7 +182,8 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
         cond_all = cond[0]
         for c in cond[1:]:
             cond_all = cond_all & c
-        out = f.join(s, cond_all, "inner").select(*[F.col(f"f_{k}").alias(k) for k in keys], "first", "second")
+        out = f.join(s, cond_all, "inner").select(*[F.col(f"f_{k}").alias(n) for k, n in zip(keys, names)],
+                                                  "first", "second")
         return out.withColumn("alert_name", F.lit(pattern.name))
     if pattern.contiguity not in ("strict", "next"):
         raise ValueError(f"unknown contiguity {pattern.contiguity!r}")
@@ -197,5 +199,5 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
         raise ValueError("streaming patterns need a key (an un-keyed stream would be one task)")
     pairs = grouped.applyInPandasWithState(_matcher(keys, pattern.contiguity, w), out_schema, _STATE, "append",
                                            GroupStateTimeout.EventTimeTimeout)
-    return pairs.select(*keys, F.from_json("p1", rec_type).alias("first"), F.from_json("p2", rec_type).alias("second"),
-                        F.lit(pattern.name).alias("alert_name"))
+    return pairs.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.from_json("p1", rec_type).alias("first"),
+                        F.from_json("p2", rec_type).alias("second"), F.lit(pattern.name).alias("alert_name"))

@@ -147,3 +147,15 @@ def test_empty_and_candidate_free_inputs(spark, mode):
     info_only = entries(spark, [(i, f"10:00:{i:02d}.000", "6", "Nova", "[a]") for i in range(20)])
     pat = correlated_create_vm(contiguity=mode) if mode != "strict" else consecutive_errors()
     assert match_sequence(info_only, pat, num_partitions=4).count() == 0
+
+
+def test_key_expression_reusing_a_column_name(spark):
+    e = entries(spark, [(1, "10:00:00.000", "3", "Nova", "[a]"), (2, "10:01:00.000", "3", "NOVA", "[b]")])
+    base = consecutive_errors()
+    assert pairs(match_sequence(e, base)) == []
+    from dataclasses import replace
+    folded = replace(base, key=(("service", F.lower(F.col("service"))),))
+    out = match_sequence(e, folded)
+    row = out.first()
+    assert pairs(out) == [(1, 2)] and row["service"] == "nova"
+    assert (row["first"]["service"], row["second"]["service"]) == ("Nova", "NOVA")   # records as they were
