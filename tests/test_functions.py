@@ -52,6 +52,8 @@ def test_severity_maps(spark):
 
 @pytest.mark.parametrize("text,expected", [
     ("2016-02-18 01:25:43.889", "2016-02-18 01:25:43.889"),
+    ("2016-02-18 01:25:43.1", "2016-02-18 01:25:43.100"),       # a short fraction is a fraction
+    ("2016-02-18 01:25:43.12", "2016-02-18 01:25:43.120"),
     ("2016-02-18 01:25:43", "2016-02-18 01:25:43.000"),
     ("Mar 01 2017 12:05:04", "2017-03-01 12:05:04.000"),
     ("Mar 1 2017 12:05:04", "2017-03-01 12:05:04.000"),
