@@ -86,6 +86,8 @@ def start_alerts_stream(lines: DataFrame, sink: str, path_or_topic: str, pattern
                         trigger_ms: int | None = None, available_now: bool = False) -> StreamingQuery:
     """Alert text to ``sink``: ``"kafka"`` (topic), ``"text"`` / ``"json"`` (path) or ``"memory"`` (query name)."""
     text = alerts_to_text(alerts_stream(lines, pattern, parse_body, delay_s), with_key=sink == "kafka")
+    # alerts per micro-batch, reported in StreamingQueryProgress.observedMetrics (UDF2)
+    text = text.observe("alerts", F.count(F.lit(1)).alias("alerts"))
     w = text.writeStream.queryName(query_name).outputMode("append") \
         .option("checkpointLocation", _checkpoint(text, query_name, checkpoint))
     for k, v in (options or {}).items():

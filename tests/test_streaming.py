@@ -133,8 +133,14 @@ def test_command_line_job_on_files(spark):
     cfg = PipelineConfig.from_args(["--topic", "t", "--broker", "b", "--target-topic", "a", "--tables.path",
                                     f"{d}/tables", "--source.path", f"{d}/src", "--alerts.path", f"{d}/alerts",
                                     "--once", "true"])
-    start(spark, cfg).awaitTermination()
+    both = start(spark, cfg)
+    both.awaitTermination()
     n_acc = accepted_entries(lines).count()
+    alerts_q = both.queries[1]
+    n_alerts = sum(p["observedMetrics"]["alerts"]["alerts"] for p in alerts_q.recentProgress
+                   if p.get("observedMetrics", {}).get("alerts"))
+    assert n_alerts == spark.read.text(f"{d}/alerts", wholetext=True).rdd.map(
+        lambda r: r[0].count("ErrorAlert: ")).sum()
     assert spark.read.parquet(f"{d}/tables/raw_rows").count() == n_acc
     assert spark.read.parquet(f"{d}/tables/node_rows").count() == 6 * n_acc
 
