@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from logweave.functions.timeparse import date_piece, timeframe_minutes
+from logweave.functions.timeparse import date_piece, in_period, timeframe_minutes
 from logweave.operators.retention import fan_out, live, with_expiry, within_horizon
 from logweave.schema import HORIZONS
 
@@ -60,6 +60,8 @@ def stack_rows(accepted: DataFrame, as_of, place: Placement = Placement(), horiz
     the TTL (a literal in batch, ``current_timestamp()`` in a micro-batch).
     """
     base = accepted.select("seq", "level", "service", "timestamp", "event_time")
+    # a row outside the longest horizon is outside every horizon: drop it before the fan-out
+    base = base.where(in_period("event_time", max(s for _, s in horizons), as_of))
     rows = within_horizon(fan_out(base, horizons), as_of).select(
         F.col("horizon_id").alias("id"), F.lit(place.region).alias("region"), F.col("level").alias("loglevel"),
         "service", timeframe_minutes("event_time").alias("timeframe"), F.col("timestamp").alias("tfhours"),
