@@ -10,7 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from logweave.functions.timeparse import date_piece, in_period, timeframe_minutes
+from logweave.functions.timeparse import as_of_column, date_piece, in_period, timeframe_minutes
 from logweave.operators.retention import fan_out, live, with_expiry, within_horizon
 from logweave.schema import HORIZONS
 
@@ -77,6 +77,17 @@ def raw_rows(accepted: DataFrame, place: Placement = Placement()) -> DataFrame:
         F.col("event_time").alias("log_ts"), F.col("body").alias("payload"), "seq")
 
 
+def recent(accepted: DataFrame, read_at, horizons=HORIZONS) -> DataFrame:
+    """Rows that can still be live at ``read_at`` when replayed with ``ingest_ts = event_time``.
+
+    A row older than the longest horizon has expired in every horizon; dropping it
+    before the fan-out saves generating six rows that ``live`` would discard.
+    """
+    longest = max(s for _, s in horizons)
+    cutoff = F.unix_millis(as_of_column(read_at)) - F.lit(longest * 1000)
+    return accepted.where(F.unix_millis(F.col("event_time")) > cutoff)
+
+
 def counts(rows: DataFrame, read_at, keys: list[str]) -> DataFrame:
     """Live rows counted per counter key (RD8). Partial aggregation before the shuffle."""
     return live(rows, read_at).groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))

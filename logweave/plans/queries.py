@@ -23,7 +23,7 @@ from logweave.operators.parse import (
 from logweave.operators.patterns import MINUTES, consecutive_errors, correlated_create_vm, match_sequence
 from logweave.operators.retention import fan_out, latest_by_key, live, ttl_left
 from logweave.operators.views import (
-    NODE_KEYS, RAW_KEYS, SERVICE_KEYS, counts, node_rows, raw_rows, service_rows, stack_rows,
+    NODE_KEYS, RAW_KEYS, SERVICE_KEYS, counts, node_rows, raw_rows, recent, service_rows, stack_rows,
 )
 from logweave.schema import LOG_FIELDS
 from logweave.sources.fixtures import read_event_lines
@@ -209,8 +209,8 @@ def q_raw_limit(spark, sf_dir):
 
 
 def _replayed(builder, spark, sf_dir):
-    """Rows as if each was ingested when it happened (``ingest_ts = event_time``)."""
-    return builder(_accepted(spark, sf_dir), F.col("event_time"))
+    """Rows as if each was ingested when it happened (``ingest_ts = event_time``), read at ``AS_OF``."""
+    return builder(recent(_accepted(spark, sf_dir), AS_OF), F.col("event_time"))
 
 
 def q_node_live(spark, sf_dir):

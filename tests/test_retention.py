@@ -85,3 +85,12 @@ def test_latest_by_key_hot_key_is_pre_aggregated(spark):
     assert out.first()["seq"] == 19999
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "partial_max_by" in plan
+
+
+def test_recent_keeps_exactly_what_can_be_live(spark):
+    from logweave.operators.views import recent
+    month = 2419200
+    acc = accepted(spark, [10, month - 1, month, month + 5])
+    kept = {r["seq"] for r in recent(acc, AS_OF).collect()}
+    live_ids = {r["seq"] for r in live(service_rows(acc, F.col("event_time")), AS_OF).collect()}
+    assert kept == live_ids == {0, 1}
