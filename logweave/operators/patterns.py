@@ -42,6 +42,12 @@ class SequencePattern:
     name: str = "ErrorAlert"
     key: tuple[tuple[str, Column], ...] = field(default_factory=tuple)
 
+    def __post_init__(self):
+        if self.contiguity not in ("strict", "next", "any"):
+            raise ValueError(f"contiguity must be 'strict', 'next' or 'any', not {self.contiguity!r}")
+        if self.within_ms <= 0:
+            raise ValueError("the time bound must be positive")
+
 
 MINUTES = 60 * 1000
 

@@ -159,3 +159,11 @@ def test_key_expression_reusing_a_column_name(spark):
     row = out.first()
     assert pairs(out) == [(1, 2)] and row["service"] == "nova"
     assert (row["first"]["service"], row["second"]["service"]) == ("Nova", "NOVA")   # records as they were
+
+
+def test_pattern_validation(spark):
+    err = F.col("severity") == "3"
+    with pytest.raises(ValueError):
+        SequencePattern(Step("a", err), Step("b", err), "sometimes")
+    with pytest.raises(ValueError):
+        SequencePattern(Step("a", err), Step("b", err), "next", 0)
