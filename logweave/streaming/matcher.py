@@ -10,8 +10,11 @@
   so Spark can drop join state once the watermark passes the bound.
 
 Rows older than the watermark are dropped before the state function (Spark's
-``numRowsDroppedByWatermark`` metric counts them); append sinks upstream of
-the matcher still receive every row.
+``numRowsDroppedByWatermark`` metric counts them), and the state function drops
+a row at or before the last position its key has released, so every key is
+matched strictly in order. The key / candidate filters reference the event-time
+column, which keeps them above ``withWatermark``: every accepted row advances
+the watermark. Append sinks upstream of the matcher still receive every row.
 """
 
 from __future__ import annotations
