@@ -156,6 +156,8 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
     micro-batch's processing time before they reach the watermark, so one
     future-dated row cannot make every later row "late".
     """
+    if pattern.contiguity != "any" and not pattern.key:
+        raise ValueError("streaming strict / next patterns need a key (an un-keyed stream would be one task)")
     base, keys, rec_type = _prepare(entries, pattern)
     names = [k for k, _ in pattern.key]
     if future_cap_s is not None:
@@ -197,10 +199,7 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
         T.StructField("seq1", T.LongType()), T.StructField("t1", T.LongType()), T.StructField("p1", T.StringType()),
         T.StructField("seq2", T.LongType()), T.StructField("t2", T.LongType()), T.StructField("p2", T.StringType()),
     ])
-    grouped = slim.groupBy(*keys) if keys else slim.groupBy(F.lit(0).alias("_all"))
-    if not keys:
-        raise ValueError("streaming patterns need a key (an un-keyed stream would be one task)")
-    pairs = grouped.applyInPandasWithState(_matcher(keys, pattern.contiguity, w), out_schema, _STATE, "append",
+    pairs = slim.groupBy(*keys).applyInPandasWithState(_matcher(keys, pattern.contiguity, w), out_schema, _STATE, "append",
                                            GroupStateTimeout.EventTimeTimeout)
     return pairs.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.from_json("p1", rec_type).alias("first"),
                         F.from_json("p2", rec_type).alias("second"), F.lit(pattern.name).alias("alert_name"))

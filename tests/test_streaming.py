@@ -178,3 +178,14 @@ def test_disorder_within_bound_equals_batch(spark):
     got, _, _ = run_files(spark, chunks, pattern, delay_s=10 * 86400)
     exp = sorted((r["first"]["seq"], r["second"]["seq"]) for r in match_sequence(acc, pattern).collect())
     assert got == exp and len(exp) > 0
+
+
+def test_unkeyed_stream_pattern_is_refused(spark):
+    import pytest
+    from dataclasses import replace
+    from logweave.streaming.matcher import match_sequence_stream
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    spark.createDataFrame([jline(1, "00:01:00")], "seq long, value string").write.parquet(f"{d}/src/c0")
+    stream = spark.readStream.schema("seq long, value string").parquet(f"{d}/src/*")
+    with pytest.raises(ValueError):
+        match_sequence_stream(accepted_entries(stream), replace(consecutive_errors(), key=()))
