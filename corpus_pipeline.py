@@ -11,7 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logweave.llm import exact, packing, quality, queries, simhash
+from logweave.llm import exact, packing, quality, queries, simhash, substring
 from logweave.llm.common import documents
 from logweave.session import ensure_checkpoint_dir
 
@@ -36,12 +36,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return simhash.keep_one(docs, queries.SHINGLE, queries.BITS)
 
 
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Words of repeated passages go; a document that loses some keeps the others, joined by blanks.
+
+    A document that loses all its words goes.
+    """
+    cut = substring.substring_dedup(docs, queries.WINDOW, carry=tuple(docs.columns)).where("n_removed = 0 or n_removed < n_words")
+    changed = {"text": F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")),
+               "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))}
+    return cut.select(*[changed.get(c, F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of full sequences, with their token ids."""
     return packing.pack(docs, queries.tokenizer_path("byte_bpe_50k.json"), queries.LENGTH, queries.END_ID)
 
 
-STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("packing", pack)]
+STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near_dedup", near_dedup), ("substring_dedup", substring_dedup), ("packing", pack)]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, packing, quality, simhash
+from . import exact, packing, quality, simhash, substring, suffix
 from .common import documents
 
 LENGTH, END_ID = 2048, 1
 SHINGLE, BITS = 3, 2
+WINDOW, BYTES = 50, 400
 
 
 def tokenizer_path(name: str) -> str:
@@ -46,7 +47,18 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = substring.substring_dedup(documents(spark, sf_dir), WINDOW)
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix.suffix_dedup(documents(spark, sf_dir), BYTES)
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing, "op4_exact_dedup": op4_exact_dedup, "op5_simhash": op5_simhash, "op6_quality": op6_quality,
+    "op9_substring": op9_substring, "op10_suffix_array": op10_suffix_array,
 }
 SQL = {"op4_exact_dedup": OP4_SQL}
