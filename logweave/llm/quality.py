@@ -66,7 +66,7 @@ def _line(line: Column, rare: Column) -> Column:
         notice = notice | low.contains(phrase)
     marks = rare & let(n, lambda n: (n >= 3) & (2 * _count_of(line, CRIES) >= n) | (4 * _count_of(line, BARS) >= n))
     bad = marks | F.when(F.octet_length(line) <= NOTICE_BYTES, notice).otherwise(False)
-    menu = F.when(F.octet_length(line) <= MENU_BYTES, ~line.rlike(r"[.!?…:;\"”»)][\x20\x09-\x0D]*$")).otherwise(False)
+    menu = F.when(F.octet_length(line) <= MENU_BYTES, ~line.rlike(r"[.!?…:;\"”»)][\x20\x09-\x0D]*\z")).otherwise(False)
     return F.struct(line.alias("line"), bad.alias("bad"), menu.alias("menu"))
 
 

@@ -7,10 +7,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import exact, packing, quality, simhash, substring, suffix
+from . import bpe, exact, licenses, packing, quality, sharding, simhash, sql, substring, suffix, urls
 from .common import documents
 
+SHARD_BYTES = 1 << 20
 LENGTH, END_ID = 2048, 1
+URL_RULES = [urls.rule_of(*r) for r in (
+    ("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"), ("block", "net/es/"), ("block", "net/fr/"))]
 SHINGLE, BITS = 3, 2
 WINDOW, BYTES = 50, 400
 
@@ -20,21 +23,22 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.shard(documents(spark, sf_dir), SHARD_BYTES)
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), LENGTH, END_ID)
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
-def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact.exact_dedup(documents(spark, sf_dir))
+def op3_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    return urls.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 
-OP4_SQL = """
-WITH t AS (SELECT doc_id, coalesce(text, '') AS x FROM documents)
-SELECT doc_id, max(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
-       doc_id = max(doc_id) OVER (PARTITION BY x) AS kept, sha256(x) AS text_sha256
-FROM t
-"""
+def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact.exact_dedup(documents(spark, sf_dir))
 
 
 def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +51,15 @@ def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", *[f"quality.{c}" for c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")])
 
 
+def op7_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(documents(spark, sf_dir))
+
+
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = bpe.encode(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), digest=True)
+    return out.select("doc_id", "n_tokens", F.col("ids").alias("ids_sha256"), F.col("decoded").alias("decoded_sha256"))
+
+
 def op9_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.substring_dedup(documents(spark, sf_dir), WINDOW)
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
@@ -58,7 +71,6 @@ def op10_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op2_packing": op2_packing, "op4_exact_dedup": op4_exact_dedup, "op5_simhash": op5_simhash, "op6_quality": op6_quality,
-    "op9_substring": op9_substring, "op10_suffix_array": op10_suffix_array,
+    f.__name__: f for f in (op1_sharding, op2_packing, op3_urls, op4_exact_dedup, op5_simhash, op6_quality, op7_licenses, op8_bpe, op9_substring, op10_suffix_array)
 }
-SQL = {"op4_exact_dedup": OP4_SQL}
+SQL = {"op1_sharding": sql.op1(SHARD_BYTES), "op3_urls": sql.op3(URL_RULES), "op4_exact_dedup": sql.OP4, "op6_quality": sql.op6(), "op7_licenses": sql.op7()}
