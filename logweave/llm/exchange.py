@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 ENTRY = "bucket int, docs binary, counts binary, pos binary, rem binary"
-HITS = "doc_id long, text_key long, pos binary"
+HITS = "part int, docs binary, counts binary, pos binary"
 #: Stands for a null doc_id in the exchange.
 NO_ID = -2**63
 #: Bytes of text behind one bucket, and behind one packed row's task slice.
@@ -115,35 +115,52 @@ def _unpack(table: pa.Table, dtype: str):
     return {k: tuple(map(np.concatenate, zip(*v))) if v else None for k, v in parts.items()}
 
 
-def _hits(who: np.ndarray, count: np.ndarray, pos: np.ndarray, keep: np.ndarray) -> list[tuple[int, int, bytes]]:
-    n = np.add.reduceat(keep, np.cumsum(count) - count, dtype=np.int64) if len(keep) else np.zeros(0, np.int64)
-    kept, edge = pos[keep].astype("<u4"), np.concatenate([[0], np.cumsum(n)])
-    return [(int(who[k, 0]), int(who[k, 1]), kept[edge[k]:edge[k + 1]].tobytes()) for k in np.flatnonzero(n)]
-
-
-def exchange(entries: DataFrame, judge: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], wide: bool) -> DataFrame:
-    """(doc_id, text_key, pos) of the entries that ``judge(hashes, doc ids, positions)`` keeps."""
+def _hits(who: np.ndarray, count: np.ndarray, pos: np.ndarray, keep: np.ndarray, n: int) -> list[tuple[int, bytes, bytes, bytes]]:
+    """The kept entries as one packed row for each part of the documents."""
+    kept = np.add.reduceat(keep, np.cumsum(count) - count, dtype=np.int64) if len(keep) else np.zeros(0, np.int64)
+    part = (who[:, 1].view(np.uint64) % np.uint64(n)).astype(np.int64)
+    of_entry = np.repeat(part, kept)
+    pos = pos[keep][np.argsort(of_entry, kind="stable")].astype("<u4")
+    order = np.argsort(part, kind="stable")
+    order = order[kept[order] > 0]
+    who, kept, part = np.ascontiguousarray(who[order]), kept[order], part[order]
+    edges = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1], [True]])) if len(part) else np.zeros(1, np.int64)
+    at = np.concatenate([[0], np.cumsum(kept)])
+    return [(int(part[a]), who[a:b].astype("<i8").tobytes(), kept[a:b].astype("<u4").tobytes(), pos[at[a]:at[b]].tobytes()) for a, b in zip(edges[:-1], edges[1:])]
+
+
+def _merged(table: pa.Table) -> pa.Table:
+    """One row for each document of a part, with all its positions."""
+    cols = [b"".join(table.column(c).to_pylist()) for c in ("docs", "counts", "pos")]
+    who, count, pos = np.frombuffer(cols[0], "<i8").reshape(-1, 2), np.frombuffer(cols[1], "<u4").astype(np.int64), np.frombuffer(cols[2], "<u4")
+    docs, row = np.unique(who, axis=0, return_inverse=True)
+    row = np.repeat(row.reshape(-1), count)
+    order = np.argsort(row, kind="stable")
+    edge = np.concatenate([[0], np.cumsum(np.bincount(row, minlength=len(docs)))])
+    pos = pos[order]
+    return pa.table([pa.array(docs[:, 0], pa.int64()), pa.array(docs[:, 1], pa.int64()),
+                     pa.array([pos[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:])], pa.binary())], ["_id", "_key", "_pos"])
+
+
+def exchange(entries: DataFrame, judge: Callable[[np.ndarray, np.ndarray, np.ndarray], np.ndarray], wide: bool, n: int) -> DataFrame:
+    """(_id, _key, _pos): the positions of the entries that ``judge(hashes, doc ids, positions)`` keeps,
+    one row for each document. Hits leave a bucket packed by parts of the documents, ``n`` in all."""
     def run(table: pa.Table) -> pa.Table:
         parts = _unpack(table, "<u8" if wide else "<u4")
         out = []
         if parts[True]:
             who, count, pos, rem = parts[True]
-            out += _hits(who, count, pos, judge(rem, np.repeat(who[:, 0], count), pos))
+            out += _hits(who, count, pos, judge(rem, np.repeat(who[:, 0], count), pos), n)
         if parts[False]:
             who, count, pos, _ = parts[False]
-            out += _hits(who, count, pos, np.ones(len(pos), bool))
-        cols = list(zip(*out)) or [(), (), ()]
-        return pa.table([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.binary())], ["doc_id", "text_key", "pos"])
-    return entries.groupBy("bucket").applyInArrow(run, HITS)
-
-
-def by_document(hits: DataFrame) -> DataFrame:
-    """(_id, _key, _pos): all positions of a document, as an array of packed runs."""
-    return hits.groupBy(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).agg(F.collect_list("pos").alias("_pos"))
+            out += _hits(who, count, pos, np.ones(len(pos), bool), n)
+        cols = list(zip(*out)) or [(), (), (), ()]
+        return pa.table([pa.array(cols[0], pa.int32()), *[pa.array(c, pa.binary()) for c in cols[1:]]], ["part", "docs", "counts", "pos"])
+    return entries.groupBy("bucket").applyInArrow(run, HITS).groupBy("part").applyInArrow(_merged, "_id long, _key long, _pos binary")
 
 
-def positions(packed: list[bytes] | None) -> np.ndarray:
-    return np.unique(np.frombuffer(b"".join(packed), "<u4")).astype(np.int64) if packed else np.zeros(0, np.int64)
+def positions(packed: bytes | None) -> np.ndarray:
+    return np.unique(np.frombuffer(packed, "<u4")).astype(np.int64) if packed else np.zeros(0, np.int64)
 
 
 def identified(docs: DataFrame) -> DataFrame:
@@ -151,7 +168,7 @@ def identified(docs: DataFrame) -> DataFrame:
     return docs.withColumn("doc_id", F.coalesce("doc_id", F.lit(NO_ID)))
 
 
-def hashed(batches: Iterator[pa.RecordBatch], windows: Callable) -> Iterator[tuple]:
+def hashed(batches: Iterator[pa.RecordBatch], windows: Callable, limit: int = SLICE_BYTES) -> Iterator[tuple]:
     """(hashes, doc rows, positions, ids, keys) of some megabytes of documents at a time.
 
     ``windows(buf, offsets, batch, lo, hi)`` gives the first three for rows lo to hi.
@@ -160,7 +177,7 @@ def hashed(batches: Iterator[pa.RecordBatch], windows: Callable) -> Iterator[tup
     for batch in batches:
         buf, off = text_buffer(batch.column(2))
         ids, keys = (batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in (0, 1))
-        for lo, hi in slices(off, SLICE_BYTES):
+        for lo, hi in slices(off, limit):
             parts = []
             for a, b in slices(off[lo:hi + 1], HASH_BYTES):
                 h, doc, pos = windows(buf[off[lo + a]:off[lo + b]], off[lo + a:lo + b + 1] - off[lo + a], batch, lo + a, lo + b)

@@ -150,11 +150,11 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     own = keyed(docs).where("doc_id is not null")
     n = X.buckets(own)
     probes = own.mapInArrow(_probe(window, n), X.ENTRY)
-    hits = stage(X.by_document(X.exchange(probes, _anchored(window // 2), wide=False)), "anchors")
+    hits = stage(X.exchange(probes, _anchored(window // 2), False, n), "anchors")
     release(spark)
     near = own.join(hits, (own["doc_id"] == hits["_id"]) & (own["text_key"] == hits["_key"])).select("doc_id", "text_key", "text", "_pos")
-    found = X.exchange(near.mapInArrow(_extend(window, n), X.ENTRY), _later, wide=True)
-    out = stage(X.by_document(found), "repeats")
+    found = X.exchange(near.mapInArrow(_extend(window, n), X.ENTRY), _later, True, n)
+    out = stage(found, "repeats")
     release(spark)
     return out
 
