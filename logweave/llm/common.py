@@ -8,6 +8,7 @@ both are one document listed twice. A null text counts as the empty text everywh
 from __future__ import annotations
 
 import gc
+import time
 import uuid
 
 import numpy as np
@@ -66,8 +67,10 @@ def release(spark: SparkSession) -> None:
     The cleaner acts when the driver's JVM collects the unreachable plans, which on an idle driver
     may be half an hour away; the files would occupy the executors' disks until then.
     """
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # the first frees Python's handles on the plans, the second the plans
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.3)
 
 
 def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:

@@ -36,6 +36,8 @@ from .substring import covered
 #: A perfect difference set modulo 273 (fixed value).
 MODULUS = 273
 COVER = (1, 2, 4, 8, 16, 32, 64, 91, 117, 128, 137, 182, 195, 205, 234, 239, 256)
+#: Step 2 takes the prefixes in turns, by hash, so that no more than half of them wait on disk at once.
+TURNS = 2
 
 
 def _offsets(off: np.ndarray, length: int, step: np.ndarray | None):
@@ -88,8 +90,8 @@ def _twice(rem: np.ndarray, ids: np.ndarray, pos: np.ndarray) -> np.ndarray:
     return keep
 
 
-def _merge(length: int, n: int):
-    """Full prefixes of the suffixes up to a modulus before a repeated name."""
+def _merge(length: int, n: int, turn: int):
+    """Full prefixes of the suffixes up to a modulus before a repeated name, the turn's share of them."""
     def windows(buf, off, batch, lo, hi):
         at, row, pos = [], [], []
         for k, packed in enumerate(batch.column("_pos").slice(lo, hi - lo).to_pylist()):
@@ -107,10 +109,12 @@ def _merge(length: int, n: int):
         if not at:
             return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
         at, row, pos = map(np.concatenate, (at, row, pos))
-        return X.Rolling(buf)(at, at + length), row, pos
+        h = X.Rolling(buf)(at, at + length)
+        mine = h % np.uint64(TURNS) == turn
+        return h[mine], row[mine], pos[mine]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for h, doc, pos, ids, keys in X.hashed(batches, windows):
+        for h, doc, pos, ids, keys in X.hashed(batches, windows, 4 << 20):
             yield from _once(h, doc, pos, ids, keys, n, True)
     return run
 
@@ -126,7 +130,7 @@ def _cut(length: int):
                 if copies[k] > 1:
                     gone = np.full(len(own), len(own) >= length)
                 else:
-                    gone = covered(X.positions(packed[k].as_py()), length, len(own))
+                    gone = covered(X.positions(b"".join(packed[k].as_py() or [])), length, len(own))
                 edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
                 out.append((len(own), int(gone.sum()), [{"start": int(s), "end": int(e)} for s, e in zip(edge[::2], edge[1::2])], own[~gone].tobytes()))
             cols = list(zip(*out)) or [(), (), (), ()]
@@ -147,14 +151,18 @@ def suffix_dedup(docs: DataFrame, length: int = 400) -> DataFrame:
     size = F.octet_length("text").alias("_size")
     copies = own.select("doc_id", "text_key", size).groupBy("text_key", "_size").agg(F.count("*").alias("_copies"), F.min("doc_id").alias("_least"))
     copies = stage(copies.where("_copies > 1"), "copies")
-    names = X.by_document(X.exchange(own.mapInArrow(_names(length, n), X.ENTRY), _twice, wide=False))
+    names = X.exchange(own.mapInArrow(_names(length, n), X.ENTRY), _twice, False, n)
     # of a text in many rows, the smallest doc_id names the suffixes for all
     names = names.join(copies, (names["_key"] == copies["text_key"]), "left").where("_least is null or _id = _least").select("_id", "_key", "_pos")
     names = stage(names.dropDuplicates(["_id", "_key"]), "names")
     release(spark)
     once = own.join(names, (own["doc_id"] == names["_id"]) & (own["text_key"] == names["_key"])).select("doc_id", "text_key", "text", "_pos")
-    found = stage(X.by_document(X.exchange(once.mapInArrow(_merge(length, n), X.ENTRY), _twice, wide=True)), "prefixes")
-    release(spark)
+    found = None
+    for turn in range(TURNS):
+        some = stage(X.exchange(once.mapInArrow(_merge(length, n, turn), X.ENTRY), _twice, True, n), "prefixes")
+        release(spark)
+        found = some if found is None else found.unionByName(some)
+    found = found.groupBy("_id", "_key").agg(F.collect_list("_pos").alias("_pos"))
     marks = found.withColumn("_copies", F.lit(1).cast("long"))
     text = F.coalesce(docs["text"], F.lit(""))
     slim = docs.select(docs["doc_id"].cast("long").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_key"), F.octet_length(text).alias("_size"))
