@@ -27,7 +27,11 @@ class _Both:
         self.spark, self.queries = spark, queries
 
     def awaitTermination(self):
+        """Ends when both have ended, or raises as soon as either fails; the other is stopped then."""
         try:
+            while any(q.isActive for q in self.queries):
+                for q in self.queries:
+                    q.awaitTermination(1)
             for q in self.queries:
                 q.awaitTermination()
         finally:
@@ -38,6 +42,8 @@ class _Both:
 
 # options of this command that are not Kafka consumer properties
 LOCAL_KEYS = {"source.path", "alerts.path", "once"}
+# options of Spark's own source, passed as they are
+SOURCE_KEYS = {"startingOffsets", "startingTimestamp", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "minPartitions", "failOnDataLoss"}
 # settings the Spark Kafka source has no use for: the old consumer's ZooKeeper address, and the
 # column-store address of the original sinks (tables go to --tables.path here)
 IGNORED_KEYS = {"zookeeper.connect", "cassandra.host", "cassandra.port"}
@@ -50,7 +56,7 @@ def kafka_source_options(cfg: PipelineConfig) -> tuple[str, dict]:
     ``--bootstrap.servers`` names the source cluster, else ``--broker`` is used.
     """
     servers = cfg.extra.get("bootstrap.servers") or cfg.broker
-    opts = {f"kafka.{k}": v for k, v in cfg.extra.items()
+    opts = {k if k in SOURCE_KEYS else f"kafka.{k}": v for k, v in cfg.extra.items()
             if k not in LOCAL_KEYS | IGNORED_KEYS | {"bootstrap.servers"} and v != ""}
     return servers, opts
 
@@ -65,11 +71,13 @@ def start(spark, cfg: PipelineConfig):
         lines = read_kafka_lines(spark, servers, cfg.topic, options=opts)
     place = Placement(cfg.az, cfg.region)
     trigger = None if once else cfg.trigger_ms
-    tables = start_tables_stream(lines, cfg.tables_path, parse_body=cfg.parse_body, place=place,
+    # beside the tables, so that a new process goes on where the last one stopped
+    checkpoints = f"{cfg.tables_path.rstrip('/')}/_checkpoints"
+    tables = start_tables_stream(lines, cfg.tables_path, checkpoint=f"{checkpoints}/tables", parse_body=cfg.parse_body, place=place,
                                  trigger_ms=trigger, available_now=once)
     alerts_path = cfg.extra.get("alerts.path")
     opts = {} if alerts_path else {"kafka.bootstrap.servers": cfg.broker}
-    alerts = start_alerts_stream(lines, "text" if alerts_path else "kafka", alerts_path or cfg.target_topic,
+    alerts = start_alerts_stream(lines, "text" if alerts_path else "kafka", alerts_path or cfg.target_topic, checkpoint=f"{checkpoints}/alerts",
                                  parse_body=cfg.parse_body, delay_s=cfg.max_out_of_order_s, options=opts,
                                  trigger_ms=trigger, available_now=once)
     return _Both(spark, [tables, alerts])

@@ -68,22 +68,14 @@ def ship_package(spark: SparkSession) -> None:
                     z.write(full, os.path.relpath(full, root))
     data = buf.getvalue()
     digest = hashlib.sha1(data).hexdigest()[:12]
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    target = sc._jvm.org.apache.hadoop.fs.Path(f"{base}/pyfiles/{app}/logweave-{digest}.zip")
+    out = target.getFileSystem(sc._jsc.hadoopConfiguration()).create(target, True)
     try:
-        base = ensure_checkpoint_dir(spark).rstrip("/")
-        jvm = sc._jvm
-        target = jvm.org.apache.hadoop.fs.Path(f"{base}/pyfiles/{app}/logweave-{digest}.zip")
-        fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
-        out = fs.create(target, True)
-        try:
-            out.write(bytearray(data))
-        finally:
-            out.close()
-        location = target.toString()
-    except Exception:  # shared folder not writable: the driver serves the file itself
-        local = os.path.join(tempfile.mkdtemp(prefix="logweave-pyfiles-"), f"logweave-{digest}.zip")
-        with open(local, "wb") as fh:
-            fh.write(data)
-        location = local
+        out.write(bytearray(data))
+    finally:
+        out.close()
+    location = target.toString()
     sc.addPyFile(location)
     _SHIPPED.add(app)
 
@@ -92,7 +84,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the setting names a shared file system folder and is used as
-    is. Only when it is unset (local runs, tests) is a scratch folder created.
+    is. Only a local master may leave it unset (tests); then a scratch folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -100,6 +92,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     path = sc.getConf().get("spark.checkpoint.dir", None)
     if not path:
+        if not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         path = tempfile.mkdtemp(prefix="logweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path

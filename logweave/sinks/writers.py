@@ -38,16 +38,14 @@ def write_micro_batch(df: DataFrame, path: str, batch_id: int, partition_by: lis
 
 
 def merge_latest(df: DataFrame, path: str, keys: list[str], order: list[str],
-                 partition_by: list[str] | None = None, fmt: str = "parquet", max_touched: int = 10000) -> None:
+                 partition_by: list[str] | None = None, fmt: str = "parquet") -> None:
     """Upsert into a keyed-latest table (SNK4b): last write wins per ``keys`` by ``order``.
 
-    Only the partitions the new rows touch are read and rewritten. Their values
-    (a micro-batch's dates: a handful) are fetched with a size check and become a
-    static partition filter, so the scan skips every other partition; above
-    ``max_touched`` values the stored rows are semi-joined instead (correct, but
-    read in full). The union is merged with ``latest_by_key`` (pre-aggregated),
-    cut from the stored table by a reliable checkpoint in the shared checkpoint
-    folder, and written back with dynamic partition overwrite.
+    The stored table is read with the new rows' schema (partition values keep their text), and only
+    if its folder exists: any other failure to read it surfaces, so stored rows are never taken for
+    absent. A semi-join on the partition columns keeps the partitions that the new rows touch. The
+    union is merged with ``latest_by_key`` (pre-aggregated), cut from the stored table by a reliable
+    checkpoint in the shared checkpoint folder, and written back with dynamic partition overwrite.
     """
     from logweave.operators.retention import latest_by_key
     from logweave.session import ensure_checkpoint_dir
@@ -55,25 +53,12 @@ def merge_latest(df: DataFrame, path: str, keys: list[str], order: list[str],
     spark = df.sparkSession
     parts = partition_by or []
     cols = df.columns
-    try:
-        stored = spark.read.format(fmt).load(path).select(*cols)
-    except Exception:  # first write: nothing stored yet
-        stored = None
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     merged = df
-    if stored is not None:
+    if folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(folder):
+        stored = spark.read.schema(df.schema).format(fmt).load(path).select(*cols)
         if parts:
-            touched = df.select(*parts).distinct()
-            values = touched.limit(max_touched + 1).collect()   # partition values only, size-checked
-            if len(values) <= max_touched:
-                cond = F.lit(False)
-                for v in values:
-                    one = F.lit(True)
-                    for c in parts:
-                        one = one & (F.col(c).isNull() if v[c] is None else F.col(c) == F.lit(v[c]))
-                    cond = cond | one
-                stored = stored.where(cond)
-            else:
-                stored = stored.join(touched, parts, "left_semi")
+            stored = stored.join(df.select(*parts).distinct(), parts, "left_semi").select(*cols)
         merged = stored.unionByName(df)
     merged = latest_by_key(merged, keys, order).select(*cols)
     ensure_checkpoint_dir(spark)

@@ -29,7 +29,10 @@ _LOG = logging.getLogger(__name__)
 
 
 def _checkpoint(df: DataFrame, name: str, location: str | None) -> str:
-    return location or f"{ensure_checkpoint_dir(df.sparkSession)}/streams/{name}"
+    """A stable folder: not below the application's own sub-folder, which the next process never finds."""
+    spark = df.sparkSession
+    home = spark.sparkContext.getConf().get("spark.checkpoint.dir", None) or ensure_checkpoint_dir(spark)
+    return location or f"{home.rstrip('/')}/streams/{name}"
 
 
 def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None = None, parse_body: bool = True,

@@ -171,3 +171,41 @@ def test_alert_text_files_and_print(spark, capsys):
     assert sum(t["value"].count("ErrorAlert: ") for t in text) == alerts.count() > 0
     print_rows(alerts.select("service"), n=3)
     assert "service" in capsys.readouterr().out
+
+
+def test_merge_latest_keeps_partition_text_and_surfaces_failures(spark, tmp_path):
+    from logweave.sinks.writers import merge_latest
+    path = str(tmp_path / "latest")
+    def one(date, seq):
+        return spark.createDataFrame([(date, "svc", seq)], "date string, service string, seq long")
+    for date, seq in (("2023-12-30", 1), ("2024-1-3", 2), ("2023-12-30", 3)):
+        merge_latest(one(date, seq), path, ["date", "service"], ["seq"], ["date"])
+    got = spark.read.schema("date string, service string, seq long").parquet(path).collect()
+    assert sorted((r.date, r.seq) for r in got) == [("2023-12-30", 3), ("2024-1-3", 2)]
+    broken = tmp_path / "broken" / "date=2023-12-30"
+    broken.mkdir(parents=True)
+    (broken / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        merge_latest(one("2023-12-30", 4), str(tmp_path / "broken"), ["date", "service"], ["seq"], ["date"])
+    assert (broken / "part-0.parquet").read_bytes() == b"not parquet"
+
+
+def test_failing_query_is_noticed_while_the_other_runs():
+    from logweave.__main__ import _Both
+
+    class Query:
+        def __init__(self, fails):
+            self.fails, self.isActive, self.stopped = fails, True, False
+
+        def awaitTermination(self, timeout=None):
+            if self.fails:
+                self.isActive = False
+                raise RuntimeError("alert query failed")
+
+        def stop(self):
+            self.isActive, self.stopped = False, True
+
+    tables, alerts = Query(False), Query(True)
+    with pytest.raises(RuntimeError):
+        _Both(None, [tables, alerts]).awaitTermination()
+    assert tables.stopped
