@@ -12,7 +12,9 @@ Why not a window ``lead`` over ``partitionBy(key)``: that puts a whole key in
 one task, and a single key (a service, a correlation id) may hold a third of
 all rows. Here the rows are range-partitioned on ``(key, t, seq)``, which
 samples the sort key and splits a hot key over many tasks. Each task scans its
-sorted slice once (vectorised with numpy, batch by batch, constant state).
+sorted slice once (vectorised with numpy, batch by batch). Between batches strict
+keeps one row; next keeps the first rows still waiting within the bound, as the
+chunks they came in: all wait for the same row, so they are joined with it once.
 Only the last key of a slice can continue into the next slice, so each task
 emits its "open" rows (first rows still waiting at the slice end), one "head"
 summary and at most one "marker"; a small window over heads and markers (two
@@ -22,6 +24,8 @@ it to the open rows, which never leave their slice's partition.
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, Window, functions as F, types as T
@@ -109,7 +113,8 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
         from pyspark import TaskContext
 
         pid = TaskContext.get().partitionId()
-        carry = None          # rows carried to the next batch (strict: last row; next: open firsts)
+        carry = None          # strict: the last row, carried to the next batch
+        waiting = deque()     # next: chunks of first rows of the last key that wait for a second row
         head = None           # summary of the first key of this slice
         head_key = None
         only_key = True
@@ -147,20 +152,40 @@ def _scan_factory(keys: list[str], mode: str, within_ms: int):
             is_first = pdf["is_first"].to_numpy().astype(bool)
             is_second = pdf["is_second"].to_numpy().astype(bool)
             pay = pdf["payload"].to_numpy()
+            if waiting:
+                lead = int(np.searchsorted(seg, seg[0], side="right"))  # rows of the batch's first key
+                same = all(waiting[0][k].iat[0] == pdf[k].iat[0] for k in keys)
+                second = np.flatnonzero(is_second[:lead]) if same else []
+                if len(second):
+                    j = second[0]
+                    for chunk in waiting:
+                        hit = chunk[t[j] - chunk["t"].to_numpy(dtype=np.int64) < within_ms]
+                        if len(hit):
+                            yield _rows(PAIR, pid, keys, hit, hit["seq"].to_numpy(dtype=np.int64),
+                                        hit["t"].to_numpy(dtype=np.int64), np.full(len(hit), seq[j]),
+                                        np.full(len(hit), t[j]), hit["payload"].to_numpy(),
+                                        np.full(len(hit), pay[j], dtype=object))
+                if not same or len(second) or lead < len(pdf):
+                    waiting.clear()
+                while waiting and t[-1] - waiting[0]["t"].iat[-1] >= within_ms:
+                    waiting.popleft()
             a, b, keep = match_block(t, is_first, is_second, seg, mode, within_ms)
             if len(a):
                 yield _rows(PAIR, pid, keys, pdf.iloc[a], seq[a], t[a], seq[b], t[b], pay[a], pay[b])
-            carry = pdf.iloc[keep]
+            if mode == "strict":
+                carry = pdf.iloc[keep]
+            elif len(keep):
+                waiting.append(pdf.iloc[keep])
         if head is None:
             return
-        if carry is not None and len(carry):
-            if mode == "strict":
-                carry = carry[carry["is_first"].astype(bool)]
-            if len(carry):
-                yield _rows(OPEN, pid, keys, carry, carry["seq"].to_numpy(dtype=np.int64),
-                            carry["t"].to_numpy(dtype=np.int64), p1=carry["payload"].to_numpy())
-                # one marker per slice asks for the continuation of its last key
-                yield _rows(MARK, pid, keys, carry.iloc[[0]])
+        if mode == "strict" and bool(carry["is_first"].iat[0]):
+            waiting.append(carry)
+        for chunk in waiting:
+            yield _rows(OPEN, pid, keys, chunk, chunk["seq"].to_numpy(dtype=np.int64),
+                        chunk["t"].to_numpy(dtype=np.int64), p1=chunk["payload"].to_numpy())
+        if waiting:
+            # one marker per slice asks for the continuation of its last key
+            yield _rows(MARK, pid, keys, waiting[0].iloc[[0]])
         found = np.array([bool(head["found"]) if mode == "next" else bool(head["found"][0])])
         seq2 = head["seq2"] if head["seq2"] is not None else pd.array([None], dtype="Int64")
         t2 = head["t2"] if head["t2"] is not None else pd.array([None], dtype="Int64")

@@ -93,3 +93,31 @@ def test_aqe_coalesced_slices_keep_order(spark, tiny_batches, mode):
         assert got == brute(rows, mode, 25)
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
+def _open_rows_cost(n):
+    """Seconds the slice scan takes over ``n`` first rows of one key that all wait."""
+    import time
+    from unittest import mock
+
+    import numpy as np
+    import pandas as pd
+
+    from logweave.operators.scan import _scan_factory
+
+    step = 10_000
+    batches = [pd.DataFrame({"k": "a", "t": np.arange(i, i + step), "seq": np.arange(i, i + step), "is_first": True,
+                             "is_second": False, "payload": "p"}) for i in range(0, n, step)]
+    with mock.patch("pyspark.TaskContext.get") as context:
+        context.return_value.partitionId.return_value = 0
+        begin = time.perf_counter()
+        rows = sum(len(out) for out in _scan_factory(["k"], "next", 10 * n)(iter(batches)))
+        assert rows == n + 2  # the waiting rows, one marker, one head
+        return time.perf_counter() - begin
+
+
+def test_waiting_rows_cost_in_proportion():
+    _open_rows_cost(50_000)
+    small = min(_open_rows_cost(250_000) for _ in range(3))
+    large = min(_open_rows_cost(1_000_000) for _ in range(3))
+    assert large < 8 * small  # four times the rows; a scan that starts over at each batch takes sixteen times
