@@ -9,16 +9,17 @@ from pyspark.sql import Column, functions as F
 from logweave.functions._util import col
 
 # Accepted time formats, tried strictly in this order.
-# (Spark spellings of the source formats; "MMM d" also accepts one-digit days,
-# the two ISO forms parse a six-digit fraction with an offset or a zone name.)
+# (Spark spellings of the source formats; one-letter fields take one or two digits,
+# the two ISO forms parse a six-digit fraction with an offset, with or without its
+# colon, or a zone name.)
 TIME_FORMATS = (
-    "yyyy-MM-dd HH:mm:ss.SSS",
-    "yyyy-MM-dd HH:mm:ss",
-    "MMM dd yyyy HH:mm:ss",
-    "MMM d yyyy HH:mm:ss",
-    "yyyy/MM/dd HH:mm:ss.SSS",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSxxx",
-    "yyyy-MM-dd'T'HH:mm:ss.SSSSSSz",
+    "yyyy-M-d H:m:s.SSS",
+    "yyyy-M-d H:m:s",
+    "MMM dd yyyy H:m:s",
+    "MMM d yyyy H:m:s",
+    "yyyy/M/d H:m:s.SSS",
+    "yyyy-M-d'T'H:m:s.SSSSSS[xxx][xx]",
+    "yyyy-M-d'T'H:m:s.SSSSSSz",
 )
 
 

@@ -11,9 +11,9 @@ from logweave.functions import (
 )
 from logweave.functions.render import alert_text, entry_json
 
-SAMPLE = ("compute-agent - - - 2017-03-14 14:44:38.729 951913 INFO res.tracker "
-          "[req-77aa - - - - -] Compute record updated for node-2")
-SAMPLE_BAD_WORD = SAMPLE.replace(" INFO ", " SUPERCRITICO ")
+SAMPLE = ("billing: 2021-09-05 08:10:11.250 pid=77 INFO ledger.writer "
+          "[batch 12] wrote 40 rows to shard 3")
+SAMPLE_BAD_WORD = SAMPLE.replace(" INFO ", " CRITICALLY ")
 
 
 def one(spark, expr, value, schema="v string"):
@@ -21,22 +21,22 @@ def one(spark, expr, value, schema="v string"):
 
 
 def test_body_timestamp(spark):
-    assert one(spark, body_timestamp("v"), SAMPLE) == "2017-03-14 14:44:38.729"
+    assert one(spark, body_timestamp("v"), SAMPLE) == "2021-09-05 08:10:11.250"
     assert one(spark, body_timestamp("v"), "no time here") == "1970-01-01 00:00:00.0"
 
 
 def test_body_severity_first_run_only(spark):
     assert one(spark, body_severity("v"), SAMPLE) == "6"
-    # the first run of 4-7 capitals is SUPERCR, which is not a level
+    # the first run of 4-7 capitals is CRITICA, which is not a level
     assert one(spark, body_severity("v"), SAMPLE_BAD_WORD) == ""
     assert one(spark, body_severity("v"), "x CRITICAL y") == ""
     assert one(spark, body_severity("v"), "x WARN then ERROR") == ""
-    assert one(spark, body_severity("v"), "dhclient[664]: DHCPREQUEST on eth0") == ""
+    assert one(spark, body_severity("v"), "cron[9]: STARTED job nightly") == ""
     assert one(spark, body_severity("v"), "lower case only") == ""
 
 
 def test_body_info_stops_at_newline(spark):
-    assert one(spark, body_info("v"), SAMPLE) == "[req-77aa - - - - -] Compute record updated for node-2"
+    assert one(spark, body_info("v"), SAMPLE) == "[batch 12] wrote 40 rows to shard 3"
     assert one(spark, body_info("v"), "a [first line\nsecond [line") == "[first line"
     assert one(spark, body_info("v"), "no bracket") == ""
 
@@ -61,6 +61,11 @@ def test_severity_maps(spark):
     ("2017-04-06T12:53:32.420009+00:00", "2017-04-06 12:53:32.420"),
     ("2017-04-06T12:53:32.420009-05:00", "2017-04-06 17:53:32.420"),
     ("2017-04-06T12:53:32.420009UTC", "2017-04-06 12:53:32.420"),
+    ("2017-04-06T12:53:32.420009+0000", "2017-04-06 12:53:32.420"),
+    ("2017-04-06T12:53:32.420009-0530", "2017-04-06 18:23:32.420"),
+    ("2017-3-1 12:05:04.123", "2017-03-01 12:05:04.123"),       # one-digit fields
+    ("2017-03-01 1:05:04", "2017-03-01 01:05:04.000"),
+    ("2017/3/1 12:5:4.123", "2017-03-01 12:05:04.123"),
     ("1970-01-01 00:00:00.0", "1970-01-01 00:00:00.000"),
     ("Mar  1 12:05:04", "1970-01-01 00:00:00.000"),
     ("2017-02-30 00:00:00", "1970-01-01 00:00:00.000"),
