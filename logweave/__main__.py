@@ -41,7 +41,7 @@ class _Both:
 
 
 # options of this command that are not Kafka consumer properties
-LOCAL_KEYS = {"source.path", "alerts.path", "once"}
+LOCAL_KEYS = {"source.path", "source.max.files", "alerts.path", "once", "future.cap", "expiry.batches"}
 # options of Spark's own source, passed as they are
 SOURCE_KEYS = {"startingOffsets", "startingTimestamp", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "minPartitions", "failOnDataLoss"}
 # settings the Spark Kafka source has no use for: the old consumer's ZooKeeper address, and the
@@ -61,11 +61,15 @@ def kafka_source_options(cfg: PipelineConfig) -> tuple[str, dict]:
     return servers, opts
 
 
+def _whole(cfg: PipelineConfig, key: str) -> int | None:
+    return int(cfg.extra[key]) if cfg.extra.get(key) else None
+
+
 def start(spark, cfg: PipelineConfig):
     once = cfg.extra.get("once", "false").lower() == "true"
     src = cfg.extra.get("source.path")
     if src:
-        lines = read_lines(spark, src, streaming=True)
+        lines = read_lines(spark, src, streaming=True, max_files_per_trigger=_whole(cfg, "source.max.files"))
     else:
         servers, opts = kafka_source_options(cfg)
         lines = read_kafka_lines(spark, servers, cfg.topic, options=opts)
@@ -74,12 +78,12 @@ def start(spark, cfg: PipelineConfig):
     # beside the tables, so that a new process goes on where the last one stopped
     checkpoints = f"{cfg.tables_path.rstrip('/')}/_checkpoints"
     tables = start_tables_stream(lines, cfg.tables_path, checkpoint=f"{checkpoints}/tables", parse_body=cfg.parse_body, place=place,
-                                 trigger_ms=trigger, available_now=once)
+                                 trigger_ms=trigger, available_now=once, expire_every=_whole(cfg, "expiry.batches") or 0)
     alerts_path = cfg.extra.get("alerts.path")
     opts = {} if alerts_path else {"kafka.bootstrap.servers": cfg.broker}
     alerts = start_alerts_stream(lines, "text" if alerts_path else "kafka", alerts_path or cfg.target_topic, checkpoint=f"{checkpoints}/alerts",
                                  parse_body=cfg.parse_body, delay_s=cfg.max_out_of_order_s, options=opts,
-                                 trigger_ms=trigger, available_now=once)
+                                 trigger_ms=trigger, available_now=once, future_cap_s=_whole(cfg, "future.cap"))
     return _Both(spark, [tables, alerts])
 
 

@@ -17,7 +17,9 @@ from logweave.functions.timeparse import as_of_column
 
 def expired_partitions(spark: SparkSession, path: str, read_at, partition_cols: list[str]):
     """Partition values (one row each) whose rows have all expired at ``read_at``, as a DataFrame."""
-    df = spark.read.parquet(path)
+    # with a schema, a table that has no files yet reads as empty and folder names keep their text
+    names = ", ".join(f"`{c}` string" for c in partition_cols)
+    df = spark.read.schema(f"{names}, expires_at timestamp").parquet(path)
     latest = df.groupBy(*partition_cols).agg(F.max("expires_at").alias("last_expiry"))
     return latest.where(F.col("last_expiry") <= as_of_column(read_at)).select(*partition_cols)
 

@@ -26,15 +26,15 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 def write_micro_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None,
                       fmt: str = "parquet") -> None:
-    """Idempotent write of one micro-batch: a replayed batch id overwrites only its own partitions.
+    """Idempotent write of one micro-batch: a replayed batch id overwrites its own folder.
 
-    ``batch_id`` is a partition column and the write uses dynamic partition
-    overwrite, so a retried batch (after a failure) replaces what it wrote
-    before instead of duplicating it.
+    The batch's whole folder ``batch_id=N`` is replaced, so a replay that yields
+    fewer partitions (a row may have left a horizon meanwhile) leaves no stale ones.
     """
-    (df.withColumn("batch_id", F.lit(batch_id).cast("long"))
-       .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .format(fmt).partitionBy("batch_id", *(partition_by or [])).save(path))
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
 
 
 def merge_latest(df: DataFrame, path: str, keys: list[str], order: list[str],

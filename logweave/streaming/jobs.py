@@ -22,6 +22,7 @@ from logweave.operators.parse import accepted_entries, parse_entries, validate
 from logweave.operators.patterns import SequencePattern, correlated_create_vm
 from logweave.operators.views import RAW_KEYS, Placement, node_rows, raw_rows, service_rows, stack_rows
 from logweave.session import ensure_checkpoint_dir
+from logweave.sinks.expiry import drop_expired
 from logweave.sinks.writers import TABLE_PARTITIONS, alerts_to_text, merge_latest, write_micro_batch
 from logweave.streaming.matcher import match_sequence_stream
 
@@ -38,8 +39,12 @@ def _checkpoint(df: DataFrame, name: str, location: str | None) -> str:
 def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None = None, parse_body: bool = True,
                         place: Placement = Placement(), trigger_ms: int | None = None,
                         query_name: str = "logweave_tables", available_now: bool = False,
-                        keep_latest: bool = False) -> StreamingQuery:
-    """Start the table query; ``keep_latest`` also upserts ``raw_latest`` (last write per raw key, SNK4b)."""
+                        keep_latest: bool = False, expire_every: int = 0) -> StreamingQuery:
+    """Start the table query; ``keep_latest`` also upserts ``raw_latest`` (last write per raw key, SNK4b).
+
+    ``expire_every``: after every so many micro-batches, delete the horizon tables' expired
+    partitions (0: never; readers filter expired rows with ``live`` in any case).
+    """
     v = validate(parse_entries(lines, parse_body))
     # per-micro-batch row counters (UDF2), reported in StreamingQueryProgress.observedMetrics
     accepted_flag = F.col("reject_reason").isNull()
@@ -65,6 +70,9 @@ def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None
             if keep_latest:
                 raw = tables["raw_rows"].withColumn("batch_id", F.lit(batch_id).cast("long"))
                 merge_latest(raw, f"{out_path}/raw_latest", RAW_KEYS, ["batch_id", "seq"], ["date"])
+            if expire_every and batch_id % expire_every == expire_every - 1:
+                for name in ("node_rows", "service_rows", "stack_rows"):
+                    drop_expired(batch.sparkSession, f"{out_path}/{name}", now)
         finally:
             batch.unpersist()
 
@@ -86,9 +94,14 @@ def alerts_stream(lines: DataFrame, pattern: SequencePattern | None = None, pars
 def start_alerts_stream(lines: DataFrame, sink: str, path_or_topic: str, pattern: SequencePattern | None = None,
                         parse_body: bool = True, delay_s: int = 0, checkpoint: str | None = None,
                         options: dict | None = None, query_name: str = "logweave_alerts",
-                        trigger_ms: int | None = None, available_now: bool = False) -> StreamingQuery:
-    """Alert text to ``sink``: ``"kafka"`` (topic), ``"text"`` / ``"json"`` (path) or ``"memory"`` (query name)."""
-    text = alerts_to_text(alerts_stream(lines, pattern, parse_body, delay_s), with_key=sink == "kafka")
+                        trigger_ms: int | None = None, available_now: bool = False,
+                        future_cap_s: int | None = None) -> StreamingQuery:
+    """Alert text to ``sink``: ``"kafka"`` (topic), ``"text"`` / ``"json"`` (path) or ``"memory"`` (query name).
+
+    ``future_cap_s`` keeps rows dated further ahead of the batch's time away from the patterns and counts
+    them in the observed metric ``future_rows``.
+    """
+    text = alerts_to_text(alerts_stream(lines, pattern, parse_body, delay_s, future_cap_s), with_key=sink == "kafka")
     # alerts per micro-batch, reported in StreamingQueryProgress.observedMetrics (UDF2)
     text = text.observe("alerts", F.count(F.lit(1)).alias("alerts"))
     w = text.writeStream.queryName(query_name).outputMode("append") \

@@ -154,7 +154,8 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
 
     ``future_cap_s``: drop rows dated more than this many seconds after the
     micro-batch's processing time before they reach the watermark, so one
-    future-dated row cannot make every later row "late".
+    future-dated row cannot make every later row "late". Their number is the observed metric
+    ``future_rows``. Spark keeps one processing time for a micro-batch and its replays.
     """
     if pattern.contiguity != "any" and not pattern.key:
         raise ValueError("streaming strict / next patterns need a key (an un-keyed stream would be one task)")
@@ -162,6 +163,7 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
     names = [k for k, _ in pattern.key]
     if future_cap_s is not None:
         cap = F.current_timestamp() + F.make_interval(secs=F.lit(int(future_cap_s)))
+        base = base.observe("future_rows", F.count(F.when(F.col("event_time") > cap, 1)).alias("dropped"))
         base = base.where(F.col("event_time") <= cap)
     base = base.withWatermark("event_time", f"{int(delay_s)} seconds")
     has_key = F.lit(True)

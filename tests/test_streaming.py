@@ -151,7 +151,17 @@ def test_future_cap_keeps_watermark_honest(spark):
               [jline(99, "23:00:00", svc="Zed")]]
     # without the cap the future row moves the watermark and row 2 is late
     assert run_files(spark, chunks, consecutive_errors())[0] == []
-    assert run_files(spark, chunks, consecutive_errors(), future_cap_s=3600)[0] == [(1, 2)]
+    progress = []
+    assert run_files(spark, chunks, consecutive_errors(), future_cap_s=3600, progress=progress)[0] == [(1, 2)]
+    assert sum(p.observedMetrics["future_rows"]["dropped"] for p in progress if p.numInputRows) == 1
+
+
+def test_future_cap_with_the_join_of_any(spark):
+    pattern = correlated_create_vm(contiguity="any")
+    future = (50, jline(50, "00:00:00")[1].replace("2017-04-26", "2099-01-01"))
+    progress = []
+    run_files(spark, [[jline(1, "00:01:00"), future]], pattern, future_cap_s=3600, progress=progress)
+    assert sum(p.observedMetrics["future_rows"]["dropped"] for p in progress if p.numInputRows) == 1
 
 
 def test_disorder_within_bound_equals_batch(spark):
