@@ -72,6 +72,8 @@ def run_batch(lines: DataFrame, out_path: str, as_of, parse_body: bool = True,
     spark = lines.sparkSession
     parsed = validate(parse_entries(lines, parse_body)).withColumn(
         "status", F.when(F.col("reject_reason").isNull(), F.lit("accepted")).otherwise(F.lit("rejected")))
+    # the line as read is stored for rejects only
+    parsed = parsed.withColumn("raw_value", F.when(F.col("status") == "rejected", F.col("raw_value"))).drop("json_error")
     obs = Observation("parsed")
     parsed = parsed.observe(obs, F.count(F.lit(1)).alias("lines"),
                             F.count(F.when(F.col("status") == "accepted", 1)).alias("accepted"))

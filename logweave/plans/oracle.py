@@ -101,7 +101,7 @@ def _sql(body: str) -> str:
 
 def _fields(sev: str, body: str, ts: str) -> str:
     return (f"seq, {sev} AS severity, {body} AS body, '13' AS spriority, hostname, 'UDP' AS protocol, "
-            f"'7780' AS port, '/192.168.0.2' AS sender, service, CAST(seq AS VARCHAR) AS id, "
+            f"'5514' AS port, '/10.20.30.40' AS sender, service, CAST(seq AS VARCHAR) AS id, "
             f"'1' AS facility, {ts} AS timestamp")
 
 
@@ -146,7 +146,7 @@ TEN_MIN, TWO_H = 600000, 7200000
 
 
 def _json(prefix: str) -> str:
-    fields = ["p_sev", "p_body", "'13'", "hostname", "'UDP'", "'7780'", "'/192.168.0.2'", "service",
+    fields = ["p_sev", "p_body", "'13'", "hostname", "'UDP'", "'5514'", "'/10.20.30.40'", "service",
               "CAST(seq AS VARCHAR)", "'1'", "p_ts"]
     parts = []
     for k, e in zip(RECORD_KEYS, fields):
@@ -165,7 +165,7 @@ def _summary(prefix: str) -> str:
 
 def _text_scan() -> str:
     keys_full = RECORD_KEYS
-    exprs = ["json_sev", "raw_body", "'13'", "hostname", "'UDP'", "'7780'", "'/192.168.0.2'", "service",
+    exprs = ["json_sev", "raw_body", "'13'", "hostname", "'UDP'", "'5514'", "'/10.20.30.40'", "service",
              "CAST(seq AS VARCHAR)", "'1'", "json_ts"]
 
     def obj(skip_first: bool) -> str:

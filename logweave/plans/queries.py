@@ -25,7 +25,7 @@ from logweave.operators.retention import fan_out, latest_by_key, live, ttl_left
 from logweave.operators.views import (
     NODE_KEYS, RAW_KEYS, SERVICE_KEYS, counts, node_rows, raw_rows, recent, service_rows, stack_rows,
 )
-from logweave.schema import LOG_FIELDS
+from logweave.schema import HORIZONS, LOG_FIELDS
 from logweave.sources.fixtures import read_event_lines
 
 AS_OF = "2024-01-31 00:00:00"
@@ -181,8 +181,9 @@ def q_stack_rows(spark, sf_dir):
 
 
 def q_stack_lookup_24h(spark, sf_dir):
-    s = _stack(spark, sf_dir)
-    return s.where(F.col("id") == "24h").select("region", "loglevel", "service", "timeframe", "tfhours", "ttl_s",
+    # only the wanted horizon is fanned out
+    s = stack_rows(_accepted(spark, sf_dir), AS_OF, horizons=[h for h in HORIZONS if h[0] == "24h"])
+    return s.select("region", "loglevel", "service", "timeframe", "tfhours", "ttl_s",
                                                 "seq")
 
 

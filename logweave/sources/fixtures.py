@@ -15,7 +15,7 @@ from logweave.sources.balance import rebalance_if_narrow
 # Fixed values of the adapter.
 EVENT_LEVELS = {"error": "ERROR", "view": "WARNING", "click": "INFO", "signup": "NOTICE", "purchase": "DEBUG"}
 SERVICES = ("Nova", "Neutron", "Keystone", "Cinder")
-CONSTANT_FIELDS = {"spriority": "13", "protocol": "UDP", "port": "7780", "sender": "/192.168.0.2", "facility": "1"}
+CONSTANT_FIELDS = {"spriority": "13", "protocol": "UDP", "port": "5514", "sender": "/10.20.30.40", "facility": "1"}
 # Corruption rules by event_id divisor; the first that applies wins.
 NOT_JSON, NO_SEVERITY_KEY, NO_BRACKET, NO_BODY_TIME, BAD_LEVEL_WORD = 97, 89, 83, 79, 73
 EMPTY_TIME, ISO_TIME, NEWLINE_BODY = 50, 7, 61
@@ -78,7 +78,10 @@ def events_to_lines(events: DataFrame) -> DataFrame:
     return events.select(eid.alias("seq"), value.alias("value"))
 
 
-def read_event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Read ``events.parquet`` under ``sf_dir`` and adapt it to syslog lines."""
+def read_event_lines(spark: SparkSession, sf_dir: str, rebalance: bool = True) -> DataFrame:
+    """Read ``events.parquet`` under ``sf_dir`` and adapt it to syslog lines.
+
+    ``rebalance`` spreads a scan of few row groups over the cluster (``rebalance_if_narrow``).
+    """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
-    return events_to_lines(rebalance_if_narrow(events, key="event_id"))
+    return events_to_lines(rebalance_if_narrow(events, key="event_id") if rebalance else events)

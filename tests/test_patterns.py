@@ -23,13 +23,13 @@ def pairs(df):
 
 
 def test_four_errors_one_alert(spark):
-    e = entries(spark, [(1, "14:10:47.000", "3", "Nova", "[a]"), (2, "14:14:47.000", "3", "Nova", "[b]"),
-                        (3, "15:10:47.000", "3", "Nova", "[c]"), (4, "15:45:47.000", "3", "Nova", "[d]")])
+    e = entries(spark, [(1, "09:00:00.000", "3", "Nova", "[a]"), (2, "09:06:30.000", "3", "Nova", "[b]"),
+                        (3, "11:00:00.000", "3", "Nova", "[c]"), (4, "11:40:00.000", "3", "Nova", "[d]")])
     assert pairs(match_sequence(e, consecutive_errors())) == [(1, 2)]
 
 
-def test_53_minutes_apart_no_alert(spark):
-    e = entries(spark, [(1, "08:34:59.000", "3", "Nova", "[a]"), (2, "09:27:59.000", "3", "Nova", "[b]")])
+def test_forty_minutes_apart_no_alert(spark):
+    e = entries(spark, [(1, "08:00:00.000", "3", "Nova", "[a]"), (2, "08:40:00.000", "3", "Nova", "[b]")])
     assert pairs(match_sequence(e, consecutive_errors())) == []
 
 
