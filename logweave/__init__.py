@@ -35,6 +35,7 @@ _EXPORTS = {
     "consecutive_errors": "logweave.operators.patterns",
     "correlated_create_vm": "logweave.operators.patterns",
     "match_sequence": "logweave.operators.patterns",
+    "read_partition": "logweave.sinks.writers",
     "run_batch": "logweave.plans.job",
     "match_sequence_stream": "logweave.streaming.matcher",
     "start_tables_stream": "logweave.streaming.jobs",

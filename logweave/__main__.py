@@ -5,7 +5,8 @@ fixed-delay restart policy. Extra options:
 
 * ``--source.path DIR``  read text lines from files instead of Kafka;
 * ``--alerts.path DIR``  write alert text to files instead of the target topic;
-* ``--once true``        process what is available and stop (``availableNow``).
+* ``--once true``        process what is available and stop (``availableNow``);
+* ``--time.zone Z``      the zone of log times that name none (default UTC).
 """
 
 from __future__ import annotations
@@ -41,7 +42,7 @@ class _Both:
 
 
 # options of this command that are not Kafka consumer properties
-LOCAL_KEYS = {"source.path", "source.max.files", "alerts.path", "once", "future.cap", "expiry.batches"}
+LOCAL_KEYS = {"source.path", "source.max.files", "alerts.path", "once", "future.cap", "expiry.batches", "time.zone"}
 # options of Spark's own source, passed as they are
 SOURCE_KEYS = {"startingOffsets", "startingTimestamp", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "minPartitions", "failOnDataLoss"}
 # settings the Spark Kafka source has no use for: the old consumer's ZooKeeper address, and the
@@ -89,7 +90,7 @@ def start(spark, cfg: PipelineConfig):
 
 def main(argv: list[str] | None = None) -> int:
     cfg = PipelineConfig.from_args(list(sys.argv[1:] if argv is None else argv))
-    spark = get_spark(cfg.job_name())
+    spark = get_spark(cfg.job_name(), time_zone=cfg.extra.get("time.zone") or "UTC")
     run_with_restarts(lambda: start(spark, cfg), attempts=cfg.restart_attempts,
                       delay_s=60.0 * cfg.restart_delay_min)
     return 0

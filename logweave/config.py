@@ -75,5 +75,7 @@ class PipelineConfig:
         """Application name listing every setting, extra properties included (CFG4)."""
         fixed = {"topic": self.topic, "broker": self.broker, "target-topic": self.target_topic,
                  "tables.path": self.tables_path, "parseBody": str(self.parse_body).lower(),
-                 "maxOutOfOrderness": str(self.max_out_of_order_s)}
+                 "maxOutOfOrderness": str(self.max_out_of_order_s), "restart.attempts": str(self.restart_attempts),
+                 "restart.delay": str(self.restart_delay_min), "az": self.az, "region": self.region,
+                 "checkpoint.interval": str(self.trigger_ms)}
         return "logweave - " + "; ".join(f"{k}: {v}" for k, v in {**fixed, **self.extra}.items())

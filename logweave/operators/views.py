@@ -7,10 +7,11 @@ horizon fan-out), so all four read one scan and stay in one codegen span.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, functions as F
 
-from logweave.functions.timeparse import as_of_column, date_piece, in_period, timeframe_minutes
+from logweave.functions.timeparse import as_of_column, date_piece, in_period, remaining_ttl, timeframe_minutes
 from logweave.operators.retention import fan_out, live, with_expiry, within_horizon
 from logweave.schema import HORIZONS
 
@@ -69,12 +70,26 @@ def stack_rows(accepted: DataFrame, as_of, place: Placement = Placement(), horiz
     return with_expiry(rows, as_of).withColumn("row_key", _row_key("id", "seq"))
 
 
-def raw_rows(accepted: DataFrame, place: Placement = Placement()) -> DataFrame:
-    """Dated raw rows, no TTL (PRS18, SNK4); ``date`` is the unpadded day text."""
+def raw_rows(accepted: DataFrame, place: Placement = Placement(), keep: tuple[str, ...] = ()) -> DataFrame:
+    """Dated raw rows, no TTL (PRS18, SNK4); ``date`` is the unpadded day text. ``keep``: columns passed on as they are."""
     return accepted.select(
         date_piece("event_time").alias("date"), F.lit(place.region).alias("region"),
         F.col("level").alias("loglevel"), "service", F.col("hostname").alias("node_type"),
-        F.col("event_time").alias("log_ts"), F.col("body").alias("payload"), "seq")
+        F.col("event_time").alias("log_ts"), F.col("body").alias("payload"), "seq", *keep)
+
+
+def table_counts(time_col: str, as_of, where, horizons=HORIZONS) -> list:
+    """Row counts of the four families as aggregates over the rows for which ``where`` holds (UDF2).
+
+    They follow from the builders' own rules without the fan-out: one node and service row per
+    horizon, a stack row for each horizon that ``within_horizon`` keeps, one raw row.
+    """
+    t = F.col(time_col)
+    n = F.count(F.when(where, 1))
+    boxed = reduce(lambda a, b: a + b, [
+        F.when(in_period(t, s, as_of) & (remaining_ttl(t, s, as_of) > 0), 1).otherwise(0) for _, s in horizons])
+    return [(n * len(horizons)).alias("node_rows"), (n * len(horizons)).alias("service_rows"),
+            F.coalesce(F.sum(F.when(where, boxed)), F.lit(0)).alias("stack_rows"), n.alias("raw_rows")]
 
 
 def recent(accepted: DataFrame, read_at, horizons=HORIZONS) -> DataFrame:

@@ -22,7 +22,9 @@ DEFAULT_CONF = {
 
 
 def get_spark(app: str = "logweave", master: str | None = None,
-              shuffle_partitions: int | None = None, conf: dict | None = None) -> SparkSession:
+              shuffle_partitions: int | None = None, conf: dict | None = None,
+              time_zone: str = "UTC") -> SparkSession:
+    """``time_zone``: the zone of log times that name none, and of the dates and minutes of the day derived from them."""
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
@@ -31,7 +33,7 @@ def get_spark(app: str = "logweave", master: str | None = None,
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     spark = builder.getOrCreate()
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.session.timeZone", time_zone)
     ensure_checkpoint_dir(spark)
     ship_package(spark)
     return spark

@@ -1,8 +1,8 @@
 """Physical row expiry for the TTL tables (the storage side of ``USING TTL``).
 
 Reads never see expired rows (``live``); this job reclaims their space. A
-table written by micro-batches is partitioned by ``batch_id`` and horizon
-``id``, and every row of such a partition was written at the same instant, so
+table written by micro-batches is partitioned by horizon ``id`` and
+``batch_id``, and every row of such a partition was written at the same instant, so
 whole partitions expire together. The job finds partitions whose latest
 ``expires_at`` has passed (an aggregate with one row per partition, combined
 map-side) and deletes those directories; nothing else is rewritten.
@@ -30,7 +30,7 @@ def drop_expired(spark: SparkSession, path: str, read_at, partition_cols: list[s
     The list of expired partitions is streamed to the driver one Spark partition at
     a time (``toLocalIterator``), so its length does not bound driver memory.
     """
-    cols = partition_cols or ["batch_id", "id"]
+    cols = partition_cols or ["id", "batch_id"]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()
     fs = jvm.org.apache.hadoop.fs.Path(path).getFileSystem(conf)

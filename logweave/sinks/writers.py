@@ -8,7 +8,7 @@ view; last-write-wins with ``latest_by_key``.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logweave.functions.render import alert_text
 
@@ -26,15 +26,28 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 def write_micro_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None,
                       fmt: str = "parquet") -> None:
-    """Idempotent write of one micro-batch: a replayed batch id overwrites its own folder.
+    """Idempotent write of one micro-batch: a replayed batch id replaces its own folders.
 
-    The batch's whole folder ``batch_id=N`` is replaced, so a replay that yields
-    fewer partitions (a row may have left a horizon meanwhile) leaves no stale ones.
+    The lookup key is the outer partition and the batch the inner one (``id=24h/batch_id=7``), so a
+    read of one key lists that key's folders only (``read_partition``). What an earlier try of the
+    batch left is deleted first, also below keys that the replay no longer yields.
     """
-    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static").format(fmt)
-    if partition_by:
-        w = w.partitionBy(*partition_by)
-    w.save(f"{path.rstrip('/')}/batch_id={int(batch_id)}")
+    parts = partition_by or []
+    spark = df.sparkSession
+    own = "/".join([path.rstrip("/"), *("*" for _ in parts), f"batch_id={int(batch_id)}"])
+    pattern = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(own)
+    fs = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in fs.globStatus(pattern) or []:
+        if not fs.delete(found.getPath(), True):
+            raise OSError(f"could not replace {found.getPath().toString()}")
+    (df.withColumn("batch_id", F.lit(int(batch_id)).cast("long")).write.mode("append").format(fmt)
+     .partitionBy(*parts, "batch_id").save(path))
+
+
+def read_partition(spark: SparkSession, path: str, key: str, value: str, fmt: str = "parquet") -> DataFrame:
+    """Stored rows of one lookup key (RD1): only the folders of that key are listed and read."""
+    base = path.rstrip("/")
+    return spark.read.option("basePath", base).format(fmt).load(f"{base}/{key}={value}")
 
 
 def merge_latest(df: DataFrame, path: str, keys: list[str], order: list[str],

@@ -5,11 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
+ARRIVAL = ("arrival_ts", "arrival_partition", "arrival_offset")
+
+
 def kafka_lines(raw: DataFrame) -> DataFrame:
-    """Kafka rows -> ``(seq, value)``; ``seq`` orders ties by partition then offset."""
+    """Kafka rows -> ``(seq, value)`` and the arrival columns.
+
+    ``seq`` is the record's unique number and breaks ties of equal event time;
+    ``ARRIVAL`` (record time, partition, offset) is the order of writes across partitions.
+    """
     seq = F.col("partition").cast("long") * F.lit(1 << 40) + F.col("offset")
     return raw.select(seq.alias("seq"), F.col("value").cast("string").alias("value"),
-                      F.col("partition"), F.col("offset"))
+                      F.col("timestamp").alias("arrival_ts"), F.col("partition").alias("arrival_partition"),
+                      F.col("offset").alias("arrival_offset"))
 
 
 def read_kafka_lines(spark: SparkSession, bootstrap_servers: str, topic: str, streaming: bool = True,

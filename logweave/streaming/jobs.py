@@ -2,14 +2,14 @@
 
 The table query writes every accepted row (late or not: no watermark before
 the append sinks) through ``foreachBatch``; each micro-batch is persisted
-once, written to the four tables and the quarantine, then released. ``now``
-is taken once per micro-batch, so the period test and the TTL agree. Writes
+once, written to the four tables and the quarantine, then released. The
+period test and the TTL count from the micro-batch's own time, which Spark
+records with its offsets: a replay yields the same rows. Writes
 are keyed by batch id, so a replayed batch overwrites itself.
 """
 
 from __future__ import annotations
 
-import datetime as dt
 import logging
 import time
 from collections.abc import Callable
@@ -20,9 +20,10 @@ from pyspark.errors import StreamingQueryException
 
 from logweave.operators.parse import accepted_entries, parse_entries, validate
 from logweave.operators.patterns import SequencePattern, correlated_create_vm
-from logweave.operators.views import RAW_KEYS, Placement, node_rows, raw_rows, service_rows, stack_rows
+from logweave.operators.views import RAW_KEYS, Placement, node_rows, raw_rows, service_rows, stack_rows, table_counts
 from logweave.session import ensure_checkpoint_dir
 from logweave.sinks.expiry import drop_expired
+from logweave.sources.kafka import ARRIVAL
 from logweave.sinks.writers import TABLE_PARTITIONS, alerts_to_text, merge_latest, write_micro_batch
 from logweave.streaming.matcher import match_sequence_stream
 
@@ -45,31 +46,36 @@ def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None
     ``expire_every``: after every so many micro-batches, delete the horizon tables' expired
     partitions (0: never; readers filter expired rows with ``live`` in any case).
     """
-    v = validate(parse_entries(lines, parse_body))
+    # lines of a source that knows when they were written (Kafka) carry it to the latest-row table
+    arrival = ARRIVAL if set(ARRIVAL) <= set(lines.columns) else ()
+    v = validate(parse_entries(lines, parse_body, keep=("seq", *arrival)))
+    v = v.withColumn("batch_time", F.current_timestamp())
     # per-micro-batch row counters (UDF2), reported in StreamingQueryProgress.observedMetrics
     accepted_flag = F.col("reject_reason").isNull()
     v = v.observe("ingest", F.count(F.lit(1)).alias("lines"),
                   F.count(F.when(accepted_flag, 1)).alias("accepted"),
-                  F.count(F.when(~accepted_flag, 1)).alias("rejected"))
+                  F.count(F.when(~accepted_flag, 1)).alias("rejected"),
+                  *table_counts("event_time", F.col("batch_time"), accepted_flag))
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
         batch.persist()
         try:
             accepted = batch.where(F.col("reject_reason").isNull()).drop("raw_value", "json_error", "reject_reason")
+            # one value in all rows of the batch; none if it has no rows
+            now = F.timestamp_micros(F.lit(batch.agg(F.max(F.unix_micros("batch_time"))).first()[0]).cast("long"))
             tables = {
                 "node_rows": node_rows(accepted, now, place),
                 "service_rows": service_rows(accepted, now, place),
                 "stack_rows": stack_rows(accepted, now, place),
-                "raw_rows": raw_rows(accepted, place),
+                "raw_rows": raw_rows(accepted, place, keep=arrival),
             }
             for name, df in tables.items():
-                write_micro_batch(df, f"{out_path}/{name}", batch_id, TABLE_PARTITIONS[name])
+                write_micro_batch(df.drop(*arrival), f"{out_path}/{name}", batch_id, TABLE_PARTITIONS[name])
             q = batch.where(F.col("reject_reason").isNotNull()).select("seq", "raw_value", "reject_reason")
             write_micro_batch(q, f"{out_path}/quarantine", batch_id)
             if keep_latest:
                 raw = tables["raw_rows"].withColumn("batch_id", F.lit(batch_id).cast("long"))
-                merge_latest(raw, f"{out_path}/raw_latest", RAW_KEYS, ["batch_id", "seq"], ["date"])
+                merge_latest(raw, f"{out_path}/raw_latest", RAW_KEYS, [*arrival] or ["batch_id", "seq"], ["date"])
             if expire_every and batch_id % expire_every == expire_every - 1:
                 for name in ("node_rows", "service_rows", "stack_rows"):
                     drop_expired(batch.sparkSession, f"{out_path}/{name}", now)

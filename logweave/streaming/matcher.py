@@ -1,16 +1,21 @@
 """Sequence patterns in Structured Streaming (STR2, STR3, STR10).
 
 * ``strict`` / ``next``: keyed state with ``applyInPandasWithState`` and an
-  event-time timeout. Rows of a key are held until the watermark passes them,
+  event-time timeout. The state's key is the pattern key and a time bucket of
+  ``BUCKET_BOUNDS`` bounds. Each row goes to its own bucket; one within a bound of
+  its bucket's start also goes to the bucket before, where it may end a match but
+  not start one, so no pair across an edge is lost or found twice. A backlog of
+  one hot key is so spread over as many tasks as it has buckets, and a bucket's state
+  goes once the watermark is past it. The edges are shifted by a hash of the key, lest all
+  keys change bucket at one instant. Rows of a group are held until the watermark passes them,
   then released in ``(t, seq)`` order and matched exactly as the batch scan
-  does. State per key is bounded: pending rows newer than the watermark, plus
-  (strict) the last released row or (next) the open first rows younger than
-  the bound.
+  does: state holds the rows newer than the watermark, plus (strict) the last
+  released row or (next) the open first rows younger than the bound.
 * ``any``: a stream-stream inner join on the key with an event-time range,
   so Spark can drop join state once the watermark passes the bound.
 
 Rows older than the watermark are dropped before the state function (Spark's
-``numRowsDroppedByWatermark`` metric counts them), and the state function drops
+``numRowsDroppedByWatermark`` metric counts them, a row sent to two buckets twice), and the state function drops
 a row at or before the last position its key has released, so every key is
 matched strictly in order. The key / candidate filters reference the event-time
 column, which keeps them above ``withWatermark``: every accepted row advances
@@ -44,6 +49,8 @@ _STATE = T.StructType([
     T.StructField("done_seq", T.LongType()),
 ])
 
+# length of a time bucket of the keyed state, in time bounds of the pattern: one row in so many goes to two buckets
+BUCKET_BOUNDS = 8
 
 _COLS = ("t", "seq", "f", "s", "pay")
 
@@ -196,12 +203,24 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
         raise ValueError(f"unknown contiguity {pattern.contiguity!r}")
     slim = base.select(*keys, "event_time", "t", "seq", "is_first", "is_second",
                        F.when(F.col("is_first") | F.col("is_second"), F.to_json("rec")).alias("payload"))
+    length = F.lit(BUCKET_BOUNDS * w).cast("long")
+    shifted = F.col("t") + F.pmod(F.xxhash64(*keys), length)
+    offset = F.pmod(shifted, length)
+    own = F.call_function("div", shifted - offset, length)
+    # strict: any row near the start may break a run of the bucket before; next: only second rows count
+    near = offset < F.lit(w)
+    if pattern.contiguity == "next":
+        near = near & F.col("is_second")
+    before = F.when(near, F.struct((own - 1).alias("bucket"), F.lit(False).alias("own")))
+    places = F.filter(F.array(F.struct(own.alias("bucket"), F.lit(True).alias("own")), before), lambda x: x.isNotNull())
+    slim = slim.select("*", F.inline(places)).withColumn("is_first", F.col("is_first") & F.col("own"))
+    slim = slim.withColumn("payload", F.when(F.col("is_first") | F.col("is_second"), F.col("payload"))).drop("own")
     key_fields = [slim.schema[k] for k in keys]
     out_schema = T.StructType(key_fields + [
         T.StructField("seq1", T.LongType()), T.StructField("t1", T.LongType()), T.StructField("p1", T.StringType()),
         T.StructField("seq2", T.LongType()), T.StructField("t2", T.LongType()), T.StructField("p2", T.StringType()),
     ])
-    pairs = slim.groupBy(*keys).applyInPandasWithState(_matcher(keys, pattern.contiguity, w), out_schema, _STATE, "append",
+    pairs = slim.groupBy(*keys, "bucket").applyInPandasWithState(_matcher(keys, pattern.contiguity, w), out_schema, _STATE, "append",
                                            GroupStateTimeout.EventTimeTimeout)
     return pairs.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.from_json("p1", rec_type).alias("first"),
                         F.from_json("p2", rec_type).alias("second"), F.lit(pattern.name).alias("alert_name"))

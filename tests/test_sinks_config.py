@@ -8,7 +8,7 @@ from pyspark.sql import functions as F, types as T
 from logweave.config import PipelineConfig, get_value, parse_args
 from logweave.plans.job import build, run_batch
 from logweave.sinks.expiry import drop_expired
-from logweave.sinks.writers import merge_latest, write_keyed, write_micro_batch
+from logweave.sinks.writers import merge_latest, read_partition, write_keyed, write_micro_batch
 from logweave.sources.fixtures import read_event_lines
 from logweave.sources.table_specs import parse_table_specs, read_table_specs, spec_schema
 from logweave.sources.text import read_lines, read_primitives
@@ -72,6 +72,16 @@ def test_micro_batch_write_is_idempotent(spark):
     assert spark.read.parquet(f"{d}/t").where("batch_id = 7").select("id_s").distinct().count() == 1
 
 
+def test_read_of_one_key_lists_its_folders_only(spark):
+    d = tmp()
+    df = spark.range(4).selectExpr("cast(id % 2 as string) as id_s", "id as n")
+    for batch in (0, 1):
+        write_micro_batch(df, f"{d}/t", batch, ["id_s"])
+    one = read_partition(spark, f"{d}/t", "id_s", "1")
+    assert all("/id_s=1/" in f for f in one.inputFiles())
+    assert sorted((r["batch_id"], r["n"]) for r in one.collect()) == [(0, 1), (0, 3), (1, 1), (1, 3)]
+
+
 def test_drop_expired_of_a_table_without_rows(spark):
     d = tmp()
     empty = spark.createDataFrame([], "id string, expires_at timestamp")

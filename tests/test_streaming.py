@@ -94,12 +94,110 @@ def test_tables_stream_writes_every_row(spark):
     observed = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(m["lines"] for m in observed) == len(rows)
     assert sum(m["accepted"] for m in observed) == n_acc
-    assert spark.read.parquet(f"{d}/out/raw_rows").count() == n_acc
-    assert spark.read.parquet(f"{d}/out/node_rows").count() == 6 * n_acc
+    for name in ("node_rows", "service_rows", "stack_rows", "raw_rows"):
+        # stack rows: these events are older than every horizon, so none is due
+        stored = spark.read.parquet(f"{d}/out/{name}").count() if name != "stack_rows" else 0
+        assert sum(m[name] for m in observed) == stored == {"stack_rows": 0, "raw_rows": n_acc}.get(name, 6 * n_acc)
     assert spark.read.parquet(f"{d}/out/quarantine").count() == len(rows) - n_acc
     assert spark.read.parquet(f"{d}/out/node_rows").select("batch_id").distinct().count() == 4
 
 
+def test_stack_counter_counts_the_rows_that_are_stored(spark):
+    import datetime as dt
+    now = dt.datetime.now(dt.timezone.utc)
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    rows = []
+    for i, hours in enumerate((0.5, 3, 30, 24 * 10, 24 * 40)):
+        when = (now - dt.timedelta(hours=hours)).strftime("%Y-%m-%d %H:%M:%S")
+        rows.append((i, jline(i, "00:00:00")[1].replace("2017-04-26 00:00:00", when)))
+    spark.createDataFrame(rows, "seq long, value string").write.parquet(f"{d}/src/c0")
+    stream = spark.readStream.schema("seq long, value string").parquet(f"{d}/src/*")
+    q = start_tables_stream(stream, f"{d}/out", checkpoint=f"{d}/ck", available_now=True)
+    q.awaitTermination()
+    due = sum(p["observedMetrics"]["ingest"]["stack_rows"] for p in q.recentProgress if p.get("observedMetrics"))
+    assert due == spark.read.parquet(f"{d}/out/stack_rows").count() == 6 + 5 + 2 + 1
+
+
+def test_file_stream_keeps_line_order(spark):
+    """Lines of one millisecond, many of them alike, match as in batch: the file's order decides."""
+    import os
+    from logweave.sources.text import read_lines
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    os.makedirs(f"{d}/src")
+    kinds = [("3", "6", "3", "3")[i % 4] for i in range(400)]
+    with open(f"{d}/src/a.txt", "w") as f:
+        for k in kinds:
+            f.write(jline(7, "00:01:00", k)[1] + "\n")
+    with open(f"{d}/src/b.txt", "w") as f:
+        f.write(jline(8, "23:00:00", svc="Zed")[1] + "\n")
+    arrow = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    split = "spark.sql.files.maxPartitionBytes"
+    keep = {c: spark.conf.get(c) for c in (arrow, split)}
+    # several splits for the file, several Arrow batches for a split
+    spark.conf.set(arrow, "7")
+    spark.conf.set(split, "8192")
+    try:
+        lines = read_lines(spark, f"{d}/src", streaming=True)
+        numbered = lines.writeStream.format("parquet").option("checkpointLocation", f"{d}/ck0") \
+            .trigger(availableNow=True).start(f"{d}/numbered")
+        numbered.awaitTermination()
+        pattern = consecutive_errors()
+        a = alerts_stream(read_lines(spark, f"{d}/src", streaming=True, max_files_per_trigger=1), pattern)
+        q = a.select(F.col("first.seq").alias("s1"), F.col("second.seq").alias("s2")).writeStream.format("memory") \
+            .queryName("order_" + d.rsplit("-", 1)[-1]).option("checkpointLocation", f"{d}/ck").start()
+        q.processAllAvailable()
+        q.stop()
+    finally:
+        for c, v in keep.items():
+            spark.conf.set(c, v)
+    stored = spark.read.parquet(f"{d}/numbered")
+    assert stored.count() == stored.select("seq").distinct().count() == 401
+    ordered = [r["value"] for r in stored.where("value not like '%Zed%'").orderBy("seq").collect()]
+    assert ordered == [jline(7, "00:01:00", k)[1] for k in kinds]
+    batch = match_sequence(accepted_entries(read_lines(spark, f"{d}/src/a.txt")), pattern).count()
+    n = spark.sql(f"select * from order_{d.rsplit('-', 1)[-1]}").count()
+    assert n == batch == sum(1 for x, y in zip(kinds, kinds[1:]) if x == y == "3")
+
+
+@pytest.mark.parametrize("mode", ["strict", "next"])
+def test_pairs_across_buckets_and_a_spread_backlog(spark, mode):
+    """Pairs on both sides of a bucket's edge are found once; a one-service backlog fills many buckets."""
+    import random
+    from dataclasses import replace
+    rnd = random.Random(11)
+    rows, second = [], 0
+    for i in range(300):
+        second += rnd.choice((0, 1, 59, 61, 599, 600, 601))
+        h, rest = divmod(second, 3600)
+        rows.append(jline(i, f"{h % 24:02d}:{rest // 60:02d}:{rest % 60:02d}", rnd.choice("36")))
+        rows[-1] = (i, rows[-1][1].replace("2017-04-26", f"2017-04-{1 + h // 24:02d}"))
+    pattern = replace(consecutive_errors(), contiguity=mode)
+    end = [(10**6, jline(10**6, "23:00:00", svc="Zed")[1].replace("2017-04-26", "2030-01-01"))]
+    exp = sorted((r["first"]["seq"], r["second"]["seq"]) for r in
+                 match_sequence(accepted_entries(spark.createDataFrame(rows, "seq long, value string")), pattern).collect())
+    progress = []
+    got, _, _ = run_files(spark, [rows, end], pattern, progress=progress)
+    assert got == exp and len(exp) > 20
+    peak = max(op["numRowsTotal"] for p in progress for op in p["stateOperators"])
+    left = [op["numRowsTotal"] for p in progress for op in p["stateOperators"]][-1]
+    assert peak > 10 and left <= 2       # what is left: buckets of the last row
+
+
+def test_latest_row_across_kafka_partitions(spark):
+    from logweave.sources.kafka import kafka_lines
+    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
+    schema = "key binary, value binary, topic string, partition int, offset long, timestamp timestamp, timestampType int"
+    import datetime as dt
+    t = dt.datetime(2024, 1, 1)
+    early, late = jline(1, "00:01:00", body_tail="[early]")[1], jline(2, "00:01:00", body_tail="[late]")[1]
+    # the higher partition holds the older record
+    spark.createDataFrame([(None, early.encode(), "t", 5, 900, t, 0), (None, late.encode(), "t", 0, 3, t + dt.timedelta(seconds=1), 0)],
+                          schema).write.parquet(f"{d}/src/c0")
+    lines = kafka_lines(spark.readStream.schema(schema).parquet(f"{d}/src/*"))
+    start_tables_stream(lines, f"{d}/out", checkpoint=f"{d}/ck", available_now=True, keep_latest=True).awaitTermination()
+    assert [r["payload"] for r in spark.read.parquet(f"{d}/out/raw_latest").collect()] == ["[late]"]
+
+
 def test_run_with_restarts():
     from pyspark.errors import StreamingQueryException
 
