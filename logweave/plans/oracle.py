@@ -189,6 +189,40 @@ def oracle_sql() -> dict[str, str]:
     q["body_timestamp"] = _sql("SELECT seq, p_ts AS body_timestamp FROM parsed")
     q["body_severity"] = _sql("SELECT seq, p_sev AS body_severity FROM parsed")
     q["body_info"] = _sql("SELECT seq, p_body AS body_info FROM parsed")
+    q["to_event_time_formats"] = f"""
+SELECT event_id AS seq,
+       CASE event_id % 10
+         WHEN 0 THEN {_fmt('ts')}
+         WHEN 1 THEN strftime(ts, '%Y-%-m-%-d %-H:%-M:%-S.%g')
+         WHEN 2 THEN strftime(ts, '%Y-%m-%d %H:%M:%S')
+         WHEN 3 THEN strftime(ts, '%b %d %Y %H:%M:%S')
+         WHEN 4 THEN strftime(ts, '%b %-d %Y %-H:%-M:%-S')
+         WHEN 5 THEN strftime(ts, '%Y/%-m/%-d %-H:%-M:%-S.%g')
+         WHEN 6 THEN strftime(ts + INTERVAL 1 HOUR, '%Y-%m-%dT%H:%M:%S.%f') || '+01:00'
+         WHEN 7 THEN strftime(ts - INTERVAL 150 MINUTE, '%Y-%-m-%-dT%-H:%-M:%-S.%f') || '-0230'
+         WHEN 8 THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'UTC'
+         ELSE 'about noon, day ' || CAST(event_id % 28 AS VARCHAR) END AS timestamp,
+       CASE WHEN event_id % 10 = 9 THEN '1970-01-01 00:00:00.000'
+            WHEN event_id % 10 IN (2, 3, 4) THEN strftime(ts, '%Y-%m-%d %H:%M:%S') || '.000'
+            ELSE {_fmt('ts')} END AS event_time
+FROM (SELECT event_id, CAST(ts AS TIMESTAMP) AS ts FROM events)"""
+    # the dot of the engine's pattern stops at every line end, not at \\n alone
+    q["document_timestamp"] = r"""
+SELECT doc_id, CASE WHEN m IS NULL OR m = '' THEN '1970-01-01 00:00:00.0' ELSE m END AS body_timestamp
+FROM (SELECT doc_id, regexp_extract(text, '[0-9]{4}-[0-9]{2}-[0-9]{2}[ \t\n\x0B\f\r][0-9]{2}:[0-9]{2}:[0-9]{2}\.[0-9]{3}') AS m
+      FROM documents)"""
+    q["document_severity"] = """
+SELECT doc_id, w AS severity_word,
+       CASE w WHEN 'ALERT' THEN '1' WHEN 'CRIT' THEN '2' WHEN 'EMERG' THEN '0' WHEN 'ERROR' THEN '3'
+              WHEN 'WARNING' THEN '4' WHEN 'NOTICE' THEN '5' WHEN 'INFO' THEN '6' WHEN 'DEBUG' THEN '7' ELSE '' END
+         AS body_severity
+FROM (SELECT doc_id, regexp_extract(text, '[A-Z]{4,7}') AS w FROM documents)"""
+    q["document_info"] = r"""
+SELECT doc_id, regexp_extract(text, '\[[^\n\r\x{0085}\x{2028}\x{2029}]*') AS body_info FROM documents"""
+    q["document_correlation_id"] = r"""
+SELECT doc_id, CASE WHEN contains(text, 'CEP_ID=')
+                    THEN regexp_extract(split_part(text, 'CEP_ID=', 2), '^[^ \t\n\x0B\f\r]*') END AS correlation_id
+FROM documents"""
     q["severity_name"] = _sql("""
 SELECT seq, json_sev AS severity,
        CASE json_sev WHEN '0' THEN 'EMERG' WHEN '1' THEN 'ALERT' WHEN '2' THEN 'CRIT' WHEN '3' THEN 'ERROR'

@@ -1,7 +1,8 @@
 """Driver queries: one per operator of the inventory, over the ``events`` table.
 
 Every query reads ``events.parquet`` under ``sf_dir`` through the syslog
-adapter and runs the engine's operators on the whole table. Time columns are
+adapter and runs the engine's operators on the whole table; the ``document_*``
+queries run the text extractors on the whole texts of ``documents``. Time columns are
 rendered as ``yyyy-MM-dd HH:mm:ss.SSS`` text so results compare exactly with
 the DuckDB oracles in :mod:`logweave.plans.oracle`.
 """
@@ -26,7 +27,7 @@ from logweave.operators.views import (
     NODE_KEYS, RAW_KEYS, SERVICE_KEYS, counts, node_rows, raw_rows, recent, service_rows, stack_rows,
 )
 from logweave.schema import HORIZONS, LOG_FIELDS
-from logweave.sources.fixtures import read_event_lines
+from logweave.sources.fixtures import events_to_times, read_event_lines
 
 AS_OF = "2024-01-31 00:00:00"
 # stored rows are read back half an hour after they were written
@@ -131,6 +132,11 @@ def q_to_event_time(spark, sf_dir):
     return p.select("seq", "timestamp", fmt(to_event_time("timestamp")).alias("event_time"))
 
 
+def q_to_event_time_formats(spark, sf_dir):
+    times = events_to_times(spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts"))
+    return times.select("seq", "timestamp", fmt(to_event_time("timestamp")).alias("event_time"))
+
+
 def q_timeframe_minutes(spark, sf_dir):
     return _accepted(spark, sf_dir).select("seq", timeframe_minutes("event_time").alias("timeframe"))
 
@@ -139,6 +145,29 @@ def q_correlation_id(spark, sf_dir):
     return _parsed(spark, sf_dir, True).select("seq", correlation_id("body").alias("correlation_id"))
 
 
+# -- extractors over free text: whole ``documents``, every row --------------------
+
+def _documents(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+
+
+def q_document_timestamp(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", body_timestamp("text").alias("body_timestamp"))
+
+
+def q_document_severity(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", severity_word("text").alias("severity_word"),
+                                            body_severity("text").alias("body_severity"))
+
+
+def q_document_info(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", body_info("text").alias("body_info"))
+
+
+def q_document_correlation_id(spark, sf_dir):
+    return _documents(spark, sf_dir).select("doc_id", correlation_id("text").alias("correlation_id"))
+
+
 # -- time boxes and fan-out ---------------------------------------------------
 
 def _fanned(spark, sf_dir):

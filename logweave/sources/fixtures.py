@@ -78,6 +78,32 @@ def events_to_lines(events: DataFrame) -> DataFrame:
     return events.select(eid.alias("seq"), value.alias("value"))
 
 
+# Fixed values of the adapter: how event ``i`` spells its time, by ``i % 10`` (9: no readable time).
+# The offsets are those of the zone in which the time is told.
+TIME_SPELLINGS = (
+    ("yyyy-MM-dd HH:mm:ss.SSS", 0, ""),
+    ("yyyy-M-d H:m:s.SSS", 0, ""),
+    ("yyyy-MM-dd HH:mm:ss", 0, ""),
+    ("MMM dd yyyy HH:mm:ss", 0, ""),
+    ("MMM d yyyy H:m:s", 0, ""),
+    ("yyyy/M/d H:m:s.SSS", 0, ""),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", 60, "+01:00"),
+    ("yyyy-M-d'T'H:m:s.SSSSSS", -150, "-0230"),
+    ("yyyy-MM-dd'T'HH:mm:ss.SSSSSS", 0, "UTC"),
+)
+
+
+def events_to_times(events: DataFrame) -> DataFrame:
+    """``events`` -> ``(seq bigint, timestamp string)``: every time format the parser takes, and unreadable ones."""
+    eid, ts = F.col("event_id"), F.col("ts").cast("timestamp")
+    kind = eid % (len(TIME_SPELLINGS) + 1)
+    text = F.concat(F.lit("about noon, day "), _s(eid % 28))
+    for i, (spelling, minutes, zone) in enumerate(TIME_SPELLINGS):
+        told = F.date_format(ts + F.make_interval(mins=F.lit(minutes)), spelling)
+        text = F.when(kind == i, F.concat(told, F.lit(zone))).otherwise(text)
+    return events.select(eid.alias("seq"), text.alias("timestamp"))
+
+
 def read_event_lines(spark: SparkSession, sf_dir: str, rebalance: bool = True) -> DataFrame:
     """Read ``events.parquet`` under ``sf_dir`` and adapt it to syslog lines.
 
