@@ -223,12 +223,21 @@ def next_match(df: DataFrame, keys: list[str], mode: str, within_ms: int,
     ranged = ranged.sortWithinPartitions(*order)
     scanned = ranged.mapInPandas(_scan_factory(keys, mode, within_ms), _out_schema(key_fields))
 
-    # Cross-slice resolution, as one chain over the scan output (no second consumer):
+    # The scan's output becomes one shuffle stage with two readers: pairs leave from there, and only
+    # heads, markers and open rows go on. Both readers filter on columns of a Generate, which keeps
+    # the filters above the stage, so that it is the same for both and the scan runs once.
+    columns = scanned.columns
+    scanned = scanned.hint("rebalance", "pid", "seq1") \
+        .select(F.inline(F.array(F.struct(*[F.col(c) for c in columns]))))
+    pairs = scanned.where(F.col("kind") == PAIR).select(*keys, "seq1", "t1", "p1", "seq2", "t2", "p2")
+    scanned = scanned.where(F.col("kind") != PAIR)
+
+    # Cross-slice resolution:
     # 1. heads (one per slice) and markers (one per slice with open rows) share one small
     #    group, ordered by slice descending; each marker picks up the nearest later slice's
     #    head that is not "transparent" (next mode: a slice of one key with no candidate);
     # 2. a window per slice hands the marker's answer to that slice's open rows.
-    # Pairs and open rows stay spread by slice in both steps; the shared group holds at
+    # Open rows stay spread by slice in both steps; the shared group holds at
     # most two rows per slice whatever the key distribution.
     kind = F.col("kind")
     transparent = F.col("only_key") & ~F.col("found") if mode == "next" else F.lit(False)
@@ -247,9 +256,6 @@ def next_match(df: DataFrame, keys: list[str], mode: str, within_ms: int,
         same_key = same_key & (F.col(f"rx.k_{k}") == F.col(k))
     crossing = ((kind == OPEN) & F.col("rx").isNotNull() & same_key & F.col("rx.found")
                 & (F.col("rx.t2") - F.col("t1") < within_ms))
-    is_pair = kind == PAIR
-    return windowed.where(is_pair | crossing).select(
-        *keys, "seq1", "t1", "p1",
-        F.when(is_pair, F.col("seq2")).otherwise(F.col("rx.seq2")).alias("seq2"),
-        F.when(is_pair, F.col("t2")).otherwise(F.col("rx.t2")).alias("t2"),
-        F.when(is_pair, F.col("p2")).otherwise(F.col("rx.p2")).alias("p2"))
+    resolved = windowed.where(crossing).select(*keys, "seq1", "t1", "p1", F.col("rx.seq2").alias("seq2"),
+                                               F.col("rx.t2").alias("t2"), F.col("rx.p2").alias("p2"))
+    return pairs.unionByName(resolved)
