@@ -74,13 +74,22 @@ def per_entry(starts: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
     return np.repeat(values, np.diff(np.append(starts, n)))
 
 
+def _parts(ids: np.ndarray, keys: np.ndarray, n: int) -> np.ndarray:
+    """The part of each document, by id and text: copies of a text under many ids spread over all parts."""
+    h = ids.astype(np.int64).view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ keys.astype(np.int64).view(np.uint64)
+    for _ in range(2):
+        h ^= h >> np.uint64(32)
+        h *= np.uint64(0xD6E8FEB86659FD93)
+    return ((h >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int64)
+
+
 def pack(h: np.ndarray, doc: np.ndarray, pos: np.ndarray, ids: np.ndarray, keys: np.ndarray, n: int, wide: bool,
          settled: np.ndarray | None = None) -> pa.RecordBatch:
-    """Rows of entries in (doc, pos) order; those in ``settled`` go straight through, without hashes."""
+    """Rows of entries in (doc, pos) order; those in ``settled`` go straight to their document's part, without hashes."""
     if settled is None:
         settled = np.zeros(len(h), bool)
     bucket = ((h >> np.uint64(32)) * np.uint64(n) >> np.uint64(32)).astype(np.int32)
-    group = np.where(settled, n + bucket[0] if len(bucket) else 0, bucket)
+    group = np.where(settled, n + _parts(ids, keys, n)[doc], bucket)
     order = np.argsort(group, kind="stable")
     group, doc, pos, h = group[order], doc[order], pos[order], h[order]
     head = np.concatenate([[True], (doc[1:] != doc[:-1]) | (group[1:] != group[:-1])]) if len(doc) else np.zeros(0, bool)
@@ -118,7 +127,7 @@ def _unpack(table: pa.Table, dtype: str):
 def _hits(who: np.ndarray, count: np.ndarray, pos: np.ndarray, keep: np.ndarray, n: int) -> list[tuple[int, bytes, bytes, bytes]]:
     """The kept entries as one packed row for each part of the documents."""
     kept = np.add.reduceat(keep, np.cumsum(count) - count, dtype=np.int64) if len(keep) else np.zeros(0, np.int64)
-    part = (who[:, 1].view(np.uint64) % np.uint64(n)).astype(np.int64)
+    part = _parts(who[:, 0], who[:, 1], n)
     of_entry = np.repeat(part, kept)
     pos = pos[keep][np.argsort(of_entry, kind="stable")].astype("<u4")
     order = np.argsort(part, kind="stable")
@@ -171,7 +180,8 @@ def identified(docs: DataFrame) -> DataFrame:
 def hashed(batches: Iterator[pa.RecordBatch], windows: Callable, limit: int = SLICE_BYTES) -> Iterator[tuple]:
     """(hashes, doc rows, positions, ids, keys) of some megabytes of documents at a time.
 
-    ``windows(buf, offsets, batch, lo, hi)`` gives the first three for rows lo to hi.
+    ``windows(buf, offsets, batch, lo, hi)`` gives the first three for rows lo to hi. Of rows that
+    repeat both id and text, a slice yields the first only: the others would say the same again.
     """
     from .common import slices, text_buffer
     for batch in batches:
@@ -183,5 +193,9 @@ def hashed(batches: Iterator[pa.RecordBatch], windows: Callable, limit: int = SL
                 h, doc, pos = windows(buf[off[lo + a]:off[lo + b]], off[lo + a:lo + b + 1] - off[lo + a], batch, lo + a, lo + b)
                 parts.append((h, doc + lo + a, pos))
             h, doc, pos = map(np.concatenate, zip(*parts))
+            _, first = np.unique(np.stack([ids[lo:hi], keys[lo:hi]], axis=1), axis=0, return_index=True)
+            if len(first) < hi - lo:
+                own = np.isin(doc, first + lo)
+                h, doc, pos = h[own], doc[own], pos[own]
             if len(h):
                 yield h, doc, pos, ids, keys

@@ -270,3 +270,34 @@ def test_pipeline(spark, odd):
     assert len({r.text for r in rows.values()}) == len(rows)
     assert {r.doc_id for r in corpus_pipeline.run(spark, SF_SMALL).select("doc_id").collect()} == set(rows)
     assert not [d for d, x in rows.items() if len(re.findall(r"[^\x20\x09-\x0D]+", x.text)) == 0]
+
+
+def test_exchange_spreads_copies_of_one_text():
+    from logweave.llm import exchange
+    n, copies = 16, 4000
+    ids, keys = np.arange(copies) * 7 - 50, np.full(copies, 12345)
+    who = np.stack([ids, keys], axis=1)
+    hits = exchange._hits(who, np.full(copies, 2), np.tile([3, 9], copies), np.ones(2 * copies, bool), n)
+    held = {part: len(docs) // 16 for part, docs, _, _ in hits}
+    assert len(held) == n and sum(held.values()) == copies and max(held.values()) < 2 * copies / n
+    # settled entries of slices that all begin with the hot window
+    doc, pos = np.repeat(np.arange(copies), 2), np.tile([3, 9], copies)
+    rows = exchange.pack(np.full(2 * copies, 2**40, np.uint64), doc, pos, ids, keys, n, True, np.ones(2 * copies, bool)).to_pydict()
+    assert sorted(rows["bucket"]) == list(range(n)) and max(map(len, rows["docs"])) < 2 * 16 * copies / n and set(rows["rem"]) == {b""}
+
+
+def test_exchange_sends_repeated_rows_once_a_slice():
+    import pyarrow as pa
+    from logweave.llm import exchange
+    texts = ["abc", "abc", "abc", "abd"]
+    batch = pa.RecordBatch.from_arrays([pa.array([5, 5, 6, 5]), pa.array([1, 1, 1, 2]), pa.array(texts)], ["doc_id", "text_key", "text"])
+    windows = lambda buf, off, batch, lo, hi: (np.arange(lo, hi).astype(np.uint64), np.arange(hi - lo), np.zeros(hi - lo, np.int64))
+    assert [doc.tolist() for _, doc, *_ in exchange.hashed([batch], windows)] == [[0, 2, 3]]
+
+
+def test_many_copies_under_substring_and_suffix(spark):
+    rows = [(k, PROSE) for k in range(40)] + [(7, PROSE)] * 20 + [(None, PROSE)] * 20 + [(50, "own words " * 3 + PROSE[300:1500]), (51, PROSE + " tail of its own")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    assert Counter(map(tuple, substring.substring_dedup(docs).collect())) == brute_substring(rows)
+    got = Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix.suffix_dedup(docs).collect())
+    assert got == brute_suffix(rows)
