@@ -8,12 +8,15 @@ on either side and only the last sequence of all is short.
 Ids are written as little-endian unsigned 32-bit integers.
 
 Defined cases: a null or empty text is its end id alone. A null doc_id is carried as it is.
-Repeated rows are packed each. No rows give no pieces.
+Repeated rows are packed each. No rows give no pieces. White space of any length is one pre-token
+but for its last character before a word; runs the regex engine cannot step back over are cut out
+before it.
 """
 
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -28,6 +31,10 @@ from .common import python_ready, stage
 #: The pre-tokenization pattern of the public byte-level BPE vocabularies (fixed value).
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
+#: White space of the pattern, and the length from which a run does not pass the regex engine.
+SPACE, LONG = r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]", 10_000
+_LONG_RUN = re.compile(f"(?<!{SPACE}){SPACE}{{{LONG},}}")
+
 
 def byte_symbols() -> dict[str, int]:
     """The byte-level alphabet: printable Latin-1 bytes stand for themselves, others from U+0100 on."""
@@ -37,7 +44,7 @@ def byte_symbols() -> dict[str, int]:
 
 
 @lru_cache(maxsize=2)
-def _encoder(vocabulary: str):
+def _encoder(vocabulary: str, pattern: str = PATTERN):
     """Ids of a byte-level BPE vocabulary file's text, whose ids must follow the merge order."""
     import tiktoken
 
@@ -49,18 +56,34 @@ def _encoder(vocabulary: str):
     ranks = {bytes(symbol[c] for c in token): i for token, i in vocab.items()}
     special = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
     ranks = {k: v for k, v in ranks.items() if v not in special.values()}
-    return tiktoken.Encoding("pack", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens=special)
+    return tiktoken.Encoding("pack", pat_str=pattern, mergeable_ranks=ranks, special_tokens=special)
+
+
+def _encode(vocabulary: str, text: str) -> np.ndarray:
+    """Ids of a text; long white space goes past the regex as the pre-token it would become."""
+    encoder = _encoder(vocabulary)
+    if len(text) < LONG:
+        return encoder.encode_to_numpy(text, allowed_special="all")
+    out, lo = [], 0
+    for run in _LONG_RUN.finditer(text):
+        a, b = run.span()
+        if b < len(text) and not any(text.startswith(t, b) for t in encoder.special_tokens_set):
+            b -= 1  # the last character stands before a word
+        out.append(encoder.encode_to_numpy(text[lo:a], allowed_special="all"))
+        out.append(_encoder(vocabulary, r"[\s\S]+").encode_to_numpy(text[a:b], allowed_special="all"))
+        lo = b
+    return np.concatenate([*out, encoder.encode_to_numpy(text[lo:], allowed_special="all")])
 
 
 def _tokenize(vocabulary, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder, part, start, order = _encoder(vocabulary.value), TaskContext.get().partitionId(), 0, 0
+        known, part, start, order = vocabulary.value, TaskContext.get().partitionId(), 0, 0
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 rows = batch.slice(lo, 256)
                 ids, starts, lengths = [], [], []
                 for text in rows.column(1).to_pylist():
-                    own = np.append(encoder.encode_to_numpy(text or "", allowed_special="all"), end_id).astype("<u4")
+                    own = np.append(_encode(known, text or ""), end_id).astype("<u4")
                     ids.append(own.tobytes())
                     starts.append(start)
                     lengths.append(len(own))

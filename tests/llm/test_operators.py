@@ -301,3 +301,15 @@ def test_many_copies_under_substring_and_suffix(spark):
     assert Counter(map(tuple, substring.substring_dedup(docs).collect())) == brute_substring(rows)
     got = Counter((r.doc_id, r.n_bytes, r.n_removed, len(r.spans), bytes(r.kept)) for r in suffix.suffix_dedup(docs).collect())
     assert got == brute_suffix(rows)
+
+
+def test_long_white_space_is_encoded(spark):
+    from tokenizers import Tokenizer
+    path = queries.tokenizer_path("byte_bpe_50k.json")
+    own, n = Tokenizer.from_file(path), 2_000_000
+    rows = ["a" + " " * n + "b", "\n" * n, "a b" + " \n\t" * 6000 + "\n<|endoftext|>" + "\u3000\x1c" * 9000 + " " * 12000 + "'s", " " * 20000 + "<|endoftext|>", "x" + "\r\n" * 5000 + "  y" + " " * 9999 + "z" + " " * 10001]
+    vocabulary = packing.read_vocabulary(path)
+    for x in rows:
+        assert np.array_equal(packing._encode(vocabulary, x), own.encode(x, add_special_tokens=False).ids)
+    got = packing.pack(spark.createDataFrame([(1, rows[0])], "doc_id long, text string"), path, 1 << 23).collect()
+    assert [r.length for r in got] == [len(own.encode(rows[0], add_special_tokens=False).ids) + 1]
