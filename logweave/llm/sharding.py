@@ -4,7 +4,8 @@ A document hashes to 60 bits of the MD5 of its doc_id. A bucket is a prefix of t
 bucket over the byte limit splits, on its next bit, until every shard fits. Bytes are summed once by
 a prefix some bits longer than the expected depth and rolled up to all shorter prefixes, which gives
 the directory (depth and prefix of every shard) without moving a document; buckets that need more
-bits go through another such pass alone.
+bits go through another such pass alone. Documents find their shard by depth and prefix, so a shard
+far deeper than the others costs no more than they do.
 
 Defined cases: a null text has no bytes. A null doc_id hashes like the empty string. Rows that
 repeat a doc_id hash alike and share a shard; a shard that holds a single hash value may exceed the
@@ -18,6 +19,8 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import stage
+
 BITS, STEP = 60, 6
 
 
@@ -65,12 +68,11 @@ def shard(docs: DataFrame, limit: int) -> DataFrame:
     """(doc_id, n_bytes, shard, depth, shard_bytes) of each row; ``shard`` is the prefix in binary."""
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), hash_bits(F.col("doc_id")).alias("h"),
                          F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    shards = directory(hashed.select("h", "n_bytes"), limit)
-    # the directory's entries: each shard under every prefix of the greatest depth that leads to it
-    deepest = shards.agg(F.max("depth")).first()[0] or 0
-    spread = F.lit(deepest) - F.col("depth")
-    entries = shards.select("depth", "prefix", "shard_bytes", F.explode(F.sequence(
-        F.call_function("shiftleft", F.col("prefix"), spread), F.call_function("shiftleft", F.col("prefix") + 1, spread) - 1)).alias("entry"))
-    return hashed.withColumn("_entry", _prefix(F.col("h"), deepest)).join(entries, F.col("_entry") == F.col("entry")).select(
+    shards = stage(directory(hashed.select("h", "n_bytes"), limit), "directory")
+    # a document meets its shard at one of the depths that occur, which are 61 at most
+    depths = [r[0] for r in shards.select("depth").distinct().collect()] or [0]
+    probes = hashed.withColumn("_depth", F.explode(F.array(*[F.lit(d) for d in sorted(depths)])))
+    probes = probes.withColumn("_prefix", _prefix(F.col("h"), F.col("_depth")))
+    return probes.join(shards, (F.col("_depth") == F.col("depth")) & (F.col("_prefix") == F.col("prefix"))).select(
         "doc_id", "n_bytes", F.when(F.col("depth") == 0, F.lit("")).otherwise(F.lpad(F.conv(F.col("prefix").cast("string"), 10, 2), F.col("depth"), F.lit("0"))).alias("shard"),
         F.col("depth").cast("long").alias("depth"), "shard_bytes")

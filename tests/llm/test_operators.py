@@ -313,3 +313,15 @@ def test_long_white_space_is_encoded(spark):
         assert np.array_equal(packing._encode(vocabulary, x), own.encode(x, add_special_tokens=False).ids)
     got = packing.pack(spark.createDataFrame([(1, rows[0])], "doc_id long, text string"), path, 1 << 23).collect()
     assert [r.length for r in got] == [len(own.encode(rows[0], add_special_tokens=False).ids) + 1]
+
+
+def test_sharding_with_one_deep_shard(spark):
+    hashes = sorted((int(hashlib.md5(str(d).encode()).hexdigest()[:15], 16), d) for d in range(200_000))
+    (a, x), (b, y) = min(zip(hashes, hashes[1:]), key=lambda p: p[0][0] ^ p[1][0])
+    depth = sharding.BITS - (a ^ b).bit_length() + 1
+    assert depth > 30
+    docs = spark.createDataFrame([(d, "t" * 200) for d in (x, y)] + [(300_000 + k, "t") for k in range(50)], "doc_id long, text string")
+    got = {r.doc_id: r for r in sharding.shard(docs, 100).collect()}
+    assert len(got) == 52 and got[x].depth == got[y].depth == depth and got[x].shard_bytes == 200
+    assert (got[x].shard, got[y].shard) == tuple(f"{h:060b}"[:depth] for h in (a, b))
+    assert all(f"{int(hashlib.md5(str(d).encode()).hexdigest()[:15], 16):060b}".startswith(r.shard) for d, r in got.items())
