@@ -27,12 +27,12 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of equal texts the largest doc_id stays."""
-    return exact.exact_dedup(docs, carry=tuple(docs.columns)).where("kept").select(docs.columns)
+    """Of equal texts one row of the largest doc_id stays."""
+    return exact.keep_one(docs)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked fingerprints the smallest doc_id stays."""
+    """Of each group of linked fingerprints one row of the smallest doc_id stays."""
     return simhash.keep_one(docs, queries.SHINGLE, queries.BITS)
 
 

@@ -9,7 +9,8 @@ full; long texts never move again.
 
 Defined cases: a null text is the empty text (an empty recipe; all empty texts are equal). A null
 doc_id never wins over a number; a group of null ids only has a null ``keep_id``. Rows repeating
-both doc_id and text count in ``group_size`` and share one decision. No rows give no rows.
+both doc_id and text count in ``group_size`` and share one decision; ``keep_one`` returns one of
+them. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -100,19 +101,30 @@ def chunk_seed(docs: DataFrame, first: int = 0, attempts: int = 8) -> int:
     raise RuntimeError(f"chunk identifiers collided under {attempts} seeds")
 
 
+def _judged(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
+    """The ``carry`` columns of each row with _keep, _size (of its group) and _sha."""
+    python_ready(docs.sparkSession)
+    slim = docs.select("text", *[c for c in carry if c != "text"])
+    seed = chunk_seed(docs)
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields if f.name != "text" or "text" in carry]
+    recipes = slim.mapInArrow(_recipes(seed, carry), ", ".join([*fields, "_recipe binary", "_sha string"]))
+    groups = recipes.groupBy(F.col("_recipe").alias("_same")).agg(F.max("doc_id").alias("_keep"), F.count("*").alias("_size"))
+    return recipes.join(groups, F.col("_recipe") == F.col("_same"))
+
+
 def exact_dedup(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """One row per row of ``docs``: the ``carry`` columns and keep_id, group_size, kept, text_sha256.
 
     Of equal texts the largest doc_id stays. ``carry`` must hold doc_id; a carried column may have
     any name but those four.
     """
-    python_ready(docs.sparkSession)
     carry = tuple(dict.fromkeys(("doc_id", *carry)))
-    slim = docs.select("text", *[c for c in carry if c != "text"])
-    seed = chunk_seed(docs)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields if f.name != "text" or "text" in carry]
-    recipes = slim.mapInArrow(_recipes(seed, carry), ", ".join([*fields, "_recipe binary", "_sha string"]))
-    groups = recipes.groupBy(F.col("_recipe").alias("_same")).agg(F.max("doc_id").alias("_keep"), F.count("*").alias("_size"))
-    out = recipes.join(groups, F.col("_recipe") == F.col("_same"))
+    out = _judged(docs, carry)
     return out.select(*[F.col(c) for c in carry], F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"),
                       F.col("doc_id").eqNullSafe(F.col("_keep")).alias("kept"), F.col("_sha").alias("text_sha256"))
+
+
+def keep_one(docs: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each text: of the largest doc_id, and one of the rows that repeat it or have none."""
+    kept = _judged(docs, tuple(dict.fromkeys(("doc_id", *docs.columns)))).where(F.col("doc_id").eqNullSafe(F.col("_keep")))
+    return kept.dropDuplicates(["_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -11,7 +11,7 @@ and the pair is compared at that anchor, and at no other. About 115 replicas at
 
 Defined cases: a null or empty text has fingerprint zero and is linked like any other. A null
 doc_id joins its component but never names it unless all ids there are null. Repeated rows are
-returned each. No rows give no rows.
+returned each, by ``keep_one`` once. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -157,19 +157,25 @@ def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
     return keyed(docs).mapInArrow(_fingerprints(shingle), "doc_id long, text_key long, fp long")
 
 
-def near_dedup(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """(doc_id, text_key, fp, component_id) of each row; fingerprints within ``threshold`` bits are linked."""
+def _rooted(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """(doc_id, text_key, fp, component_id, root): the root tells components of one name apart."""
     prints = stage(fingerprints(docs, shingle), "fingerprints")
     distinct = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct")
     comp = components(links(distinct, threshold))
     named = distinct.join(comp, F.col("fp") == F.col("node"), "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     names = named.groupBy("root").agg(F.min("least").alias("component_id"))
-    by_fp = named.join(names, "root").select(F.col("fp").alias("_fp"), "component_id")
-    return prints.join(by_fp, F.col("fp") == F.col("_fp")).select("doc_id", "text_key", "fp", "component_id")
+    by_fp = named.join(names, "root").select(F.col("fp").alias("_fp"), "component_id", "root")
+    return prints.join(by_fp, F.col("fp") == F.col("_fp")).select("doc_id", "text_key", "fp", "component_id", "root")
+
+
+def near_dedup(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
+    """(doc_id, text_key, fp, component_id) of each row; fingerprints within ``threshold`` bits are linked."""
+    return _rooted(docs, shingle, threshold).select("doc_id", "text_key", "fp", "component_id")
 
 
 def keep_one(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
-    """The rows of ``docs`` whose doc_id names their component (null ids stay if all ids are null)."""
-    judged = near_dedup(docs, shingle, threshold).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-    judged = judged.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")).distinct()
-    return docs.join(judged, is_document(docs, judged), "left_semi")
+    """One row of ``docs`` for each component: of the doc_id that names it (null if all ids there are null)."""
+    judged = _rooted(docs, shingle, threshold).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    judged = judged.groupBy("root").agg(F.max("doc_id").alias("_id"), F.min("text_key").alias("_key")).select("_id", "_key")
+    rows = docs.join(judged, is_document(docs, judged)).dropDuplicates(["_id", "_key"])
+    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -325,3 +325,19 @@ def test_sharding_with_one_deep_shard(spark):
     assert len(got) == 52 and got[x].depth == got[y].depth == depth and got[x].shard_bytes == 200
     assert (got[x].shard, got[y].shard) == tuple(f"{h:060b}"[:depth] for h in (a, b))
     assert all(f"{int(hashlib.md5(str(d).encode()).hexdigest()[:15], 16):060b}".startswith(r.shard) for d, r in got.items())
+
+
+def test_pipeline_keeps_one_of_repeated_and_null_id_rows(spark):
+    import corpus_pipeline
+    a, b, c, d = ("\n".join(f"Sentence {p}{k} says {p} things about {p}topic {k * 7} in the {p}{k % 5} town of {p}place." for k in range(12)) for p in ("red", "blue", "green", "grey"))
+    near = lambda x: x.replace(" says ", "  says ")  # noqa: E731  (the same words, another text)
+    rows = 2 * [(1, a), (2, a), (3, b), (4, near(b)), (None, c), (None, near(c)), (None, d)]
+    docs = spark.createDataFrame([(i, x, len(x), 0.5) for i, x in rows], "doc_id long, text string, n_chars long, kept double")
+    want = {"quality_rules": 14, "exact_dedup": 6, "near_dedup": 4, "substring_dedup": 4}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = spark.createDataFrame(stage(spark, docs, SF_SMALL).collect(), docs.schema)
+        assert docs.count() == want[name], name
+    got = docs.collect()
+    assert sorted(r.doc_id or 0 for r in got) == [0, 0, 2, 3] and {" ".join(r.text.split()) for r in got} == {" ".join(x.split()) for x in (a, b, c, d)}
+    packed_rows = corpus_pipeline.pack(spark, docs, SF_SMALL).where("start = 0").collect()
+    assert sorted(r.doc_id or 0 for r in packed_rows) == [0, 0, 2, 3]
