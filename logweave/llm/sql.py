@@ -122,3 +122,57 @@ SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_b
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6)::DOUBLE AS score
 FROM t LEFT JOIN doc ON doc.id = t.id
 """
+
+
+def op11(min_docs: int, top: int) -> str:
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    share = lambda c, n: f"(1 + (1000000000::HUGEINT * ({c} + 2)) // ({n} + 2 * v))"
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source, coalesce(text, '') AS x FROM documents),
+grp AS (SELECT DISTINCT lang, source FROM d),
+w AS (SELECT id, lang, source, unnest(regexp_extract_all(translate(x, '{letters}', '{letters.lower()}'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY ALL HAVING count(DISTINCT id) >= {min_docs}),
+lv AS (SELECT g.lang, count(k.term) AS v, coalesce(sum(k.n), 0) AS n FROM (SELECT DISTINCT lang FROM grp) g LEFT JOIN kept k ON k.lang = g.lang GROUP BY g.lang),
+own AS (SELECT w.lang, w.source, w.term, count(*) AS n FROM w JOIN kept k ON k.lang = w.lang AND k.term = w.term GROUP BY ALL),
+gn AS (SELECT g.lang, g.source, coalesce(sum(o.n), 0) AS n FROM grp g LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source GROUP BY ALL),
+p AS (SELECT g.lang, g.source, k.term, coalesce(o.n, 0) AS c, {share("coalesce(o.n, 0)", "g.n")} AS p, {share("k.n", "lv.n")} AS q
+      FROM gn g JOIN lv ON lv.lang = g.lang JOIN kept k ON k.lang = g.lang LEFT JOIN own o ON o.lang = g.lang AND o.source = g.source AND o.term = k.term),
+f AS (SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value FROM p a JOIN p b ON b.lang = a.lang AND b.term = a.term AND b.source <> a.source GROUP BY ALL),
+pairs AS (SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(f.value, 0)::BIGINT AS value
+          FROM grp a JOIN grp b ON b.lang = a.lang AND b.source <> a.source LEFT JOIN f ON f.lang = a.lang AND f.source = a.source AND f.item = b.source),
+terms AS (SELECT lang, source, 'term' AS part, term AS item, ((p - q) * (p - q) // (p + q))::BIGINT AS value FROM p WHERE c > 0 AND p > q),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item) AS rank FROM (FROM pairs UNION ALL FROM terms))
+SELECT lang, source, part, item, value, rank::INT AS rank FROM ranked WHERE part = 'pair' OR rank <= {top}
+"""
+
+
+def op13() -> str:
+    field = lambda c: f"coalesce(strlen({c}::VARCHAR)::VARCHAR || ':' || {c}::VARCHAR, '-')"
+    head = " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars"))
+    # CRC-32 bit by bit, over the digits of a number
+    byte = "list_reduce([crc, 0, 0, 0, 0, 0, 0, 0, 0], lambda a, b: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)"
+    crc = f"xor(list_reduce(list_prepend(4294967295, list_transform(string_split(doc_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT)), lambda c, d: {byte.replace('crc', 'xor(c, d)')}), 4294967295)"
+    def tree(name: str, leaves: str) -> str:
+        return f"""
+{name} AS (SELECT tree, 0 AS lvl, pos, n, h FROM {leaves}
+  UNION ALL SELECT tree, lvl + 1, pos // 3, any_value((n + 2) // 3), sha256(string_agg(h, '' ORDER BY pos)) FROM {name} WHERE n > 1 GROUP BY tree, lvl, pos // 3)"""
+    return f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS id, doc_id, source, CASE WHEN source IS NULL THEN '-' ELSE '=' || source END AS tree,
+    sha256({head} || {field("text")}) AS h,
+    CASE WHEN doc_id IS NOT NULL AND {crc} % 2 = 0 THEN sha256({head} || {field("replace(text, chr(10), '')")}) END AS bad FROM documents),
+leaf AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, h, id) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM d),
+{tree("nodes", "leaf").strip()},
+sub AS (SELECT '' AS tree, tree AS source, row_number() OVER (ORDER BY tree) - 1 AS pos, count(*) OVER () AS n, h FROM nodes WHERE n = 1),
+{tree("forest", "sub").strip()},
+steps AS (SELECT l.id, s.lvl AS stage, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos < l.pos // (3 ** s.lvl)::BIGINT) AS a, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos > l.pos // (3 ** s.lvl)::BIGINT) AS b
+          FROM leaf l JOIN nodes s ON s.tree = l.tree AND s.n > 1 AND s.pos // 3 = l.pos // (3 ** (s.lvl + 1))::BIGINT GROUP BY l.id, s.lvl),
+crown AS (SELECT l.source, s.lvl + 1000 AS stage, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos < l.pos // (3 ** s.lvl)::BIGINT) AS a, string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos > l.pos // (3 ** s.lvl)::BIGINT) AS b
+          FROM sub l JOIN forest s ON s.n > 1 AND s.pos // 3 = l.pos // (3 ** (s.lvl + 1))::BIGINT GROUP BY l.source, s.lvl),
+way AS (SELECT id, row_number() OVER (PARTITION BY id ORDER BY stage) AS k, coalesce(a, '') AS a, coalesce(b, '') AS b
+        FROM (SELECT id, stage, a, b FROM steps UNION ALL SELECT l.id, c.stage, c.a, c.b FROM leaf l JOIN crown c ON c.source = l.tree)),
+proof AS (SELECT id, string_agg(a || b, '' ORDER BY k) AS p, count(*) AS n FROM way GROUP BY id),
+fold AS (SELECT id, 0::BIGINT AS k, coalesce(bad, h) AS h FROM leaf
+  UNION ALL SELECT f.id, w.k, sha256(w.a || f.h || w.b) FROM fold f JOIN way w ON w.id = f.id AND w.k = f.k + 1)
+SELECT l.doc_id, l.h AS leaf, s.h AS subroot, r.h AS root, sha256(coalesce(p.p, '')) AS proof_sha256, f.h AS folded_root, f.h = r.h AS verified
+FROM leaf l JOIN sub s ON s.source = l.tree CROSS JOIN (SELECT h FROM forest WHERE n = 1) r LEFT JOIN proof p ON p.id = l.id JOIN fold f ON f.id = l.id AND f.k = coalesce(p.n, 0)
+"""
