@@ -1,4 +1,4 @@
-"""Two-step sequence patterns over an event-time ordered stream (SEQ1-SEQ11).
+"""Sequence patterns over an event-time ordered stream (SEQ1-SEQ11, UDF3).
 
 A pattern is data: two steps with a boolean ``Column`` each, a contiguity and a
 time bound. ``match_sequence`` turns it into Spark jobs:
@@ -11,25 +11,47 @@ time bound. ``match_sequence`` turns it into Spark jobs:
 :mod:`logweave.operators.scan`; ``any`` is a band equi-join on
 ``(key, time bucket)``. Rows are ordered by ``(event_time, seq)``; ``seq``
 breaks ties in arrival order. The bound is strict: ``t2 - t1 < within``.
+
+A ``ChainPattern`` has any number of steps, each ``strict`` or ``next`` after the step before; its bound lies
+between the first and the last row. Without comparisons it runs as one automaton scan
+(:mod:`logweave.operators.chain`). A step may also compare its row with the first row (SEQ7); then each
+step is an ordered search (:mod:`logweave.operators.search`).
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field, replace
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from logweave.functions.body import correlation_id
+from logweave.operators.chain import chain_matches
 from logweave.operators.scan import next_match
+from logweave.operators.search import ORDERED, OTHER, SAME, search
 from logweave.schema import LOG_FIELDS, SEVERITY_CODES
+from logweave.session import staged_table
 
 PAYLOAD_FIELDS = ("seq",) + LOG_FIELDS + ("level", "event_time")
 
 
+@dataclass(frozen=True)
+class Compare:
+    """A condition across rows (SEQ7): ``column`` of the step's row stands in ``op`` to ``first`` of the first row.
+
+    ``op``: ``<``, ``<=``, ``>``, ``>=`` (numbers, dates, times), ``=`` or ``<>`` (compared as text). A null fails.
+    """
+    op: str
+    column: Column
+    first: Column
+
+
 @dataclass(frozen=True)
 class Step:
+    """A named condition; in a ``ChainPattern`` also how the row follows the step before."""
     name: str
     where: Column
+    contiguity: str = "next"            # strict | next
+    compare: Compare | None = None
 
 
 @dataclass(frozen=True)
@@ -49,6 +71,28 @@ class SequencePattern:
             raise ValueError("the time bound must be positive")
 
 
+@dataclass(frozen=True)
+class ChainPattern:
+    """Pattern contract for any number of steps (SEQ2, UDF3)."""
+    steps: tuple[Step, ...]
+    within_ms: int = 10 * 60 * 1000
+    name: str = "ErrorAlert"
+    key: tuple[tuple[str, Column], ...] = field(default_factory=tuple)
+
+    def __post_init__(self):
+        if not 2 <= len(self.steps) <= 62:
+            raise ValueError("a chain has 2 to 62 steps")
+        for step in self.steps[1:]:
+            if step.contiguity not in ("strict", "next"):
+                raise ValueError(f"a step of a chain is 'strict' or 'next', not {step.contiguity!r}")
+            if step.compare is not None and step.compare.op not in (*ORDERED, SAME, OTHER):
+                raise ValueError(f"no comparison {step.compare.op!r}")
+        if self.steps[0].compare is not None:
+            raise ValueError("the first step has no row to compare with")
+        if self.within_ms <= 0:
+            raise ValueError("the time bound must be positive")
+
+
 MINUTES = 60 * 1000
 
 
@@ -75,9 +119,90 @@ def _payload(df: DataFrame) -> Column:
     return F.struct(*[F.col(c) for c in PAYLOAD_FIELDS if c in df.columns])
 
 
-def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions: int | None = None,
+def consecutive_chain(length: int = 3, within_ms: int = 120 * MINUTES) -> ChainPattern:
+    """``length`` ERROR rows of a service in a row."""
+    err = F.col("severity") == SEVERITY_CODES["ERROR"]
+    return ChainPattern(tuple(Step(f"Event {k + 1}", err, "strict") for k in range(length)), within_ms, key=(("service", F.col("service")),))
+
+
+def escalation(within_ms: int = 120 * MINUTES) -> ChainPattern:
+    """A row of a host, then the earliest one that is more severe (a lower code) than that."""
+    code = F.col("severity").cast("int")
+    return ChainPattern((Step("First Event", F.lit(True)), Step("Second Event", F.lit(True), compare=Compare("<", code, code))), within_ms,
+                        key=(("hostname", F.col("hostname")),))
+
+
+def spreading_error(within_ms: int = 120 * MINUTES) -> ChainPattern:
+    """An ERROR of a service, then its earliest ERROR on another host."""
+    err, host = F.col("severity") == SEVERITY_CODES["ERROR"], F.col("hostname")
+    return ChainPattern((Step("First Event", err), Step("Second Event", err, compare=Compare("<>", host, host))), within_ms, key=(("service", F.col("service")),))
+
+
+def _compared(op: str, value: Column, df: DataFrame) -> Column:
+    """A value as the search takes it: long or double to be ordered, text to be told apart."""
+    if op not in ORDERED:
+        return value.cast("string")
+    kind = df.select(value.alias("v")).schema["v"].dataType
+    if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
+        return F.unix_micros(value.cast("timestamp"))
+    if isinstance(kind, T.IntegralType):
+        return value.cast("long")
+    if isinstance(kind, (T.FractionalType,)):
+        return value.cast("double")
+    raise ValueError(f"values of type {kind.simpleString()} are not compared by size")
+
+
+def chain_rows(entries: DataFrame, pattern: ChainPattern, keep: tuple[str, ...] = ()) -> tuple[DataFrame, list[str], list[bool], T.DataType]:
+    """Rows with their key, place, ``flags`` (a bit for each step satisfied), record and compared values
+    (``_own<k>``, ``_first<k>``), then the key columns, which steps are strict, and the record's type."""
+    steps = pattern.steps
+    keys = [f"_key{i}" for i in range(len(pattern.key))]
+    compares = {k: s.compare for k, s in enumerate(steps) if s.compare is not None}
+    flags = F.lit(0).cast("long")
+    for k, s in enumerate(steps):
+        flags = flags + F.when(s.where, F.lit(1 << k)).otherwise(F.lit(0)).cast("long")
+    base = entries.select("*", *[c.alias(ik) for ik, (_, c) in zip(keys, pattern.key)])
+    base = base.select(*keys, *keep, F.unix_millis("event_time").alias("t"), "seq", flags.alias("flags"), _payload(entries).alias("rec"),
+                       *[_compared(c.op, c.column, entries).alias(f"_own{k}") for k, c in compares.items()],
+                       *[_compared(c.op, c.first, entries).alias(f"_first{k}") for k, c in compares.items()])
+    return base, keys, [False, *[s.contiguity == "strict" for s in steps[1:]]], base.schema["rec"].dataType
+
+
+def match_chain(entries: DataFrame, pattern: ChainPattern, num_partitions: int | None = None) -> DataFrame:
+    """``(key..., events array<struct>, alert_name)``: the rows of each match, step by step."""
+    steps, names = pattern.steps, [k for k, _ in pattern.key]
+    compares = {k: s.compare for k, s in enumerate(steps) if s.compare is not None}
+    base, keys, strict, rec_type = chain_rows(entries, pattern)
+    for k in keys:
+        base = base.where(F.col(k).isNotNull())
+    if not any(strict):
+        base = base.where("flags <> 0")
+    base = base.withColumn("payload", F.when(F.col("flags") != 0, F.to_json("rec"))).drop("rec")
+    if not compares:
+        found = chain_matches(base, keys, strict, pattern.within_ms, num_partitions)
+        out = found.select(*keys, F.col("pays").alias("pays"))
+    else:
+        base = staged_table(base, "candidates")  # read by every step
+        kind = T.StructType([T.StructField("pays", T.ArrayType(T.StringType())), T.StructField("v", T.StructType([base.schema[f"_first{k}"] for k in compares]))])
+        carry = F.to_json(F.struct(F.array("payload").alias("pays"), F.struct(*[F.col(f"_first{k}") for k in compares]).alias("v")))
+        found = base.where(F.col("flags").bitwiseAND(1) != 0).select(*keys, "t", "seq", F.col("t").alias("t1"), carry.alias("carry"))
+        for k in range(1, len(steps)):
+            held, own = F.from_json("carry", kind), compares.get(k)
+            none = F.lit(None).cast("long")
+            marks = found.withColumn("v", held[f"v"][f"_first{k}"] if own else none)
+            rows = base.select(*keys, "t", "seq", (F.col("flags").bitwiseAND(1 << k) != 0).alias("ok"), (F.col(f"_own{k}") if own else none).alias("v"), "payload")
+            hits = search(marks, rows, keys, strict[k], own.op if own else None, pattern.within_ms, num_partitions)
+            found = hits.select(*keys, F.col("t2").alias("t"), F.col("seq2").alias("seq"), "t1",
+                                F.to_json(F.struct(F.concat(held["pays"], F.array("p2")).alias("pays"), held["v"].alias("v"))).alias("carry"))
+        out = found.select(*keys, F.from_json("carry", kind)["pays"].alias("pays"))
+    return out.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.transform("pays", lambda p: F.from_json(p, rec_type)).alias("events"),
+                      F.lit(pattern.name).alias("alert_name"))
+
+
+def match_sequence(entries: DataFrame, pattern: SequencePattern | ChainPattern, num_partitions: int | None = None,
                    partition_by: list[str] | None = None) -> DataFrame:
-    """Alerts as ``(key..., first struct, second struct, alert_name)`` (SEQ1, SEQ11).
+    """Alerts as ``(key..., first struct, second struct, alert_name)`` (SEQ1, SEQ11); of a chain as
+    ``(key..., events array<struct>, alert_name)``.
 
     ``entries`` are accepted rows with ``seq`` and ``event_time``. The key is
     the pattern's, or ``partition_by`` (column names) when given; an empty key
@@ -85,6 +210,8 @@ def match_sequence(entries: DataFrame, pattern: SequencePattern, num_partitions:
     """
     if partition_by is not None:
         pattern = replace(pattern, key=tuple((c, F.col(c)) for c in partition_by))
+    if isinstance(pattern, ChainPattern):
+        return match_chain(entries, pattern, num_partitions)
     names = [k for k, _ in pattern.key]
     # keys are evaluated into internal columns, so the steps and the records see the rows as
     # they are even when a key expression reuses a column's name; they are renamed at the end

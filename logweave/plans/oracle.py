@@ -138,6 +138,32 @@ WHERE s.t - x.t < {within_ms}"""
     return _sql(pre + body)
 
 
+def _chain(steps: list[str], key: str | None, within_ms: int, scope: str | None) -> str:
+    """Brute force for chains: step conditions over ``x`` (the row), ``f`` (the first row) and ``p`` (the row before).
+
+    ``p.nxt`` is the number of the key's next row; a condition on it makes the step strict.
+    """
+    names = ("first", "second", "third")[:len(steps)]
+    k = key or "0"
+    body = f"""
+, base AS (SELECT *, {k} AS k, row_number() OVER (PARTITION BY {k} ORDER BY t, seq) AS num FROM acc WHERE {k} IS NOT NULL)
+, m1 AS (SELECT x.k, x.seq AS s1, x.num AS n1, x.t AS t1 FROM base x WHERE {steps[0]})"""
+    for i, step in enumerate(steps[1:], 2):
+        strict = step.startswith("STRICT ")
+        cond = step.removeprefix("STRICT ")
+        follows = f"x.num = m.n{i - 1} + 1" if strict else f"x.num > m.n{i - 1}"
+        had = ", ".join(f"m.s{j}, m.n{j}" for j in range(1, i))
+        body += f"""
+, m{i} AS (SELECT m.k, m.t1, {had}, arg_min(x.seq, x.num) AS s{i}, min(x.num) AS n{i}
+  FROM m{i - 1} m JOIN base f ON f.seq = m.s1 JOIN base x ON x.k = m.k AND {follows} AND x.t - m.t1 < {within_ms} AND ({cond}) GROUP BY ALL)"""
+    n = len(steps)
+    out = ([f"m.k AS {scope}"] if scope else []) + [f"m.s{i} AS {name}_seq" for i, name in enumerate(names, 1)]
+    out += [f"{_fmt(f'e{i}.p_time')} AS {name}_time" for i, name in enumerate(names, 1)]
+    joins = " ".join(f"JOIN base e{i} ON e{i}.seq = m.s{i}" for i in range(1, n + 1))
+    return _sql(body + f"""
+SELECT {', '.join(out)} FROM m{n} m {joins}""")
+
+
 ERR_FIRST = "p_sev = '3'"
 CORR_FIRST = "p_sev = '3' AND service = 'Nova' AND p_body LIKE '%CEP_ID%'"
 CORR_SECOND = "p_sev = '6' AND service = 'Neutron' AND p_body LIKE '%CEP_ID%'"
@@ -333,6 +359,14 @@ SELECT id, loglevel, az, region, service, count(*) AS n_rows FROM live GROUP BY
     q["alerts_correlated_any_2h"] = _alerts(CORR_FIRST, CORR_SECOND, CORR_KEY, "any", TWO_H, "correlation_id")
     q["alerts_correlated_strict"] = _alerts(CORR_FIRST, CORR_SECOND, CORR_KEY, "strict", TEN_MIN,
                                             "correlation_id")
+    level = lambda name: f"x.level = '{name}'"
+    q["alerts_chain_strict"] = _chain([level("ERROR"), "STRICT " + level("ERROR"), "STRICT " + level("ERROR")], "service", TWO_H, "service")
+    q["alerts_chain_next"] = _chain([level("WARNING"), level("ERROR"), level("INFO")], "hostname", TEN_MIN, "hostname")
+    q["alerts_chain_mixed"] = _chain([level("ERROR"), level("WARNING"), "STRICT " + level("INFO")], None, 2 * TEN_MIN, None)
+    q["alerts_escalation"] = _chain(["true", "x.p_sev::INT < f.p_sev::INT"], "hostname", TWO_H, "hostname")
+    q["alerts_spreading"] = _chain([level("ERROR"), level("ERROR") + " AND x.hostname <> f.hostname"], "service", TWO_H, "service")
+    q["alerts_spreading_recovered"] = _chain([level("ERROR"), level("ERROR") + " AND x.hostname <> f.hostname",
+                                              level("INFO") + " AND x.hostname = f.hostname"], "service", TWO_H, "service")
     q["alert_text"] = _sql(f"""
 , base AS (SELECT *, {CORR_KEY} AS k, ({CORR_FIRST}) AS is_f, ({CORR_SECOND}) AS is_s FROM acc WHERE {CORR_KEY} IS NOT NULL)
 , firstnext AS (

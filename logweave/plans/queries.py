@@ -21,7 +21,10 @@ from logweave.functions.render import alert_text as alert_text_col
 from logweave.operators.parse import (
     accepted_entries, parse_entries, quarantine, quarantine_counts, valid_entries, validate,
 )
-from logweave.operators.patterns import MINUTES, consecutive_errors, correlated_create_vm, match_sequence
+from logweave.operators.patterns import (
+    MINUTES, ChainPattern, Compare, Step, consecutive_chain, consecutive_errors, correlated_create_vm, escalation,
+    match_sequence, spreading_error,
+)
 from logweave.operators.retention import fan_out, latest_by_key, live, ttl_left
 from logweave.operators.views import (
     NODE_KEYS, RAW_KEYS, SERVICE_KEYS, counts, node_rows, raw_rows, recent, service_rows, stack_rows,
@@ -303,6 +306,50 @@ def q_alert_text(spark, sf_dir):
                     alert_text_col("first", "second").alias("alert_text"))
 
 
+# patterns of more steps, and conditions across rows
+
+def _chain(spark, sf_dir, pattern, key):
+    a = match_sequence(_accepted(spark, sf_dir), pattern)
+    names = ("first", "second", "third")[:len(pattern.steps)]
+    return a.select(*[key] * bool(key), *[F.col("events")[k]["seq"].alias(f"{n}_seq") for k, n in enumerate(names)],
+                    *[fmt(F.col("events")[k]["event_time"]).alias(f"{n}_time") for k, n in enumerate(names)])
+
+
+def _level(name):
+    return F.col("level") == name
+
+
+def q_alerts_chain_strict(spark, sf_dir):
+    return _chain(spark, sf_dir, consecutive_chain(3), "service")
+
+
+def q_alerts_chain_next(spark, sf_dir):
+    steps = (Step("warned", _level("WARNING")), Step("failed", _level("ERROR")), Step("recovered", _level("INFO")))
+    return _chain(spark, sf_dir, ChainPattern(steps, 10 * MINUTES, key=(("hostname", F.col("hostname")),)), "hostname")
+
+
+def q_alerts_chain_mixed(spark, sf_dir):
+    # an ERROR, later a WARNING, and right after that an INFO, over all rows in one order
+    steps = (Step("failed", _level("ERROR")), Step("warned", _level("WARNING")), Step("recovered", _level("INFO"), "strict"))
+    return _chain(spark, sf_dir, ChainPattern(steps, 20 * MINUTES), None)
+
+
+def q_alerts_escalation(spark, sf_dir):
+    return _chain(spark, sf_dir, escalation(), "hostname")
+
+
+def q_alerts_spreading(spark, sf_dir):
+    return _chain(spark, sf_dir, spreading_error(), "service")
+
+
+def q_alerts_spreading_recovered(spark, sf_dir):
+    # an ERROR, the service's earliest ERROR on another host, then the earliest INFO on the first host
+    first, second = spreading_error().steps
+    host = F.col("hostname")
+    steps = (first, second, Step("recovered", _level("INFO"), compare=Compare("=", host, host)))
+    return _chain(spark, sf_dir, ChainPattern(steps, 120 * MINUTES, key=(("service", F.col("service")),)), "service")
+
+
 QUERIES: dict[str, Query] = {
     name[2:]: fn for name, fn in sorted(globals().items()) if name.startswith("q_") and callable(fn)
 }

@@ -99,3 +99,19 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         path = tempfile.mkdtemp(prefix="logweave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(path)
     return sc.getCheckpointDir() or path
+
+
+def staged_table(df, name: str, partition_by: list[str] | None = None):
+    """Write ``df`` to a new folder below the shared checkpoint folder and read it back.
+
+    Later steps start from the files: a lost executor rereads them, and no reader runs ``df`` again.
+    The folder goes when the application ends.
+    """
+    import uuid
+
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/staged/{name}-{uuid.uuid4().hex}"
+    df.write.partitionBy(*(partition_by or [])).parquet(path)
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return spark.read.schema(df.schema).parquet(path)

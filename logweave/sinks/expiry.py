@@ -3,7 +3,8 @@
 Reads never see expired rows (``live``); this job reclaims their space. A
 table written by micro-batches is partitioned by horizon ``id`` and
 ``batch_id``, and every row of such a partition was written at the same instant, so
-whole partitions expire together. The job finds partitions whose latest
+whole partitions expire together. A table with a commit log holds each file's
+latest ``expires_at`` there, and no data file is opened. For a plain table the job finds partitions whose latest
 ``expires_at`` has passed (an aggregate with one row per partition, combined
 map-side) and deletes those directories; nothing else is rewritten.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import SparkSession, functions as F
 
 from logweave.functions.timeparse import as_of_column
+from logweave.sinks.commitlog import TableLog, expire
 
 
 def expired_partitions(spark: SparkSession, path: str, read_at, partition_cols: list[str]):
@@ -25,11 +27,14 @@ def expired_partitions(spark: SparkSession, path: str, read_at, partition_cols:
 
 
 def drop_expired(spark: SparkSession, path: str, read_at, partition_cols: list[str] | None = None) -> int:
-    """Delete expired partition directories under ``path``; returns how many were removed.
+    """Delete expired partition directories under ``path`` (with a commit log: take expired files off); how many.
 
     The list of expired partitions is streamed to the driver one Spark partition at
     a time (``toLocalIterator``), so its length does not bound driver memory.
     """
+    if TableLog(spark, path).exists():
+        at = spark.range(1).select(F.unix_micros(as_of_column(read_at))).first()[0]
+        return expire(spark, path, at)
     cols = partition_cols or ["id", "batch_id"]
     jvm = spark.sparkContext._jvm
     conf = spark.sparkContext._jsc.hadoopConfiguration()

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from logweave.functions.render import alert_text
+from logweave.sinks.commitlog import TableLog
 
 TABLE_PARTITIONS = {"node_rows": ["id"], "service_rows": ["id"], "stack_rows": ["id"], "raw_rows": ["date"]}
 
@@ -26,7 +27,9 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None,
 
 def write_micro_batch(df: DataFrame, path: str, batch_id: int, partition_by: list[str] | None = None,
                       fmt: str = "parquet") -> None:
-    """Idempotent write of one micro-batch: a replayed batch id replaces its own folders.
+    """Idempotent write of one micro-batch into a plain table of one writer: a replayed batch id replaces its own folders.
+
+    Batch ids of two checkpoints would clash here; the streaming job uses ``commitlog.write_batch``.
 
     The lookup key is the outer partition and the batch the inner one (``id=24h/batch_id=7``), so a
     read of one key lists that key's folders only (``read_partition``). What an earlier try of the
@@ -45,7 +48,10 @@ def write_micro_batch(df: DataFrame, path: str, batch_id: int, partition_by: lis
 
 
 def read_partition(spark: SparkSession, path: str, key: str, value: str, fmt: str = "parquet") -> DataFrame:
-    """Stored rows of one lookup key (RD1): only the folders of that key are listed and read."""
+    """Stored rows of one lookup key (RD1): only the folders (with a commit log: files) of that key are listed and read."""
+    log = TableLog(spark, path)
+    if log.exists():
+        return log.read({key: value})
     base = path.rstrip("/")
     return spark.read.option("basePath", base).format(fmt).load(f"{base}/{key}={value}")
 
@@ -124,6 +130,12 @@ def alerts_to_text(alerts: DataFrame, with_key: bool = False) -> DataFrame:
     return alerts.select(key, value)
 
 
+def alerts_to_outbox(alerts: DataFrame) -> DataFrame:
+    """Alerts -> ``first_seq``, ``second_seq``, ``alert_name``, ``value``: the pair itself is the key."""
+    return alerts.select(F.col("first.seq").alias("first_seq"), F.col("second.seq").alias("second_seq"), "alert_name",
+                         alert_text("first", "second").alias("value"))
+
+
 def write_alerts_kafka(alerts: DataFrame, bootstrap_servers: str, topic: str, options: dict | None = None):
     """Alert text to a Kafka topic (SNK5), keyed for de-duplication; a streaming frame returns the ``DataStreamWriter``."""
     out = alerts_to_text(alerts, with_key=True)
@@ -142,9 +154,9 @@ def write_alerts_text(alerts: DataFrame, path: str, mode: str = "overwrite") ->
     alerts_to_text(alerts).write.mode(mode).text(path)
 
 
-def print_rows(df: DataFrame, n: int = 20, truncate: bool = False):
-    """Print rows (SNK9): ``show`` in batch, the console sink in streaming."""
+def print_rows(df: DataFrame, n: int, truncate: bool = False):
+    """Print ``n`` rows (SNK9): ``show`` in batch, the console sink in streaming (``n`` of each micro-batch)."""
     if df.isStreaming:
-        return df.writeStream.format("console").option("truncate", str(truncate).lower())
+        return df.writeStream.format("console").option("numRows", n).option("truncate", str(truncate).lower())
     df.show(n, truncate=truncate)
     return None

@@ -14,10 +14,16 @@
 * ``any``: a stream-stream inner join on the key with an event-time range,
   so Spark can drop join state once the watermark passes the bound.
 
+* A pattern without a key has the time bucket alone as its state's key: a backlog spreads over its buckets,
+  and what crosses an edge is handed over as above.
+* chains (``ChainPattern``): the same buckets; state holds the rows of the last bound before the watermark and those
+  newer than it. A release matches both together and emits the matches whose last row is new. Comparisons
+  with the first row are searched as in batch.
+
 Rows older than the watermark are dropped before the state function (Spark's
 ``numRowsDroppedByWatermark`` metric counts them, a row sent to two buckets twice), and the state function drops
 a row at or before the last position its key has released, so every key is
-matched strictly in order. The key / candidate filters reference the event-time
+matched strictly in order. What it drops is counted, each row once, in the observed metric ``late_rows``. The key / candidate filters reference the event-time
 column, which keeps them above ``withWatermark``: every accepted row advances
 the watermark. Append sinks upstream of the matcher still receive every row.
 """
@@ -29,7 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from logweave.operators.patterns import PAYLOAD_FIELDS, SequencePattern
+from logweave.operators.patterns import PAYLOAD_FIELDS, ChainPattern, SequencePattern, chain_rows
 from logweave.operators.scan import match_block
 
 _STATE = T.StructType([
@@ -48,6 +54,7 @@ _STATE = T.StructType([
     T.StructField("done_t", T.LongType()),
     T.StructField("done_seq", T.LongType()),
 ])
+_LATE = T.StructField("late", T.BooleanType())
 
 # length of a time bucket of the keyed state, in time bounds of the pattern: one row in so many goes to two buckets
 BUCKET_BOUNDS = 8
@@ -72,6 +79,16 @@ def _cat(*parts: dict) -> dict:
     return {c: np.concatenate([p[c] for p in parts]) for c in _COLS}
 
 
+def _late(keys: list[str], key: tuple, rows: dict, which: np.ndarray):
+    """Rows that came too late, as output rows of their own kind."""
+    n = int(which.sum())
+    if n:
+        out = {k: [v] * n for k, v in zip(keys, key)}
+        none = pd.array([None] * n, dtype="Int64")
+        yield pd.DataFrame({**out, "seq1": rows["seq"][which], "t1": rows["t"][which], "p1": rows["pay"][which],
+                            "seq2": none, "t2": none, "p2": [None] * n, "late": True})
+
+
 def _matcher(keys: list[str], mode: str, within_ms: int):
     """State function: hold rows until the watermark passes them, then match them in order
     with the same vectorised core as the batch scan (``match_block``)."""
@@ -88,7 +105,9 @@ def _matcher(keys: list[str], mode: str, within_ms: int):
             new = _arrays((pdf["t"], pdf["seq"], pdf["is_first"], pdf["is_second"], pdf["payload"]))
             if done is not None:
                 # at or before the last released row: late for this key
-                new = _take(new, (new["t"] > done[0]) | ((new["t"] == done[0]) & (new["seq"] > done[1])))
+                fresh = (new["t"] > done[0]) | ((new["t"] == done[0]) & (new["seq"] > done[1]))
+                yield from _late(keys, key, new, ~fresh & pdf["own"].to_numpy(dtype=bool))
+                new = _take(new, fresh)
             pend = _cat(pend, new)
         wm = state.getCurrentWatermarkMs()
         pend = _take(pend, np.lexsort((pend["seq"], pend["t"])))
@@ -102,7 +121,7 @@ def _matcher(keys: list[str], mode: str, within_ms: int):
             if len(i):
                 out = {k: [v] * len(i) for k, v in zip(keys, key)}
                 out.update(seq1=block["seq"][i], t1=block["t"][i], p1=block["pay"][i],
-                           seq2=block["seq"][j], t2=block["t"][j], p2=block["pay"][j])
+                           seq2=block["seq"][j], t2=block["t"][j], p2=block["pay"][j], late=False)
             carry = _take(block, keep)
             done = (int(block["t"][-1]), int(block["seq"][-1]))
         # carried rows a bound behind the watermark can no longer match anything
@@ -155,24 +174,115 @@ def _keep_after_watermark(cond) -> "F.Column":
     return F.when(cond, F.col("event_time")).isNotNull()
 
 
-def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s: int = 0,
+def _watermarked(base: DataFrame, delay_s: int, future_cap_s: int | None) -> DataFrame:
+    if future_cap_s is not None:
+        cap = F.current_timestamp() + F.make_interval(secs=F.lit(int(future_cap_s)))
+        base = base.observe("future_rows", F.count(F.when(F.col("event_time") > cap, 1)).alias("dropped"))
+        base = base.where(F.col("event_time") <= cap)
+    return base.withWatermark("event_time", f"{int(delay_s)} seconds")
+
+
+def _bucketed(slim: DataFrame, keys: list[str], within_ms: int, counts_before) -> DataFrame:
+    """Rows with the ``bucket`` they go to, their ``own`` or the one before, whose matches they may end."""
+    length = F.lit(BUCKET_BOUNDS * within_ms).cast("long")
+    shifted = F.col("t") + (F.pmod(F.xxhash64(*keys), length) if keys else F.lit(0).cast("long"))
+    offset = F.pmod(shifted, length)
+    own = F.call_function("div", shifted - offset, length)
+    before = F.when((offset < F.lit(within_ms)) & counts_before, F.struct((own - 1).alias("bucket"), F.lit(False).alias("own")))
+    places = F.filter(F.array(F.struct(own.alias("bucket"), F.lit(True).alias("own")), before), lambda x: x.isNotNull())
+    return slim.select("*", F.inline(places))
+
+
+_CHAIN_STATE = T.StructType([T.StructField("t", T.ArrayType(T.LongType())), T.StructField("seq", T.ArrayType(T.LongType())),
+                             T.StructField("flags", T.ArrayType(T.LongType())), T.StructField("pay", T.ArrayType(T.StringType())),
+                             T.StructField("done_t", T.LongType()), T.StructField("done_seq", T.LongType())])
+
+
+def _chain_matcher(keys: list[str], strict: list[bool], ops: list[str | None], within_ms: int):
+    """State function of a chain. ``pay`` is the row's record and compared values; state: the rows of the last bound and newer ones."""
+    from logweave.operators.chain import matches_in_order
+
+    def fn(key, batches, state):
+        rows, done = {"t": np.zeros(0, np.int64), "seq": np.zeros(0, np.int64), "flags": np.zeros(0, np.int64), "pay": np.zeros(0, object)}, None
+        if state.exists:
+            held = state.get
+            rows = {c: np.asarray(v if v is not None else [], dtype=rows[c].dtype) for c, v in zip(rows, held[:4])}
+            done = (held[4], held[5]) if held[4] is not None else None
+        for pdf in batches:
+            new = {c: pdf[c].to_numpy(dtype=rows[c].dtype) for c in rows}
+            if done is not None:
+                fresh = (new["t"] > done[0]) | ((new["t"] == done[0]) & (new["seq"] > done[1]))
+                n = int((~fresh & pdf["own"].to_numpy(dtype=bool)).sum())
+                if n:
+                    yield pd.DataFrame({**{k: [v] * n for k, v in zip(keys, key)}, "pays": [None] * n, "late": True})
+                new = {c: x[fresh] for c, x in new.items()}
+            rows = {c: np.concatenate([rows[c], new[c]]) for c in rows}
+        wm = state.getCurrentWatermarkMs()
+        order = np.lexsort((rows["seq"], rows["t"]))
+        rows = {c: x[order] for c, x in rows.items()}
+        ready = rows["t"] <= wm
+        if ready.any():
+            t, seq, flags, pay = (rows[c][ready] for c in ("t", "seq", "flags", "pay"))
+            taken = matches_in_order(t, flags, pay, strict, ops, within_ms)
+            if done is not None and len(taken):
+                last = taken[:, -1]
+                taken = taken[(t[last] > done[0]) | ((t[last] == done[0]) & (seq[last] > done[1]))]
+            if len(taken):
+                yield pd.DataFrame({**{k: [v] * len(taken) for k, v in zip(keys, key)}, "pays": [list(x) for x in pay[taken]], "late": False})
+            if done is None or (int(t[-1]), int(seq[-1])) > done:
+                done = int(t[-1]), int(seq[-1])
+        # a match that a later row ends begins less than a bound before it
+        rows = {c: x[rows["t"] > wm - within_ms] for c, x in rows.items()}
+        pending = rows["t"][rows["t"] > wm]
+        wake = int(pending.min()) if len(pending) else int(rows["t"].max()) + within_ms if len(rows["t"]) else None
+        if wake is None:
+            if state.exists:
+                state.remove()
+        else:
+            state.update((rows["t"].tolist(), rows["seq"].tolist(), rows["flags"].tolist(), rows["pay"].tolist(), *(done or (None, None))))
+            state.setTimeoutTimestamp(max(wake, wm + 1))
+    return fn
+
+
+def match_chain_stream(entries: DataFrame, pattern: ChainPattern, delay_s: int = 0, future_cap_s: int | None = None) -> DataFrame:
+    """Streaming matches ``(key..., events, alert_name)`` of a chain; see :func:`match_sequence_stream`."""
+    base, keys, strict, rec_type = chain_rows(entries, pattern, keep=("event_time",))
+    ops = [s.compare.op if s.compare else None for s in pattern.steps]
+    base = _watermarked(base, delay_s, future_cap_s)
+    wanted = F.lit(True)
+    for k in keys:
+        wanted = wanted & F.col(k).isNotNull()
+    if not any(strict):
+        wanted = wanted & (F.col("flags") != 0)
+    base = base.where(_keep_after_watermark(wanted))
+    values = [c for c in base.columns if c.startswith(("_own", "_first"))]
+    slim = base.select(*keys, "event_time", "t", "seq", "flags", F.to_json(F.struct(F.when(F.col("flags") != 0, F.to_json("rec")).alias("rec"), *values)).alias("pay"))
+    slim = _bucketed(slim, keys, pattern.within_ms, F.lit(True))
+    # a row of the next bucket starts nothing here
+    slim = slim.withColumn("flags", F.when(F.col("own"), F.col("flags")).otherwise(F.col("flags").bitwiseAND(~1)))
+    out = T.StructType([slim.schema[k] for k in keys] + [T.StructField("pays", T.ArrayType(T.StringType())), _LATE])
+    found = slim.groupBy(*keys, "bucket").applyInPandasWithState(_chain_matcher(keys, strict, ops, pattern.within_ms), out, _CHAIN_STATE, "append",
+                                                                 GroupStateTimeout.EventTimeTimeout)
+    found = found.observe("late_rows", F.count(F.when(F.col("late"), 1)).alias("dropped")).where(~F.col("late"))
+    names = [k for k, _ in pattern.key]
+    return found.select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
+                        F.transform("pays", lambda p: F.from_json(F.get_json_object(p, "$.rec"), rec_type)).alias("events"), F.lit(pattern.name).alias("alert_name"))
+
+
+def match_sequence_stream(entries: DataFrame, pattern: SequencePattern | ChainPattern, delay_s: int = 0,
                           future_cap_s: int | None = None) -> DataFrame:
-    """Streaming alerts ``(key..., first, second, alert_name)`` with a bounded out-of-orderness watermark.
+    """Streaming alerts ``(key..., first, second, alert_name)`` (a chain: ``events``) with a bounded out-of-orderness watermark.
 
     ``future_cap_s``: drop rows dated more than this many seconds after the
     micro-batch's processing time before they reach the watermark, so one
     future-dated row cannot make every later row "late". Their number is the observed metric
     ``future_rows``. Spark keeps one processing time for a micro-batch and its replays.
     """
-    if pattern.contiguity != "any" and not pattern.key:
-        raise ValueError("streaming strict / next patterns need a key (an un-keyed stream would be one task)")
+    if isinstance(pattern, ChainPattern):
+        return match_chain_stream(entries, pattern, delay_s, future_cap_s)
     base, keys, rec_type = _prepare(entries, pattern)
     names = [k for k, _ in pattern.key]
-    if future_cap_s is not None:
-        cap = F.current_timestamp() + F.make_interval(secs=F.lit(int(future_cap_s)))
-        base = base.observe("future_rows", F.count(F.when(F.col("event_time") > cap, 1)).alias("dropped"))
-        base = base.where(F.col("event_time") <= cap)
-    base = base.withWatermark("event_time", f"{int(delay_s)} seconds")
+    base = _watermarked(base, delay_s, future_cap_s)
     has_key = F.lit(True)
     for k in keys:
         has_key = has_key & F.col(k).isNotNull()
@@ -193,8 +303,8 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
             F.col("t2_time") < F.col("t1_time") + F.expr(f"INTERVAL {w} MILLISECONDS"),
             (F.col("t2") > F.col("t1")) | ((F.col("t2") == F.col("t1")) & (F.col("seq2") > F.col("seq1"))),
         ]
-        cond_all = cond[0]
-        for c in cond[1:]:
+        cond_all = F.lit(True)
+        for c in cond:
             cond_all = cond_all & c
         out = f.join(s, cond_all, "inner").select(*[F.col(f"f_{k}").alias(n) for k, n in zip(keys, names)],
                                                   "first", "second")
@@ -203,24 +313,17 @@ def match_sequence_stream(entries: DataFrame, pattern: SequencePattern, delay_s:
         raise ValueError(f"unknown contiguity {pattern.contiguity!r}")
     slim = base.select(*keys, "event_time", "t", "seq", "is_first", "is_second",
                        F.when(F.col("is_first") | F.col("is_second"), F.to_json("rec")).alias("payload"))
-    length = F.lit(BUCKET_BOUNDS * w).cast("long")
-    shifted = F.col("t") + F.pmod(F.xxhash64(*keys), length)
-    offset = F.pmod(shifted, length)
-    own = F.call_function("div", shifted - offset, length)
     # strict: any row near the start may break a run of the bucket before; next: only second rows count
-    near = offset < F.lit(w)
-    if pattern.contiguity == "next":
-        near = near & F.col("is_second")
-    before = F.when(near, F.struct((own - 1).alias("bucket"), F.lit(False).alias("own")))
-    places = F.filter(F.array(F.struct(own.alias("bucket"), F.lit(True).alias("own")), before), lambda x: x.isNotNull())
-    slim = slim.select("*", F.inline(places)).withColumn("is_first", F.col("is_first") & F.col("own"))
-    slim = slim.withColumn("payload", F.when(F.col("is_first") | F.col("is_second"), F.col("payload"))).drop("own")
+    slim = _bucketed(slim, keys, w, F.lit(True) if pattern.contiguity == "strict" else F.col("is_second"))
+    slim = slim.withColumn("is_first", F.col("is_first") & F.col("own"))
+    slim = slim.withColumn("payload", F.when(F.col("is_first") | F.col("is_second"), F.col("payload")))
     key_fields = [slim.schema[k] for k in keys]
     out_schema = T.StructType(key_fields + [
         T.StructField("seq1", T.LongType()), T.StructField("t1", T.LongType()), T.StructField("p1", T.StringType()),
-        T.StructField("seq2", T.LongType()), T.StructField("t2", T.LongType()), T.StructField("p2", T.StringType()),
+        T.StructField("seq2", T.LongType()), T.StructField("t2", T.LongType()), T.StructField("p2", T.StringType()), _LATE,
     ])
     pairs = slim.groupBy(*keys, "bucket").applyInPandasWithState(_matcher(keys, pattern.contiguity, w), out_schema, _STATE, "append",
                                            GroupStateTimeout.EventTimeTimeout)
+    pairs = pairs.observe("late_rows", F.count(F.when(F.col("late"), 1)).alias("dropped")).where(~F.col("late"))
     return pairs.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], F.from_json("p1", rec_type).alias("first"),
                         F.from_json("p2", rec_type).alias("second"), F.lit(pattern.name).alias("alert_name"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from logweave.operators.parse import accepted_entries
 from logweave.operators.patterns import MINUTES, consecutive_errors, correlated_create_vm, match_sequence
+from logweave.sinks.commitlog import read_table
 from logweave.streaming.jobs import alerts_stream, run_with_restarts, start_tables_stream
 from logweave.sources.fixtures import read_event_lines
 from tests.conftest import SF_SMALL
@@ -89,17 +90,17 @@ def test_tables_stream_writes_every_row(spark):
     from logweave.operators.retention import latest_by_key
     from logweave.operators.views import RAW_KEYS, raw_rows
     exp = latest_by_key(raw_rows(accepted_entries(lines)), RAW_KEYS, ["seq"])
-    got = spark.read.parquet(f"{d}/out/raw_latest")
+    got = read_table(spark, f"{d}/out/raw_latest")
     assert sorted(r["seq"] for r in got.collect()) == sorted(r["seq"] for r in exp.collect())
     observed = [p["observedMetrics"]["ingest"] for p in q.recentProgress if p.get("observedMetrics")]
     assert sum(m["lines"] for m in observed) == len(rows)
     assert sum(m["accepted"] for m in observed) == n_acc
     for name in ("node_rows", "service_rows", "stack_rows", "raw_rows"):
         # stack rows: these events are older than every horizon, so none is due
-        stored = spark.read.parquet(f"{d}/out/{name}").count() if name != "stack_rows" else 0
+        stored = read_table(spark, f"{d}/out/{name}").count() if name != "stack_rows" else 0
         assert sum(m[name] for m in observed) == stored == {"stack_rows": 0, "raw_rows": n_acc}.get(name, 6 * n_acc)
-    assert spark.read.parquet(f"{d}/out/quarantine").count() == len(rows) - n_acc
-    assert spark.read.parquet(f"{d}/out/node_rows").select("batch_id").distinct().count() == 4
+    assert read_table(spark, f"{d}/out/quarantine").count() == len(rows) - n_acc
+    assert read_table(spark, f"{d}/out/node_rows").select("batch_id").distinct().count() == 4
 
 
 def test_stack_counter_counts_the_rows_that_are_stored(spark):
@@ -115,7 +116,7 @@ def test_stack_counter_counts_the_rows_that_are_stored(spark):
     q = start_tables_stream(stream, f"{d}/out", checkpoint=f"{d}/ck", available_now=True)
     q.awaitTermination()
     due = sum(p["observedMetrics"]["ingest"]["stack_rows"] for p in q.recentProgress if p.get("observedMetrics"))
-    assert due == spark.read.parquet(f"{d}/out/stack_rows").count() == 6 + 5 + 2 + 1
+    assert due == read_table(spark, f"{d}/out/stack_rows").count() == 6 + 5 + 2 + 1
 
 
 def test_file_stream_keeps_line_order(spark):
@@ -195,7 +196,7 @@ def test_latest_row_across_kafka_partitions(spark):
                           schema).write.parquet(f"{d}/src/c0")
     lines = kafka_lines(spark.readStream.schema(schema).parquet(f"{d}/src/*"))
     start_tables_stream(lines, f"{d}/out", checkpoint=f"{d}/ck", available_now=True, keep_latest=True).awaitTermination()
-    assert [r["payload"] for r in spark.read.parquet(f"{d}/out/raw_latest").collect()] == ["[late]"]
+    assert [r["payload"] for r in read_table(spark, f"{d}/out/raw_latest").collect()] == ["[late]"]
 
 
 def test_run_with_restarts():
@@ -239,8 +240,8 @@ def test_command_line_job_on_files(spark):
                    if p.get("observedMetrics", {}).get("alerts"))
     assert n_alerts == spark.read.text(f"{d}/alerts", wholetext=True).rdd.map(
         lambda r: r[0].count("ErrorAlert: ")).sum()
-    assert spark.read.parquet(f"{d}/tables/raw_rows").count() == n_acc
-    assert spark.read.parquet(f"{d}/tables/node_rows").count() == 6 * n_acc
+    assert read_table(spark, f"{d}/tables/raw_rows").count() == n_acc
+    assert read_table(spark, f"{d}/tables/node_rows").count() == 6 * n_acc
 
 
 def test_future_cap_keeps_watermark_honest(spark):
@@ -286,14 +287,3 @@ def test_disorder_within_bound_equals_batch(spark):
     got, _, _ = run_files(spark, chunks, pattern, delay_s=10 * 86400)
     exp = sorted((r["first"]["seq"], r["second"]["seq"]) for r in match_sequence(acc, pattern).collect())
     assert got == exp and len(exp) > 0
-
-
-def test_unkeyed_stream_pattern_is_refused(spark):
-    import pytest
-    from dataclasses import replace
-    from logweave.streaming.matcher import match_sequence_stream
-    d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
-    spark.createDataFrame([jline(1, "00:01:00")], "seq long, value string").write.parquet(f"{d}/src/c0")
-    stream = spark.readStream.schema("seq long, value string").parquet(f"{d}/src/*")
-    with pytest.raises(ValueError):
-        match_sequence_stream(accepted_entries(stream), replace(consecutive_errors(), key=()))
