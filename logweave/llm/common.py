@@ -40,6 +40,31 @@ def is_document(docs: DataFrame, judged: DataFrame):
             & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == judged["_key"]))
 
 
+def whole_row(docs: DataFrame):
+    """All columns as one struct column ``row``: beside it no name can clash, whatever ``docs`` calls its columns."""
+    return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, changed: dict | None = None) -> DataFrame:
+    """The columns of ``docs`` from ``rows(row, ...)``, some with another value; types as they were."""
+    changed = changed or {}
+    return rows.select(*[(changed[f.name] if f.name in changed else F.col("row").getField(f.name)).cast(f.dataType).alias(f.name) for f in docs.schema.fields])
+
+
+def one_of_each(docs: DataFrame, kept: DataFrame, key) -> DataFrame:
+    """One row of ``docs`` for each of ``kept(_id, _key)``, ``key`` being a column of its text; a null id equals a null id.
+
+    Rows that repeat both are merged in each task before they move, so a third of all rows in one such group costs
+    a row a task; whole rows move once.
+    """
+    text = F.coalesce(docs["text"], F.lit(""))
+    where = lambda i: (i.isNull().alias("no_id"), F.coalesce(i, F.lit(0)).cast("long").alias("id"))
+    rows = docs.select(whole_row(docs), *where(docs["doc_id"].cast("long")), key(text).alias("key"))
+    rows = rows.groupBy("no_id", "id", "key").agg(F.first("row").alias("row"))
+    kept = kept.select(*where(F.col("_id")), F.col("_key").alias("key"))
+    return unpacked(rows.join(kept, ["no_id", "id", "key"], "left_semi"), docs)
+
+
 def python_ready(spark: SparkSession) -> None:
     """Executors' Python workers import this package."""
     ship_package(spark)

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import python_ready, slices, stage, text_buffer
 
 SCALE, PRIOR = 10**9, 2
-SLICE_BYTES, CELLS = 8 << 20, 1_000_000
+SLICE_BYTES, CELLS = 8 << 20, 100_000
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 #: Letters of ASCII and every byte of a character beyond it.

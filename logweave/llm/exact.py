@@ -5,7 +5,8 @@ cut alike whatever precedes them. A chunk's identifier is its seeded 128-bit XXH
 verified: each distinct (identifier, chunk bytes) pair crosses the network once, and if any
 identifier stands for two byte strings the corpus is keyed anew with the next seed. A document is
 then the ordered list of its verified identifiers, and lists (one 64th of the text) are compared in
-full; long texts never move again.
+full. Only recipes meet; recipes that more than a thousandth of the rows have are sent to the rows, so
+no group of copies gathers in one task. ``keep_one`` then looks the kept rows up by (doc_id, SHA-256).
 
 Defined cases: a null text is the empty text (an empty recipe; all empty texts are equal). A null
 doc_id never wins over a number; a group of null ids only has a null ``keep_id``. Rows repeating
@@ -25,9 +26,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import python_ready, slices, text_buffer
+from .common import one_of_each, python_ready, slices, stage, text_buffer
 
 MIN_CHUNK, MAX_CHUNK, CUT_BITS = 256, 8192, 10
+#: Text that a task hashes at once; its distinct chunks leave together.
+SLICE_BYTES = 2 << 20
+#: A recipe is hot if one row in so many has it: at most so many recipes are.
+HOT, HOT_BYTES = 1000, 4096
 _GEAR = np.random.default_rng(20240229).integers(0, 2**32, 256, dtype=np.uint32)
 
 
@@ -50,45 +55,46 @@ def _chunk_ends(cuts: list[int], lo: int, hi: int) -> list[int]:
     return ends
 
 
-def _documents(batch: pa.RecordBatch) -> Iterator[tuple[bytes, list[tuple[int, int]]]]:
-    """Text and chunk bounds of each row. The first cut is 256 bytes in, past the hash's reach."""
+def _slices(batch: pa.RecordBatch) -> Iterator[list[tuple[bytes, list[tuple[int, int]]]]]:
+    """Text and chunk bounds of the rows of each slice. The first cut is 256 bytes in, past the hash's reach."""
     buf, off = text_buffer(batch.column(batch.schema.get_field_index("text")))
-    for lo, hi in slices(off, 16 << 20):
+    for lo, hi in slices(off, SLICE_BYTES):
         part = buf[off[lo]:off[hi]]
         cuts, raw, o = _cuts(part).tolist(), part.tobytes(), (off[lo:hi + 1] - off[lo]).tolist()
+        out = []
         for a, b in zip(o, o[1:]):
             ends = _chunk_ends(cuts, a, b)
-            yield raw[a:b], [(s - a, e - a) for s, e in zip([a, *ends], ends)]
+            out.append((raw[a:b], [(s - a, e - a) for s, e in zip([a, *ends], ends)]))
+        yield out
 
 
 def _chunks(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[bytes, bytes] = {}
-            for text, bounds in _documents(batch):
-                out = []
-                for s, e in bounds:
-                    chunk = text[s:e]
-                    key = xxhash.xxh3_128_digest(chunk, seed)
-                    if seen.setdefault(key, chunk) != chunk:
-                        out.append((key, chunk))  # two texts under one key: both must be seen
-                if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*out)], ["key", "chunk"])
-            if seen:
-                yield pa.RecordBatch.from_arrays([pa.array(seen.keys(), pa.binary()), pa.array(seen.values(), pa.binary())], ["key", "chunk"])
+            for rows in _slices(batch):
+                seen: dict[bytes, bytes] = {}
+                clash = []
+                for text, bounds in rows:
+                    for s, e in bounds:
+                        chunk = text[s:e]
+                        key = xxhash.xxh3_128_digest(chunk, seed)
+                        if seen.setdefault(key, chunk) != chunk:
+                            clash.append((key, chunk))  # two texts under one key: both must be seen
+                pairs = [*seen.items(), *clash]
+                if pairs:
+                    yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in zip(*pairs)], ["key", "chunk"])
     return run
 
 
-def _recipes(seed: int, carry: tuple[str, ...]):
+def _recipes(seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             recipe, sha = [], []
-            for text, bounds in _documents(batch):
-                recipe.append(b"".join([xxhash.xxh3_128_digest(text[s:e], seed) for s, e in bounds]))
-                sha.append(hashlib.sha256(text).hexdigest())
-            keep = [i for i, n in enumerate(batch.schema.names) if n != "text" or "text" in carry]
-            names = [batch.schema.names[i] for i in keep] + ["_recipe", "_sha"]
-            yield pa.RecordBatch.from_arrays([batch.column(i) for i in keep] + [pa.array(recipe, pa.binary()), pa.array(sha)], names)
+            for rows in _slices(batch):
+                for text, bounds in rows:
+                    recipe.append(b"".join([xxhash.xxh3_128_digest(text[s:e], seed) for s, e in bounds]))
+                    sha.append(hashlib.sha256(text).hexdigest())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(recipe, pa.binary()), pa.array(sha)], ["doc_id", "recipe", "sha"])
     return run
 
 
@@ -101,30 +107,27 @@ def chunk_seed(docs: DataFrame, first: int = 0, attempts: int = 8) -> int:
     raise RuntimeError(f"chunk identifiers collided under {attempts} seeds")
 
 
-def _judged(docs: DataFrame, carry: tuple[str, ...]) -> DataFrame:
-    """The ``carry`` columns of each row with _keep, _size (of its group) and _sha."""
+def _recipes_of(docs: DataFrame) -> DataFrame:
+    """(doc_id, recipe, sha) of each row, staged; texts stay behind."""
     python_ready(docs.sparkSession)
-    slim = docs.select("text", *[c for c in carry if c != "text"])
-    seed = chunk_seed(docs)
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in slim.schema.fields if f.name != "text" or "text" in carry]
-    recipes = slim.mapInArrow(_recipes(seed, carry), ", ".join([*fields, "_recipe binary", "_sha string"]))
-    groups = recipes.groupBy(F.col("_recipe").alias("_same")).agg(F.max("doc_id").alias("_keep"), F.count("*").alias("_size"))
-    return recipes.join(groups, F.col("_recipe") == F.col("_same"))
+    own = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"].alias("text"))
+    return stage(own.mapInArrow(_recipes(chunk_seed(own)), "doc_id long, recipe binary, sha string"), "recipes")
 
 
-def exact_dedup(docs: DataFrame, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per row of ``docs``: the ``carry`` columns and keep_id, group_size, kept, text_sha256.
-
-    Of equal texts the largest doc_id stays. ``carry`` must hold doc_id; a carried column may have
-    any name but those four.
-    """
-    carry = tuple(dict.fromkeys(("doc_id", *carry)))
-    out = _judged(docs, carry)
-    return out.select(*[F.col(c) for c in carry], F.col("_keep").alias("keep_id"), F.col("_size").alias("group_size"),
-                      F.col("doc_id").eqNullSafe(F.col("_keep")).alias("kept"), F.col("_sha").alias("text_sha256"))
+def exact_dedup(docs: DataFrame) -> DataFrame:
+    """(doc_id, keep_id, group_size, kept, text_sha256) of each row: of equal texts the largest doc_id stays."""
+    rows = _recipes_of(docs)
+    groups = stage(rows.groupBy("recipe").agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size")), "groups")
+    groups = groups.withColumnRenamed("recipe", "same")
+    # the few recipes that many rows have are sent to the rows: at most HOT of them, of HOT_BYTES each
+    hot = F.broadcast(groups.where((F.col("group_size") * HOT > rows.count()) & (F.octet_length("same") <= HOT_BYTES)))
+    out = rows.join(hot, F.col("recipe") == F.col("same"), "left")
+    found = out.where("same is not null").drop("same").unionByName(
+        out.where("same is null").drop("same", "keep_id", "group_size").join(groups, F.col("recipe") == F.col("same")).drop("same"))
+    return found.select("doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.col("sha").alias("text_sha256"))
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` for each text: of the largest doc_id, and one of the rows that repeat it or have none."""
-    kept = _judged(docs, tuple(dict.fromkeys(("doc_id", *docs.columns)))).where(F.col("doc_id").eqNullSafe(F.col("_keep")))
-    return kept.dropDuplicates(["_sha"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    kept = _recipes_of(docs).groupBy("recipe").agg(F.max("doc_id").alias("_id"), F.first("sha").alias("_key")).select("_id", "_key")
+    return one_of_each(docs, kept, lambda text: F.sha2(text, 256))

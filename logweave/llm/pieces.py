@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from .common import python_ready, slices, text_buffer
 
 MARK, LINE = "▁", "\n"
-LONG, TOGETHER, SEGMENTS_KEPT, SLICE_BYTES = 96, 400_000, 300_000, 4 << 20
+LONG, TOGETHER, SEGMENTS_KEPT, SLICE_BYTES = 96, 400_000, 700_000, 4 << 20
 #: Symbols that are no piece: this and the code point.
 UNKNOWN = 1 << 21
 NONE = 1 << 30
@@ -68,6 +68,9 @@ class Pieces:
         if any(MARK in p.lstrip(MARK) for p in pieces):
             raise ValueError("a piece holds white space behind text")
         self.names = np.array([p.piece for p in spec.pieces], object)
+        #: Text of a piece; a byte piece of a character of several bytes is none by itself.
+        self.plain = np.array([chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else p.piece.replace(MARK, " ") for i, p in enumerate(spec.pieces)], object)
+        self.part_of_char = np.array([self.byte_of.get(i, 0) >= 128 for i in range(len(spec.pieces))])
         self.begin, self.end = (np.array([i], "<u4").tobytes() for i in (self.library.bos_id(), self.library.eos_id()))
         # a line feed that no longer piece holds is a border too
         self.lines = not any(LINE in p for p in pieces if len(p) > 1)
@@ -184,29 +187,41 @@ class Pieces:
                 put(before[a], a)
         return np.array([s for s in sym if s >= 0], np.int64)
 
-    def _ids(self, symbols: np.ndarray) -> np.ndarray:
-        if len(symbols) and symbols.max() >= UNKNOWN:
-            return np.concatenate([[s] if s < UNKNOWN else self.byte[list(chr(s - UNKNOWN).encode())] for s in symbols.tolist()]).astype(np.int64)
-        return symbols
-
-    def symbols(self, segments: list[str]) -> list[np.ndarray]:
-        out: list[np.ndarray] = [np.zeros(0, np.int64)] * len(segments)
-        batch: list[int] = []
-        total = 0
-        for k in range(len(segments) + 1):
-            if k == len(segments) or total > TOGETHER:
-                who, sym = self._together("".join([segments[i] for i in batch]), np.array([len(segments[i]) for i in batch], np.int64))
-                edge = np.searchsorted(who, np.arange(len(batch) + 1))
-                for j, i in enumerate(batch):
-                    out[i] = sym[edge[j]:edge[j + 1]]
-                batch, total = [], 0
-            if k < len(segments):
-                if len(segments[k]) > LONG:
-                    out[k] = self._alone(segments[k])
-                else:
-                    batch.append(k)
-                    total += len(segments[k])
-        return out
+    def symbols(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(symbols of all segments, one after the other; where each segment begins, and the end)."""
+        size = np.array([len(s) for s in segments], np.int64)
+        short = np.flatnonzero(size <= LONG)
+        order, parts, counts = [], [], []
+        for some in np.array_split(short, max(1, int(size[short].sum()) // TOGETHER)):
+            who, sym = self._together("".join([segments[i] for i in some]), size[some])
+            order.append(some)
+            parts.append(sym)
+            counts.append(np.bincount(who, minlength=len(some)))
+        for i in np.flatnonzero(size > LONG):
+            parts.append(self._alone(segments[i]))
+            order.append(np.array([i]))
+            counts.append(np.array([len(parts[-1])]))
+        order, flat, count = (np.concatenate(x) for x in (order, parts, counts))
+        # back to the order of the segments
+        back = np.argsort(order)
+        begin = (np.cumsum(count) - count)[back]
+        count = count[back]
+        edge = np.concatenate([[0], np.cumsum(count)])
+        return flat[np.repeat(begin - edge[:-1], count) + np.arange(edge[-1])], edge
+
+    def ids(self, symbols: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids in place of symbols: a symbol without a piece becomes its UTF-8 bytes' pieces."""
+        code = np.where(symbols >= UNKNOWN, symbols - UNKNOWN, 0)
+        n = 1 + (code >= 0x80) + (code >= 0x800) + (code >= 0x10000)
+        at = np.concatenate([[0], np.cumsum(n)])
+        out = np.repeat(symbols, n)
+        for k in np.unique(n[symbols >= UNKNOWN]).tolist():
+            own = np.flatnonzero((symbols >= UNKNOWN) & (n == k))
+            first = {1: 0, 2: 0xC0, 3: 0xE0, 4: 0xF0}[k]
+            for j in range(k):
+                rest = code[own] >> 6 * (k - 1 - j)
+                out[at[own] + j] = self.byte[rest | first if j == 0 else rest & 0x3F | 0x80]
+        return out, at[edge]
 
     # -- texts ------------------------------------------------------------------------------------
 
@@ -225,36 +240,52 @@ class Pieces:
                 out.append(self.names[i].replace(MARK, " "))
         return "".join(out)
 
+    def texts(self, ids: np.ndarray, edge: np.ndarray) -> list[str]:
+        """Decoded text of each segment's ids."""
+        parts, at = self.plain[ids].tolist(), edge.tolist()
+        out = ["".join(parts[a:b]) for a, b in zip(at, at[1:])]
+        for k in np.unique(np.searchsorted(edge, np.flatnonzero(self.part_of_char[ids]), side="right") - 1).tolist():
+            out[k] = self.decoded(ids[at[k]:at[k + 1]].tolist())
+        return out
+
     def _learn(self, keys: Iterable[str]) -> dict[str, tuple[bytes, str]]:
         """Ids and decoded text of segments not met before."""
         new = list(keys)
+        if not new:
+            return {}
         segments = [self.segment(k) for k in new]
-        ids = [self._ids(s).tolist() for s in self.symbols(segments)]
-        text = [self.decoded(i) for i in ids]
-        if self.check and new:
-            # the library puts a mark before each text: that of the segment, or one that is taken off
-            lone = [s[0] != MARK for s in segments]
-            theirs = self.library.encode([(s if x else s[1:]).replace(MARK, " ") for s, x in zip(segments, lone)], num_threads=1)
-            back = self.library.decode(theirs, num_threads=1)
-            extra = self.library.piece_to_id(MARK)
-            for s, x, own, other, t, u in zip(segments, lone, ids, theirs, text, back):
-                if ([extra] + own if x else own) != other and s != MARK or (t if x else t[1:]) != u:
-                    raise ValueError(f"not as the library has it: {s!r}")
-        own = {k: (np.array(i, "<u4").tobytes(), t) for k, i, t in zip(new, ids, text)}
+        ids, edge = self.ids(*self.symbols(segments))
+        text, at = self.texts(ids, edge), edge.tolist()
+        if self.check:
+            self._compare(segments, ids.tolist(), at, text)
+        raw = ids.astype("<u4").tobytes()
+        own = {k: (raw[4 * a:4 * b], t) for k, a, b, t in zip(new, at, at[1:], text)}
         for k in new[:max(0, SEGMENTS_KEPT - len(self.known))]:
             self.known[k] = own[k]
         return own
 
+    def _compare(self, segments: list[str], ids: list[int], at: list[int], text: list[str]) -> None:
+        """All ids and all text are the library's, or this fails."""
+        # the library puts a mark before each text: that of the segment, or one that is taken off
+        lone = [s[0] != MARK for s in segments]
+        theirs = self.library.encode([(s if x else s[1:]).replace(MARK, " ") for s, x in zip(segments, lone)], num_threads=1)
+        extra = [self.library.piece_to_id(MARK)]
+        for s, x, a, b, other in zip(segments, lone, at, at[1:], theirs):
+            if (extra + ids[a:b] if x else ids[a:b]) != other and s != MARK:  # the library has no ids for an empty text
+                raise ValueError(f"not as the library has it: {s!r}")
+        if self.library.decode(ids) != "".join(text).removeprefix(" "):
+            raise ValueError("decoded text is not as the library has it")
+
     def encode(self, texts: list[str]) -> list[tuple[bytes, str]]:
         """Little-endian ids, begin and end included, and the decoded text."""
         cut = [self.keys(t) for t in texts]
         seen: set[str] = set()
         seen.update(*cut)
         new = self._learn(seen - self.known.keys())
-        known = self.known if all(k in self.known for k in new) else self.known | new
+        known, rest = self.known, {k: v for k, v in new.items() if k not in self.known}
         out = []
         for keys in cut:
-            got = [known[k] for k in keys]
+            got = [known[k] if k in known else rest[k] for k in keys] if rest else [known[k] for k in keys]
             out.append((b"".join([self.begin, *[g[0] for g in got], self.end]), "".join([g[1] for g in got])[1:]))
         return out
 

@@ -2,8 +2,9 @@
 
 Each line with a word is judged by itself:
 * punctuation: three words or more with an exclamation or question mark for every other word;
-* navigation: a separator or symbol for every fourth word or more, or a menu entry: at most 40
-  bytes that end no sentence, beside another such line;
+* navigation: a separator or symbol for every fourth word or more, or a menu entry: a line of at most 40
+  bytes and four words, not indented, that ends no sentence, clause or bracket, in a run of three such lines
+  or more (so headings between paragraphs, verse and most code stay);
 * boilerplate: a notice phrase (rights, cookies, subscriptions, ...) in a line of at most 250 bytes.
 Failing lines are removed; the document is rejected if they held over half of its words. The base
 rules (too few words, too many words in repeated 8-word windows) reject before that.
@@ -15,8 +16,7 @@ a lambda variable, so it is computed once and never copied into a row. One patte
 with rare white space or marks; only those pay for counting them.
 
 Defined cases: a null or empty text has no words, fails the base rule and is not kept. Lines split
-at line feeds only. Repeated rows are judged each. Extra columns are carried under any name but
-``quality``. No rows give no rows.
+at line feeds only; lines without a word stand between no others. Repeated rows are judged each. No rows give no rows.
 """
 
 from __future__ import annotations
@@ -26,10 +26,14 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import unpacked, whole_row
+
 MIN_WORDS, MAX_REPEAT_PERCENT, WINDOW = 20, 30, 8
 SYMBOLS, BARS, CRIES, WHITE = "#*$%&|<>", "#*$%&|<>=~^{}", "!?", "\t\n\x0b\x0c\r"
 RARE = r"[\x09\x0B-\x0D#*$%&|<>=~^{}!?]"
-MENU_BYTES, NOTICE_BYTES = 40, 250
+MENU_BYTES, MENU_WORDS, NOTICE_BYTES = 40, 4, 250
+#: A menu entry is not indented and ends no sentence, part of one, string or bracket.
+MENU_NOT = r"^[\x20\x09]|[.!?…:;,\"”»)\]}][\x20\x09-\x0D]*\z"
 #: Notice phrases of web pages (fixed values).
 BOILERPLATE = ("all rights reserved", "cookie policy", "accept cookies", "privacy policy", "terms of use", "terms of service",
                "click here", "sign up", "subscribe to", "enable javascript", "lorem ipsum", "skip to content", "powered by")
@@ -58,7 +62,7 @@ def _pieces(text: Column, rare: Column) -> Column:
 
 
 def _line(line: Column, rare: Column) -> Column:
-    """A line, whether a rule fails it (``menu``: if there is another) and, if so, its words."""
+    """A line, whether a rule fails it, and whether it may be a menu entry."""
     n = F.size(F.array_remove(F.split(F.translate(line, WHITE, " " * len(WHITE)), " "), ""))
     low = F.lower(line)
     notice = F.lit(False)
@@ -66,7 +70,7 @@ def _line(line: Column, rare: Column) -> Column:
         notice = notice | low.contains(phrase)
     marks = rare & let(n, lambda n: (n >= 3) & (2 * _count_of(line, CRIES) >= n) | (4 * _count_of(line, BARS) >= n))
     bad = marks | F.when(F.octet_length(line) <= NOTICE_BYTES, notice).otherwise(False)
-    menu = F.when(F.octet_length(line) <= MENU_BYTES, ~line.rlike(r"[.!?…:;\"”»)][\x20\x09-\x0D]*\z")).otherwise(False)
+    menu = F.when(F.octet_length(line) <= MENU_BYTES, ~line.rlike(MENU_NOT) & (n <= MENU_WORDS)).otherwise(False)
     return F.struct(line.alias("line"), bad.alias("bad"), menu.alias("menu"))
 
 
@@ -95,10 +99,10 @@ def _repeat_words(w: Column) -> Column:
     return F.when(F.size(w) <= WINDOW, empty).otherwise(let(F.transform(w, lambda x: F.xxhash64(x)), lambda h: let(windows(h), by_hash)))
 
 
-def judge(docs: DataFrame) -> DataFrame:
-    """``docs`` with a struct column ``quality``: n_words, word_chars, n_symbols, n_dup_lines,
-    n_repeat_words, n_lost_words, base_failed, kept and clean (the text without failing lines)."""
-    text = F.coalesce(F.col("text"), F.lit(""))
+def quality_of(text: Column) -> Column:
+    """A struct for a text: n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lost_words,
+    base_failed, kept and clean (the text without failing lines)."""
+    text = F.coalesce(text, F.lit(""))
 
     def of_text(rare: Column) -> Column:
         lines = F.filter(F.split(text, "\n"), lambda x: F.octet_length(F.ltrim(x, F.lit(" " + WHITE))) > 0)
@@ -107,11 +111,13 @@ def judge(docs: DataFrame) -> DataFrame:
             judged, lambda rows: let(_failed(rows), lambda gone: result(rare, F.size(pieces), F.size(w).cast("long"), repeat, rows, gone))))))
 
     def _failed(rows: Column) -> Column:
-        """The failing lines, with their words."""
-        menus = F.size(F.filter(rows, lambda x: x["menu"]))
-        return let(menus, lambda m: F.transform(
-            F.filter(rows, lambda x: x["bad"] | x["menu"] & (m > 1)),
-            lambda x: F.struct(x["line"].alias("line"), F.size(F.array_remove(F.split(F.translate(x["line"], WHITE, " " * len(WHITE)), " "), "")).alias("n"))))
+        """Numbers of the failing lines, with their words."""
+        is_menu = lambda k: F.coalesce(F.get(rows, k)["menu"], F.lit(False))
+        # a run of three entries: the line is its first, middle or last
+        in_run = lambda k: (is_menu(k - 2) & is_menu(k - 1)) | (is_menu(k - 1) & is_menu(k + 1)) | (is_menu(k + 1) & is_menu(k + 2))
+        marked = F.transform(rows, lambda x, k: F.struct(k.alias("k"), (x["bad"] | x["menu"] & in_run(k)).alias("fails"),
+                                                         F.size(F.array_remove(F.split(F.translate(x["line"], WHITE, " " * len(WHITE)), " "), "")).alias("n")))
+        return F.filter(marked, lambda x: x["fails"])
 
     def result(rare: Column, pieces: Column, n: Column, repeat: Column, rows: Column, gone: Column) -> Column:
         own = F.transform(rows, lambda x: x["line"])
@@ -124,6 +130,22 @@ def judge(docs: DataFrame) -> DataFrame:
             (F.size(rows) - F.size(F.array_distinct(own))).cast("long").alias("n_dup_lines"),
             repeat.alias("n_repeat_words"), lost.alias("n_lost_words"), failed.alias("base_failed"),
             (~failed & (100 * lost <= LOST_PERCENT * n)).alias("kept"),
-            F.when(F.size(gone) == 0, text).otherwise(F.array_join(F.filter(own, lambda x: ~F.array_contains(F.transform(gone, lambda g: g["line"]), x)), "\n")).alias("clean")))
+            F.when(F.size(gone) == 0, text).otherwise(F.array_join(F.filter(own, lambda x, k: ~F.array_contains(F.transform(gone, lambda g: g["k"]), k)), "\n")).alias("clean")))
+
+    return let(text.rlike(RARE), of_text)
 
-    return docs.withColumn("quality", let(text.rlike(RARE), of_text))
+
+def judge(docs: DataFrame) -> DataFrame:
+    """(doc_id, quality) of each row."""
+    return docs.select(docs["doc_id"].cast("long").alias("doc_id"), quality_of(docs["text"]).alias("quality"))
+
+
+def kept_and_cleaned(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that are kept, without failing lines; ``n_chars`` follows. Other columns are carried,
+    whatever their names."""
+    rows = docs.select(whole_row(docs), quality_of(docs["text"]).alias("quality")).where("quality.kept")
+    clean, text = F.col("quality")["clean"], F.col("row").getField("text")
+    new = {"text": clean}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(clean == text, F.col("row").getField("n_chars")).otherwise(F.length(clean))
+    return unpacked(rows, docs, new)

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import is_document, keyed, python_ready, stage, text_buffer
+from .common import keyed, one_of_each, python_ready, stage, text_buffer
 from .components import components
 
 SEED = 42
@@ -177,5 +177,4 @@ def keep_one(docs: DataFrame, shingle: int, threshold: int) -> DataFrame:
     """One row of ``docs`` for each component: of the doc_id that names it (null if all ids there are null)."""
     judged = _rooted(docs, shingle, threshold).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
     judged = judged.groupBy("root").agg(F.max("doc_id").alias("_id"), F.min("text_key").alias("_key")).select("_id", "_key")
-    rows = docs.join(judged, is_document(docs, judged)).dropDuplicates(["_id", "_key"])
-    return rows.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return one_of_each(docs, judged, F.xxhash64)

@@ -52,8 +52,8 @@ l{k} AS (SELECT gram, (a + {urls.PRIOR} * la) / (ca + {urls.PRIOR}) AS la, (b +
     return f"""
 WITH u AS (SELECT page_id, coalesce(url, '') AS url, CASE WHEN position('://' IN coalesce(url, '')) > 0 THEN substr(url, position('://' IN url) + 3) ELSE '' END AS rest FROM pages),
 h AS (SELECT page_id, url, rest, regexp_extract(rest, '^[^/?#]*') AS raw FROM u),
-p AS (SELECT page_id, url, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
-r AS (SELECT *, {case(0)} AS rule, {case(1)} AS action, CASE WHEN host = '' AND path = '' THEN url ELSE host || path END AS s FROM p),
+p AS (SELECT page_id, url, raw, rest, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(substr(rest, length(raw) + 1), '^[^?#]*') AS path FROM h),
+r AS (SELECT *, {case(0)} AS rule, {case(1)} AS action, CASE WHEN url LIKE '%://%' THEN host || right(rest, length(rest) - length(raw)) ELSE url END AS s FROM p),
 strings AS (SELECT s, count(*) FILTER (action = 'allow') AS a, count(*) FILTER (action = 'block') AS b, substr(md5(s), 1, 1) IN ('0', '1', '2') AS held FROM r GROUP BY s),
 grams AS (SELECT s, a, b, held, substr(repeat(chr(2), {n - 1}) || s || chr(3), i::BIGINT, {n}) AS gram FROM (SELECT *, unnest(range(1, length(s) + 2)) AS i FROM strings)),
 counts AS (SELECT gram, sum(CASE WHEN held THEN 0 ELSE a END) AS a, sum(CASE WHEN held THEN 0 ELSE b END) AS b FROM grams GROUP BY gram),
@@ -80,14 +80,16 @@ w AS (SELECT *, list_filter(regexp_split_to_array(x, '{space}+'), lambda v: v <>
 win AS (SELECT id, i, array_to_string(w[i + 1:i + {q.WINDOW}], ' ') AS g FROM (SELECT id, w, unnest(range(0, len(w) - {q.WINDOW - 1})) AS i FROM w)),
 twin AS (SELECT id, i FROM (SELECT id, i, count(*) OVER (PARTITION BY id, g) AS n FROM win) WHERE n > 1),
 rep AS (SELECT id, sum(step)::BIGINT AS n FROM (SELECT id, least({q.WINDOW}, coalesce(lead(i) OVER (PARTITION BY id ORDER BY i) - i, {q.WINDOW})) AS step FROM twin) GROUP BY id),
-l AS (SELECT id, line, len(list_filter(regexp_split_to_array(line, '{space}+'), lambda v: v <> '')) AS n
-      FROM (SELECT id, unnest(string_split(x, chr(10))) AS line FROM t) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
-judged AS (SELECT id, line, n,
+l AS (SELECT id, k, line, len(list_filter(regexp_split_to_array(line, '{space}+'), lambda v: v <> '')) AS n
+      FROM (SELECT id, unnest(range(1, len(s) + 1)) AS k, unnest(s) AS line FROM (SELECT id, string_split(x, chr(10)) AS s FROM t)) WHERE regexp_matches(line, '[^\\x20\\x09-\\x0D]')),
+judged AS (SELECT id, k, line, n,
              (n >= 3 AND 2 * {count('line', q.CRIES)} >= n) OR 4 * {count('line', q.BARS)} >= n
              OR (strlen(line) <= {q.NOTICE_BYTES} AND len(list_filter({_list(q.BOILERPLATE)}, lambda v: contains(lower(line), v))) > 0) AS bad,
-             strlen(line) <= {q.MENU_BYTES} AND NOT regexp_matches(line, '[.!?…:;"”»)]{space}*\\z') AS menu FROM l),
-marked AS (SELECT *, count(*) FILTER (menu) OVER (PARTITION BY id) AS menus FROM judged),
-doc AS (SELECT id, sum(CASE WHEN bad OR (menu AND menus > 1) THEN n ELSE 0 END)::BIGINT AS lost, count(*) - count(DISTINCT line) AS dup FROM marked GROUP BY id),
+             strlen(line) <= {q.MENU_BYTES} AND n <= {q.MENU_WORDS} AND NOT left(line, 1) IN (' ', chr(9)) AND NOT regexp_matches(line, '[.!?…:;,"”»)\\]}}]{space}*\\z') AS menu FROM l),
+-- runs of menu lines: neighbours have the same distance between their place and their place among the menu lines
+placed AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY k) - row_number() OVER (PARTITION BY id, menu ORDER BY k) AS run FROM judged),
+marked AS (SELECT *, count(*) OVER (PARTITION BY id, menu, run) AS menus FROM placed),
+doc AS (SELECT id, sum(CASE WHEN bad OR (menu AND menus > 2) THEN n ELSE 0 END)::BIGINT AS lost, count(*) - count(DISTINCT line) AS dup FROM marked GROUP BY id),
 f AS (SELECT w.doc_id, len(w.w) AS n, w.x, coalesce(rep.n, 0) AS rep, coalesce(doc.lost, 0) AS lost, coalesce(doc.dup, 0) AS dup
       FROM w LEFT JOIN rep ON rep.id = w.id LEFT JOIN doc ON doc.id = w.id)
 SELECT doc_id, n::BIGINT AS n_words, length(regexp_replace(x, '{space}+', '', 'g'))::BIGINT AS word_chars, {count('x', q.SYMBOLS)}::BIGINT AS n_symbols,

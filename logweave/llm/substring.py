@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import exchange as X
-from .common import is_document, keyed, python_ready, release, stage, text_buffer
+from .common import keyed, python_ready, release, stage, text_buffer, unpacked, whole_row
 
 
 def _words(buf: np.ndarray, off: np.ndarray, least: int):
@@ -159,14 +159,29 @@ def repeated_windows(docs: DataFrame, window: int = 50) -> DataFrame:
     return out
 
 
-def substring_dedup(docs: DataFrame, window: int = 50, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """One row per row of ``docs``: the ``carry`` columns, n_words, n_removed and kept_text (the kept
-    words joined by one blank). ``carry`` may hold any name but those three."""
+def _judged(docs: DataFrame, window: int, *columns) -> DataFrame:
+    """``columns`` of each row of ``docs`` with _n_words, _n_removed and _kept."""
     if window < 2 or window % 2:
         raise ValueError("window must be even")
     found = repeated_windows(docs, window)
-    carry = tuple(dict.fromkeys(carry))
-    joined = docs.join(found, is_document(docs, found), "left").select(*[docs[c] for c in carry], docs["text"].alias("_words_of"), found["_pos"])
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*[docs[c] for c in carry]).schema.fields]
-    cut = joined.mapInArrow(_cut(window), ", ".join([*fields, "_n_words long, _n_removed long, _kept string"]))
-    return cut.select(*[F.col(f"`{c}`") for c in carry], F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_kept").alias("kept_text"))
+    rows = docs.select(*columns, docs["doc_id"].cast("long").alias("_own_id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("_own_key"), docs["text"].alias("_words_of"))
+    rows = rows.join(found, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_key")), "left").drop("_own_id", "_own_key", "_id", "_key")
+    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("_words_of", "_pos")]
+    return rows.mapInArrow(_cut(window), ", ".join([*fields, "_n_words long, _n_removed long, _kept string"]))
+
+
+def substring_dedup(docs: DataFrame, window: int = 50) -> DataFrame:
+    """(doc_id, n_words, n_removed, kept_text) of each row; kept_text: the kept words joined by one blank."""
+    out = _judged(docs, window, docs["doc_id"].cast("long").alias("doc_id"))
+    return out.select("doc_id", F.col("_n_words").alias("n_words"), F.col("_n_removed").alias("n_removed"), F.col("_kept").alias("kept_text"))
+
+
+def without_repeats(docs: DataFrame, window: int = 50) -> DataFrame:
+    """``docs`` without repeated passages: a text that loses words is its other words, joined by blanks, and ``n_chars``
+    follows; a document that loses all its words goes. Other columns are carried, whatever their names."""
+    cut = _judged(docs, window, whole_row(docs)).where("_n_removed = 0 or _n_removed < _n_words")
+    lost = F.col("_n_removed") > 0
+    new = {"text": F.when(lost, F.col("_kept")).otherwise(F.col("row").getField("text"))}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(lost, F.length("_kept")).otherwise(F.col("row").getField("n_chars"))
+    return unpacked(cut, docs, new)

@@ -4,7 +4,8 @@ Rules judge first; the longest that fits wins. The URLs they allow and block tra
 models of variable order (contexts of 0 to 4 characters): the probability of a character after a
 context is (count + 4 x probability after the context without its first character) / (context's
 count + 4), down to 1/256, so unseen contexts fall back to shorter ones. A URL's score is the sum
-over its characters of log(accepted / rejected), in whole micronats, divided by their number. Three
+over its characters of log(accepted / rejected), in whole micronats, divided by their number. All of the
+URL behind ``://`` counts, query and fragment too, the host in lower case. Three
 sixteenths of the URLs (by MD5) are kept out of training; on them the threshold is chosen, from a
 grid of 0.01 nats between -5 and 5, that does best on balanced accuracy (ties: nearest to zero).
 
@@ -21,6 +22,8 @@ import string
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import release, stage
+
 Rule = tuple[str, str, str]  # action, host, path
 ORDER, PRIOR, UNIT, GRID, REACH = 5, 4, 1_000_000, 10_000, 500
 START, STOP = "\x02", "\x03"
@@ -83,22 +86,38 @@ def _threshold(judged: DataFrame) -> int:
     return min(range(-REACH, REACH + 1), key=lambda t: (-value(t), abs(t), t))
 
 
+def whole_url(url: Column) -> Column:
+    """What the model reads: the host in lower case and all that follows it; a URL without ``://`` as it is."""
+    at = F.instr(url, "://")
+    rest = F.substr(url, at + 3)
+    raw = F.regexp_extract(rest, "^[^/?#]*", 0)
+    return F.when(at > 0, F.concat(F.translate(raw, string.ascii_uppercase, string.ascii_lowercase), F.substr(rest, F.length(raw) + 1))).otherwise(url)
+
+
 def filter_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
-    """(page_id, host, path, rule, verdict, score) of each row; score in nats a character."""
-    host, path = parse(F.coalesce(F.col("url"), F.lit("")))
-    ruled = pages.select("page_id", F.coalesce(F.col("url"), F.lit("")).alias("_url"), host.alias("host"), path.alias("path"))
+    """(page_id, host, path, rule, verdict, score) of each row; score in nats a character.
+
+    Counts, ratios and scores are staged once each; the shuffle files behind them go at once.
+    """
+    spark = pages.sparkSession
+    url = F.coalesce(pages["url"], F.lit(""))
+    host, path = parse(url)
+    ruled = pages.select(pages["page_id"].alias("page_id"), host.alias("host"), path.alias("path"), whole_url(url).alias("s"))
     ruled = ruled.withColumns({"rule": _rule(F.col("host"), F.col("path"), rules, lambda r: F.lit(r[1] + r[2])),
-                               "action": _rule(F.col("host"), F.col("path"), rules, lambda r: F.lit(r[0])),
-                               "s": F.when((F.col("host") == "") & (F.col("path") == ""), F.col("_url")).otherwise(F.concat("host", "path"))})
+                               "action": _rule(F.col("host"), F.col("path"), rules, lambda r: F.lit(r[0]))})
     strings = ruled.groupBy("s").agg(F.count_if(F.col("action") == "allow").alias("a"), F.count_if(F.col("action") == "block").alias("b"))
-    strings = strings.withColumn("held", F.substr(F.md5("s"), F.lit(1), F.lit(1)).isin("0", "1", "2"))
+    strings = stage(strings.withColumn("held", F.substr(F.md5("s"), F.lit(1), F.lit(1)).isin("0", "1", "2")), "strings")
     shown = F.when(F.col("held"), 0)
     counts = _grams(strings, shown.otherwise(F.col("a")).alias("a"), shown.otherwise(F.col("b")).alias("b")).groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    counts = stage(counts, "grams")
     # without examples of either kind there is nothing to compare
     taught = strings.where("not held").agg((F.sum("a") > 0) & (F.sum("b") > 0)).first()[0]
-    ratios = log_ratios(counts) if taught else counts.select("gram", F.lit(0).cast("long").alias("r"))
+    release(spark)
+    ratios = stage(log_ratios(counts), "ratios") if taught else counts.select("gram", F.lit(0).cast("long").alias("r"))
+    release(spark)
     sums = _grams(strings, "s").join(ratios, "gram").groupBy("s").agg(F.floor(F.sum("r") / F.count("*")).alias("score"))
-    scores = strings.join(sums.withColumnRenamed("s", "_s"), F.col("s") == F.col("_s")).select("_s", "a", "b", "held", "score")
+    scores = stage(strings.join(sums.withColumnRenamed("s", "_s"), F.col("s") == F.col("_s")).select("_s", "a", "b", "held", "score"), "scores")
+    release(spark)
     t = _threshold(scores.where("held"))
     out = ruled.join(scores.select("_s", "score"), F.col("s") == F.col("_s"))
     return out.select("page_id", "host", "path", "rule", F.coalesce("action", F.when(F.col("score") >= t * GRID, "allow").otherwise("block")).alias("verdict"),
