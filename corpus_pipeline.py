@@ -9,7 +9,6 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from logweave.llm import exact, packing, quality, queries, simhash, substring
 from logweave.llm.common import documents
@@ -21,9 +20,7 @@ ORACLE_SQL = None
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejected documents go; failing lines go from the others, and n_chars follows."""
-    judged = quality.judge(docs).where("quality.kept")
-    changed = {"text": F.col("quality.clean"), "n_chars": F.when(F.col("quality.clean") == F.col("text"), F.col("n_chars")).otherwise(F.length("quality.clean"))}
-    return judged.select(*[changed.get(c, F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    return quality.kept_and_cleaned(docs)
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,10 +38,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
     A document that loses all its words goes.
     """
-    cut = substring.substring_dedup(docs, queries.WINDOW, carry=tuple(docs.columns)).where("n_removed = 0 or n_removed < n_words")
-    changed = {"text": F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text")),
-               "n_chars": F.when(F.col("n_removed") > 0, F.length("kept_text")).otherwise(F.col("n_chars"))}
-    return cut.select(*[changed.get(c, F.col(f"`{c}`")).cast(docs.schema[c].dataType).alias(c) for c in docs.columns])
+    return substring.without_repeats(docs, queries.WINDOW)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
