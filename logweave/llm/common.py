@@ -40,9 +40,13 @@ def is_document(docs: DataFrame, judged: DataFrame):
             & (F.xxhash64(F.coalesce(docs["text"], F.lit(""))) == judged["_key"]))
 
 
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def whole_row(docs: DataFrame):
     """All columns as one struct column ``row``: beside it no name can clash, whatever ``docs`` calls its columns."""
-    return F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row")
+    return F.struct(*[docs[quoted(c)] for c in docs.columns]).alias("row")
 
 
 def unpacked(rows: DataFrame, docs: DataFrame, changed: dict | None = None) -> DataFrame:

@@ -111,13 +111,12 @@ def quality_of(text: Column) -> Column:
             judged, lambda rows: let(_failed(rows), lambda gone: result(rare, F.size(pieces), F.size(w).cast("long"), repeat, rows, gone))))))
 
     def _failed(rows: Column) -> Column:
-        """Numbers of the failing lines, with their words."""
+        """For each line whether it fails and, if so, its words."""
         is_menu = lambda k: F.coalesce(F.get(rows, k)["menu"], F.lit(False))
         # a run of three entries: the line is its first, middle or last
         in_run = lambda k: (is_menu(k - 2) & is_menu(k - 1)) | (is_menu(k - 1) & is_menu(k + 1)) | (is_menu(k + 1) & is_menu(k + 2))
-        marked = F.transform(rows, lambda x, k: F.struct(k.alias("k"), (x["bad"] | x["menu"] & in_run(k)).alias("fails"),
-                                                         F.size(F.array_remove(F.split(F.translate(x["line"], WHITE, " " * len(WHITE)), " "), "")).alias("n")))
-        return F.filter(marked, lambda x: x["fails"])
+        count = lambda x: F.size(F.array_remove(F.split(F.translate(x["line"], WHITE, " " * len(WHITE)), " "), ""))
+        return F.transform(rows, lambda x, k: let(x["bad"] | x["menu"] & in_run(k), lambda fails: F.struct(fails.alias("fails"), F.when(fails, count(x)).otherwise(0).alias("n"))))
 
     def result(rare: Column, pieces: Column, n: Column, repeat: Column, rows: Column, gone: Column) -> Column:
         own = F.transform(rows, lambda x: x["line"])
@@ -130,7 +129,7 @@ def quality_of(text: Column) -> Column:
             (F.size(rows) - F.size(F.array_distinct(own))).cast("long").alias("n_dup_lines"),
             repeat.alias("n_repeat_words"), lost.alias("n_lost_words"), failed.alias("base_failed"),
             (~failed & (100 * lost <= LOST_PERCENT * n)).alias("kept"),
-            F.when(F.size(gone) == 0, text).otherwise(F.array_join(F.filter(own, lambda x, k: ~F.array_contains(F.transform(gone, lambda g: g["k"]), k)), "\n")).alias("clean")))
+            F.when(lost == 0, text).otherwise(F.array_join(F.filter(own, lambda x, k: ~F.get(gone, k)["fails"]), "\n")).alias("clean")))
 
     return let(text.rlike(RARE), of_text)
 

@@ -21,7 +21,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from . import exchange as X
 from .common import keyed, python_ready, release, stage, text_buffer, unpacked, whole_row
@@ -166,8 +166,8 @@ def _judged(docs: DataFrame, window: int, *columns) -> DataFrame:
     found = repeated_windows(docs, window)
     rows = docs.select(*columns, docs["doc_id"].cast("long").alias("_own_id"), F.xxhash64(F.coalesce(docs["text"], F.lit(""))).alias("_own_key"), docs["text"].alias("_words_of"))
     rows = rows.join(found, F.col("_own_id").eqNullSafe(F.col("_id")) & (F.col("_own_key") == F.col("_key")), "left").drop("_own_id", "_own_key", "_id", "_key")
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields if f.name not in ("_words_of", "_pos")]
-    return rows.mapInArrow(_cut(window), ", ".join([*fields, "_n_words long, _n_removed long, _kept string"]))
+    kind = T.StructType([f for f in rows.schema.fields if f.name not in ("_words_of", "_pos")])
+    return rows.mapInArrow(_cut(window), kind.add("_n_words", "long").add("_n_removed", "long").add("_kept", "string"))
 
 
 def substring_dedup(docs: DataFrame, window: int = 50) -> DataFrame:

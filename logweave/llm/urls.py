@@ -51,8 +51,11 @@ def _rule(host: Column, path: Column, rules: list[Rule], value) -> Column:
 
 
 def _grams(strings: DataFrame, *keep: str) -> DataFrame:
-    padded = F.concat(F.lit(START * (ORDER - 1)), F.col("s"), F.lit(STOP))
-    return strings.select(*keep, F.explode(F.transform(F.sequence(F.lit(1), F.length("s") + 1), lambda i: F.substr(padded, i, F.lit(ORDER)))).alias("gram"))
+    """The last ORDER characters up to each place; the string itself is not carried, and its time is linear."""
+    padded = F.concat(F.array_repeat(F.lit(START), ORDER - 1), F.split("s", ""), F.array(F.lit(STOP)))
+    own = F.when(F.length("s") > 0, padded).otherwise(F.array(*[F.lit(START)] * (ORDER - 1), F.lit(STOP)))
+    split = strings.select(*keep, own.alias("chars"))
+    return split.select(*split.columns[:-1], F.explode(F.transform(F.sequence(F.lit(0), F.size("chars") - ORDER), lambda i: F.concat(*[F.get("chars", i + k) for k in range(ORDER)]))).alias("gram"))
 
 
 def log_ratios(counts: DataFrame) -> DataFrame:
@@ -106,7 +109,7 @@ def filter_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     ruled = ruled.withColumns({"rule": _rule(F.col("host"), F.col("path"), rules, lambda r: F.lit(r[1] + r[2])),
                                "action": _rule(F.col("host"), F.col("path"), rules, lambda r: F.lit(r[0]))})
     strings = ruled.groupBy("s").agg(F.count_if(F.col("action") == "allow").alias("a"), F.count_if(F.col("action") == "block").alias("b"))
-    strings = stage(strings.withColumn("held", F.substr(F.md5("s"), F.lit(1), F.lit(1)).isin("0", "1", "2")), "strings")
+    strings = stage(strings.withColumns({"held": F.substr(F.md5("s"), F.lit(1), F.lit(1)).isin("0", "1", "2"), "n": F.monotonically_increasing_id()}), "strings")
     shown = F.when(F.col("held"), 0)
     counts = _grams(strings, shown.otherwise(F.col("a")).alias("a"), shown.otherwise(F.col("b")).alias("b")).groupBy("gram").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     counts = stage(counts, "grams")
@@ -115,8 +118,8 @@ def filter_urls(pages: DataFrame, rules: list[Rule]) -> DataFrame:
     release(spark)
     ratios = stage(log_ratios(counts), "ratios") if taught else counts.select("gram", F.lit(0).cast("long").alias("r"))
     release(spark)
-    sums = _grams(strings, "s").join(ratios, "gram").groupBy("s").agg(F.floor(F.sum("r") / F.count("*")).alias("score"))
-    scores = stage(strings.join(sums.withColumnRenamed("s", "_s"), F.col("s") == F.col("_s")).select("_s", "a", "b", "held", "score"), "scores")
+    sums = _grams(strings, "n").join(ratios, "gram").groupBy("n").agg(F.floor(F.sum("r") / F.count("*")).alias("score"))
+    scores = stage(strings.join(sums, "n").select(F.col("s").alias("_s"), "a", "b", "held", "score"), "scores")
     release(spark)
     t = _threshold(scores.where("held"))
     out = ruled.join(scores.select("_s", "score"), F.col("s") == F.col("_s"))
