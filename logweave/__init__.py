@@ -31,11 +31,17 @@ _EXPORTS = {
     "stack_rows": "logweave.operators.views",
     "raw_rows": "logweave.operators.views",
     "Step": "logweave.operators.patterns",
+    "Compare": "logweave.operators.patterns",
     "SequencePattern": "logweave.operators.patterns",
+    "ChainPattern": "logweave.operators.patterns",
     "consecutive_errors": "logweave.operators.patterns",
     "correlated_create_vm": "logweave.operators.patterns",
     "match_sequence": "logweave.operators.patterns",
     "read_partition": "logweave.sinks.writers",
+    "read_table": "logweave.sinks.commitlog",
+    "write_batch": "logweave.sinks.commitlog",
+    "compact": "logweave.sinks.commitlog",
+    "vacuum": "logweave.sinks.commitlog",
     "run_batch": "logweave.plans.job",
     "match_sequence_stream": "logweave.streaming.matcher",
     "start_tables_stream": "logweave.streaming.jobs",

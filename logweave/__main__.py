@@ -42,7 +42,8 @@ class _Both:
 
 
 # options of this command that are not Kafka consumer properties
-LOCAL_KEYS = {"source.path", "source.max.files", "alerts.path", "once", "future.cap", "expiry.batches", "time.zone"}
+LOCAL_KEYS = {"source.path", "source.max.files", "alerts.path", "once", "future.cap", "expiry.batches", "compact.batches", "alerts.outbox",
+              "time.zone"}
 # options of Spark's own source, passed as they are
 SOURCE_KEYS = {"startingOffsets", "startingTimestamp", "maxOffsetsPerTrigger", "minOffsetsPerTrigger", "minPartitions", "failOnDataLoss"}
 # settings the Spark Kafka source has no use for: the old consumer's ZooKeeper address, and the
@@ -79,10 +80,12 @@ def start(spark, cfg: PipelineConfig):
     # beside the tables, so that a new process goes on where the last one stopped
     checkpoints = f"{cfg.tables_path.rstrip('/')}/_checkpoints"
     tables = start_tables_stream(lines, cfg.tables_path, checkpoint=f"{checkpoints}/tables", parse_body=cfg.parse_body, place=place,
-                                 trigger_ms=trigger, available_now=once, expire_every=_whole(cfg, "expiry.batches") or 0)
-    alerts_path = cfg.extra.get("alerts.path")
-    opts = {} if alerts_path else {"kafka.bootstrap.servers": cfg.broker}
-    alerts = start_alerts_stream(lines, "text" if alerts_path else "kafka", alerts_path or cfg.target_topic, checkpoint=f"{checkpoints}/alerts",
+                                 trigger_ms=trigger, available_now=once, expire_every=_whole(cfg, "expiry.batches") or 0,
+                                 compact_every=_whole(cfg, "compact.batches") or 0)
+    box, alerts_path = cfg.extra.get("alerts.outbox"), cfg.extra.get("alerts.path")
+    sink, target = ("outbox", box) if box else ("text", alerts_path) if alerts_path else ("kafka", cfg.target_topic)
+    opts = {"kafka.bootstrap.servers": cfg.broker} if sink == "kafka" else {}
+    alerts = start_alerts_stream(lines, sink, target, checkpoint=f"{checkpoints}/alerts",
                                  parse_body=cfg.parse_body, delay_s=cfg.max_out_of_order_s, options=opts,
                                  trigger_ms=trigger, available_now=once, future_cap_s=_whole(cfg, "future.cap"))
     return _Both(spark, [tables, alerts])

@@ -33,3 +33,12 @@ def alert_text(first: str = "first", second: str = "second") -> Column:
         entry_json(first + "."), F.lit("\n"),
         entry_json(second + "."), F.lit("\n"),
     )
+
+
+def chain_text(events: str = "events") -> Column:
+    """Alert text of a match of any number of records: header, the summary lines, the records as JSON."""
+    field = lambda e, f: F.coalesce(e[f], F.lit(""))
+    summary = lambda e: F.concat_ws(SUMMARY_SEPARATOR, *[field(e, f) for f in ("service", "severity", "timestamp")])
+    record = lambda e: F.to_json(F.struct(*[field(e, f).alias(f) for f in LOG_FIELDS]))
+    return F.concat(F.lit(ALERT_HEADER + "\n"), F.array_join(F.transform(events, summary), "\n"), F.lit("\n"),
+                    F.array_join(F.transform(events, record), "\n"), F.lit("\n"))

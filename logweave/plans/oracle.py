@@ -46,7 +46,7 @@ rec AS (
       WHEN 'no_body_time' THEN lower(service) || ' - - - ' || CAST(seq AS VARCHAR) || ' ' || lvl
            || ' mod.name [ Synthetic log CEP_ID=' || corr || ' ] user=' || CAST(user_id AS VARCHAR)
       ELSE lower(service) || ' - - - ' || ts_ms || ' ' || CAST(seq AS VARCHAR) || ' '
-           || CASE WHEN kind = 'bad_word' THEN 'SUPERCRITICO' ELSE lvl END
+           || CASE WHEN kind = 'bad_word' THEN 'OVERHEATED' ELSE lvl END
            || ' mod.name [ Synthetic log CEP_ID=' || corr || ' ]'
            || CASE WHEN seq % 61 = 0 THEN chr(10) ELSE ' ' END || 'user=' || CAST(user_id AS VARCHAR)
     END AS raw_body,

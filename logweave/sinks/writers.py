@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
-from logweave.functions.render import alert_text
+from logweave.functions.render import alert_text, chain_text
 from logweave.sinks.commitlog import TableLog
 
 TABLE_PARTITIONS = {"node_rows": ["id"], "service_rows": ["id"], "stack_rows": ["id"], "raw_rows": ["date"]}
@@ -117,23 +117,29 @@ def write_keyed(df: DataFrame, path: str | None = None, *, target: T.StructType
     return out
 
 
+def _text_and_seqs(alerts: DataFrame):
+    """The text of an alert (of two records, or of a chain's) and the numbers of its records."""
+    if "events" in alerts.columns:
+        return chain_text("events"), F.transform("events", lambda e: e["seq"])
+    return alert_text("first", "second"), F.array(F.col("first.seq"), F.col("second.seq"))
+
+
 def alerts_to_text(alerts: DataFrame, with_key: bool = False) -> DataFrame:
     """Alerts -> one ``value`` text column (PRS14).
 
-    ``with_key`` adds a ``key`` that is the same for the same pair of records, so a
+    ``with_key`` adds a ``key`` that is the same for the same records, so a
     consumer of an at-least-once sink (Kafka) can drop an alert replayed after a failure.
     """
-    value = alert_text("first", "second").alias("value")
+    text, seqs = _text_and_seqs(alerts)
     if not with_key:
-        return alerts.select(value)
-    key = F.xxhash64(F.col("first.seq"), F.col("second.seq")).cast("string").alias("key")
-    return alerts.select(key, value)
+        return alerts.select(text.alias("value"))
+    return alerts.select(F.array_join(seqs.cast("array<string>"), "-").alias("key"), text.alias("value"))
 
 
 def alerts_to_outbox(alerts: DataFrame) -> DataFrame:
-    """Alerts -> ``first_seq``, ``second_seq``, ``alert_name``, ``value``: the pair itself is the key."""
-    return alerts.select(F.col("first.seq").alias("first_seq"), F.col("second.seq").alias("second_seq"), "alert_name",
-                         alert_text("first", "second").alias("value"))
+    """Alerts -> ``seqs`` (the numbers of all its records: the key), ``alert_name``, ``value``."""
+    text, seqs = _text_and_seqs(alerts)
+    return alerts.select(seqs.alias("seqs"), "alert_name", text.alias("value"))
 
 
 def write_alerts_kafka(alerts: DataFrame, bootstrap_servers: str, topic: str, options: dict | None = None):

@@ -43,7 +43,7 @@ def events_to_lines(events: DataFrame) -> DataFrame:
             .when(eid % NO_BODY_TIME == 0, F.lit("no_body_time"))
             .when(eid % BAD_LEVEL_WORD == 0, F.lit("bad_word"))
             .otherwise(F.lit("ok")))
-    word = F.when(kind == "bad_word", F.lit("SUPERCRITICO")).otherwise(level)
+    word = F.when(kind == "bad_word", F.lit("OVERHEATED")).otherwise(level)
     sep = F.when(eid % NEWLINE_BODY == 0, F.lit("\n")).otherwise(F.lit(" "))
     body = (
         F.when(kind == "no_bracket",

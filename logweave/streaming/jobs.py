@@ -21,12 +21,12 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.errors import StreamingQueryException
 
 from logweave.operators.parse import accepted_entries, parse_entries, validate
-from logweave.operators.patterns import SequencePattern, correlated_create_vm
+from logweave.operators.patterns import ChainPattern, SequencePattern, correlated_create_vm
 from logweave.operators.views import RAW_KEYS, Placement, node_rows, raw_rows, service_rows, stack_rows, table_counts
 from logweave.session import ensure_checkpoint_dir
 from logweave.sinks.expiry import drop_expired
 from logweave.sources.kafka import ARRIVAL
-from logweave.sinks.commitlog import compact, run_identity, upsert_latest, write_batch
+from logweave.sinks.commitlog import compact, run_identity, upsert_latest, vacuum, write_batch
 from logweave.sinks.writers import TABLE_PARTITIONS, alerts_to_outbox, alerts_to_text
 from logweave.streaming.matcher import match_sequence_stream
 
@@ -51,7 +51,8 @@ def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None
 
     ``expire_every``: after every so many micro-batches, take the horizon tables' expired
     files off (0: never; readers filter expired rows with ``live`` in any case). ``compact_every``: after every so
-    many, merge the small files of the five tables. The tables are read with ``read_table``.
+    many, merge the small files of the five tables and delete what has been no part of them for a week. The tables
+    are read with ``read_table``.
     """
     # lines of a source that knows when they were written (Kafka) carry it to the latest-row table
     arrival = ARRIVAL if set(ARRIVAL) <= set(lines.columns) else ()
@@ -91,6 +92,7 @@ def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None
             if compact_every and batch_id % compact_every == compact_every - 1:
                 for name in (*tables, "quarantine"):
                     compact(batch.sparkSession, f"{out_path}/{name}")
+                    vacuum(batch.sparkSession, f"{out_path}/{name}")
         finally:
             batch.unpersist()
 
@@ -104,20 +106,20 @@ def start_tables_stream(lines: DataFrame, out_path: str, checkpoint: str | None
     return w.start()
 
 
-def alerts_stream(lines: DataFrame, pattern: SequencePattern | None = None, parse_body: bool = True,
+def alerts_stream(lines: DataFrame, pattern: SequencePattern | ChainPattern | None = None, parse_body: bool = True,
                   delay_s: int = 0, future_cap_s: int | None = None) -> DataFrame:
     accepted = accepted_entries(lines, parse_body)
     return match_sequence_stream(accepted, pattern or correlated_create_vm(), delay_s, future_cap_s)
 
 
-def start_alerts_stream(lines: DataFrame, sink: str, path_or_topic: str, pattern: SequencePattern | None = None,
+def start_alerts_stream(lines: DataFrame, sink: str, path_or_topic: str, pattern: SequencePattern | ChainPattern | None = None,
                         parse_body: bool = True, delay_s: int = 0, checkpoint: str | None = None,
                         options: dict | None = None, query_name: str = "logweave_alerts",
                         trigger_ms: int | None = None, available_now: bool = False,
                         future_cap_s: int | None = None) -> StreamingQuery:
     """Alert text to ``sink``: ``"kafka"`` (topic), ``"text"`` / ``"json"`` (path), ``"memory"`` (query name) or ``"outbox"``.
 
-    The outbox (path) is a table with a commit log: ``first_seq``, ``second_seq`` (the full pair) and the text. It holds
+    The outbox (path) is a table with a commit log: ``seqs`` (the numbers of the alert's records) and the text. It holds
     the alerts of each micro-batch once, also after a crash and a replay; ``read_table`` reads it.
 
     ``future_cap_s`` keeps rows dated further ahead of the batch's time away from the patterns and counts

@@ -30,6 +30,8 @@ the watermark. Append sinks upstream of the matcher still receive every row.
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
@@ -37,6 +39,7 @@ from pyspark.sql.streaming.state import GroupStateTimeout
 
 from logweave.operators.patterns import PAYLOAD_FIELDS, ChainPattern, SequencePattern, chain_rows
 from logweave.operators.scan import match_block
+from logweave.streaming.slots import SlotMatcher
 
 _STATE = T.StructType([
     T.StructField("p_t", T.ArrayType(T.LongType())),
@@ -244,7 +247,8 @@ def _chain_matcher(keys: list[str], strict: list[bool], ops: list[str | None], w
     return fn
 
 
-def match_chain_stream(entries: DataFrame, pattern: ChainPattern, delay_s: int = 0, future_cap_s: int | None = None) -> DataFrame:
+def match_chain_stream(entries: DataFrame, pattern: ChainPattern, delay_s: int = 0, future_cap_s: int | None = None,
+                       state: str = "value") -> DataFrame:
     """Streaming matches ``(key..., events, alert_name)`` of a chain; see :func:`match_sequence_stream`."""
     base, keys, strict, rec_type = chain_rows(entries, pattern, keep=("event_time",))
     ops = [s.compare.op if s.compare else None for s in pattern.steps]
@@ -261,8 +265,12 @@ def match_chain_stream(entries: DataFrame, pattern: ChainPattern, delay_s: int =
     # a row of the next bucket starts nothing here
     slim = slim.withColumn("flags", F.when(F.col("own"), F.col("flags")).otherwise(F.col("flags").bitwiseAND(~1)))
     out = T.StructType([slim.schema[k] for k in keys] + [T.StructField("pays", T.ArrayType(T.StringType())), _LATE])
-    found = slim.groupBy(*keys, "bucket").applyInPandasWithState(_chain_matcher(keys, strict, ops, pattern.within_ms), out, _CHAIN_STATE, "append",
-                                                                 GroupStateTimeout.EventTimeTimeout)
+    groups = slim.groupBy(*keys, "bucket")
+    if state == "slots":
+        # null keys were removed; Python's processor takes the columns it names
+        found = groups.transformWithStateInPandas(SlotMatcher(keys, strict, ops, pattern.within_ms), out, "Append", "EventTime")
+    else:
+        found = groups.applyInPandasWithState(_chain_matcher(keys, strict, ops, pattern.within_ms), out, _CHAIN_STATE, "append", GroupStateTimeout.EventTimeTimeout)
     found = found.observe("late_rows", F.count(F.when(F.col("late"), 1)).alias("dropped")).where(~F.col("late"))
     names = [k for k, _ in pattern.key]
     return found.select(*[F.col(k).alias(n) for k, n in zip(keys, names)],
@@ -270,16 +278,26 @@ def match_chain_stream(entries: DataFrame, pattern: ChainPattern, delay_s: int =
 
 
 def match_sequence_stream(entries: DataFrame, pattern: SequencePattern | ChainPattern, delay_s: int = 0,
-                          future_cap_s: int | None = None) -> DataFrame:
+                          future_cap_s: int | None = None, state: str = "value") -> DataFrame:
     """Streaming alerts ``(key..., first, second, alert_name)`` (a chain: ``events``) with a bounded out-of-orderness watermark.
 
     ``future_cap_s``: drop rows dated more than this many seconds after the
     micro-batch's processing time before they reach the watermark, so one
     future-dated row cannot make every later row "late". Their number is the observed metric
     ``future_rows``. Spark keeps one processing time for a micro-batch and its replays.
+
+    ``state``: ``"value"`` holds a key's rows as one value, which each change writes whole; ``"slots"`` holds them by
+    time slots (:mod:`logweave.streaming.slots`), so a batch writes its own rows' slots only, for streams whose
+    rows wait long for the watermark.
     """
+    if state not in ("value", "slots"):
+        raise ValueError(f"state must be 'value' or 'slots', not {state!r}")
     if isinstance(pattern, ChainPattern):
-        return match_chain_stream(entries, pattern, delay_s, future_cap_s)
+        return match_chain_stream(entries, pattern, delay_s, future_cap_s, state)
+    if state == "slots" and pattern.contiguity != "any":
+        steps = (pattern.first, replace(pattern.second, contiguity=pattern.contiguity))
+        chain = match_chain_stream(entries, ChainPattern(steps, pattern.within_ms, pattern.name, pattern.key), delay_s, future_cap_s, state)
+        return chain.select(*[k for k, _ in pattern.key], F.col("events")[0].alias("first"), F.col("events")[1].alias("second"), "alert_name")
     base, keys, rec_type = _prepare(entries, pattern)
     names = [k for k, _ in pattern.key]
     base = _watermarked(base, delay_s, future_cap_s)

@@ -150,6 +150,18 @@ def test_no_rows_and_refused_patterns(spark):
         ChainPattern((Step("one", F.lit(True)), Step("two", F.lit(True), "any")))
 
 
+def test_text_and_key_of_a_chain(spark):
+    from logweave.sinks.writers import alerts_to_outbox, alerts_to_text
+    fields = "seq long, severity string, body string, spriority string, hostname string, protocol string, port string, sender string, service string, id string, facility string, timestamp string"
+    event = lambda k: (k, "3", f"b{k}", None, "h", "p", "1", "s", "Nova", str(k), "1", f"t{k}")
+    alerts = spark.createDataFrame([([event(1), event(2), event(3)], "A")], f"events array<struct<{fields.replace(' ', ':').replace(',:', ',')}>>, alert_name string")
+    text = alerts_to_text(alerts, with_key=True).first()
+    lines = text.value.split("\n")
+    assert text.key == "1-2-3" and lines[0] == "ErrorAlert: " and lines[1:4] == ["Nova-3-t1", "Nova-3-t2", "Nova-3-t3"] and len(lines) == 8 and lines[-1] == ""
+    assert all(f'"body":"b{k}"' in lines[3 + k] and '"spriority":""' in lines[3 + k] for k in (1, 2, 3))
+    assert list(alerts_to_outbox(alerts).first().seqs) == [1, 2, 3]
+
+
 def test_tables_compose_in_any_grouping():
     a = {1: Way(2, [5], 50, ["p"]), 2: Way(2), 3: Way(0)}
     b = {1: Way(1), 2: Way(3, [7], 70, ["q"]), 3: Way(4, [8], 80, ["r"])}
@@ -172,7 +184,7 @@ def test_ordered_searches_against_a_loop():
 
 # -- streams --------------------------------------------------------------------------------------
 
-def run_stream(spark, rows, pattern, size=60, delay_s=0):
+def run_stream(spark, rows, pattern, size=60, delay_s=0, state="value"):
     d = tempfile.mkdtemp(prefix="run-", dir="/tmp")
     ordered = sorted(rows, key=lambda r: (r[1], r[0]))
     chunks = [ordered[i:i + size] for i in range(0, len(ordered), size)]
@@ -182,7 +194,7 @@ def run_stream(spark, rows, pattern, size=60, delay_s=0):
         spark.createDataFrame(c, SCHEMA).coalesce(1).write.parquet(f"{d}/src/c{i:03d}")
     stream = spark.readStream.schema(SCHEMA).option("maxFilesPerTrigger", 1).parquet(f"{d}/src/*")
     name = "chain_" + d.rsplit("-", 1)[-1]
-    out = match_sequence_stream(stream, pattern, delay_s=delay_s)
+    out = match_sequence_stream(stream, pattern, delay_s=delay_s, state=state)
     q = out.writeStream.format("memory").queryName(name).option("checkpointLocation", f"{d}/ck").start()
     q.processAllAvailable()
     q.stop()
@@ -209,6 +221,66 @@ def test_unkeyed_stream_equals_batch_and_spreads_a_backlog(spark, contiguity):
     assert max(op["numRowsTotal"] for p in progress for op in p["stateOperators"]) > 3
 
 
+@pytest.mark.parametrize("kind", ["strict", "next", "chain"])
+def test_state_in_slots_equals_batch(spark, kind):
+    rows = random_rows(31, 300, step=9)
+    if kind == "chain":
+        pattern = pattern_of(["A", "AB", "BC"], [False, True, False], {}, 30)
+    else:
+        pattern = replace(consecutive_errors(20_000), contiguity=kind, first=Step("a", F.col("level") == "A"), second=Step("b", F.col("level").isin("A", "B")))
+    seqs = lambda df: sorted(tuple(e["seq"] for e in r["events"]) if kind == "chain" else (r["first"]["seq"], r["second"]["seq"]) for r in df.collect())
+    got, _ = run_stream(spark, rows, pattern, size=100, delay_s=40, state="slots")
+    expected = seqs(match_sequence(spark.createDataFrame(rows, SCHEMA), pattern))
+    assert seqs(got) == expected and len(expected) > 3
+
+
+def test_slots_write_what_a_batch_changes():
+    """The state that a batch writes does not follow the rows that wait."""
+    import pandas as pd
+    from logweave.streaming.slots import SlotMatcher
+
+    class Map(dict):
+        written = 0
+        def getValue(self, k): return self[k]
+        def containsKey(self, k): return k in self
+        def removeKey(self, k): del self[k]
+        def updateValue(self, k, v):
+            Map.written += len(v[0])
+            self[k] = v
+
+    class Value:
+        value = None
+        def exists(self): return self.value is not None
+        def get(self): return self.value
+        def update(self, v): self.value = v
+        def clear(self): self.value = None
+
+    class Handle:
+        timers = []
+        def getMapState(self, *a): return Map()
+        def getValueState(self, *a): return Value()
+        def registerTimer(self, t): self.timers.append(t)
+
+    class Timers:
+        def __init__(self, wm): self.wm = wm
+        def getCurrentWatermarkInMs(self): return self.wm
+
+    m = SlotMatcher([], [False, False], [None, None], 3200)
+    m.init(Handle())
+    batch = lambda lo, n: pd.DataFrame({"t": range(lo, lo + n), "seq": range(lo, lo + n), "flags": [3] * n, "pay": [str(k) for k in range(lo, lo + n)], "own": [True] * n})
+    sizes = []
+    for k in range(50):  # nothing is released: the rows that wait grow to 5,000
+        before = Map.written
+        list(m.handleInputRows((), iter([batch(100 * k, 100)]), Timers(0)))
+        sizes.append(Map.written - before)
+    assert max(sizes) == min(sizes) == 100 and sum(len(v[0]) for v in m.slots.values()) == 5000
+    out = pd.concat(m.handleExpiredTimer((), Timers(4000), None))
+    assert len(out) == 4000 and min(k[0] for k in m.slots) >= 8 and m.done.get() == (4000, 4000)
+    assert not list(m.handleExpiredTimer((), Timers(4000), None))
+    late = pd.concat(m.handleInputRows((), iter([batch(3999, 3)]), Timers(4000)))
+    assert late["late"].tolist() == [True, True]
+
+
 class State:
     """What Spark hands to the state function."""
 

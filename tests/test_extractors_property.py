@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from logweave.functions.body import body_info, body_severity, body_timestamp, correlation_id
 from logweave.schema import SEVERITY_CODES
 
-WORDS = ["INFO", "ERROR", "WARNING", "DEBUG", "NOTICE", "CRIT", "ALERT", "EMERG", "SUPERCRITICO", "WARN",
+WORDS = ["INFO", "ERROR", "WARNING", "DEBUG", "NOTICE", "CRIT", "ALERT", "EMERG", "OVERHEATED", "WARN",
          "CRITICAL", "ABC", "2017-03-14 14:44:38.729", "2017-03-14\t14:44:38.729", "[", "]", " ", "\n", "\r",
          "\u0085", "\u2028", "\u2029", "\u00a0", "x", "CEP_ID=", "CEP_ID=vm-1", "9", "-", ":", ".", "abc"]
 
