@@ -256,7 +256,7 @@ SELECT seq, json_sev AS severity,
        END AS severity_name
 FROM parsed""")
     q["severity_code"] = _sql("""
-SELECT seq, CASE WHEN kind = 'bad_word' THEN 'SUPERCR' ELSE lvl END AS severity_word,
+SELECT seq, CASE WHEN kind = 'bad_word' THEN 'OVERHEA' ELSE lvl END AS severity_word,
        CASE WHEN kind = 'bad_word' THEN NULL ELSE code END AS severity_code
 FROM parsed""")
     q["valid_entries"] = _sql("""
