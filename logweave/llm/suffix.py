@@ -1,23 +1,24 @@
-"""Operator 10, suffix-array dedup by a distributed difference-cover algorithm.
-
-Only the first ``length`` bytes of a suffix decide, so the sort is bounded to that depth. The
-difference cover has modulus 273 and 17 residues (any two positions have a common shift below 273
-that puts both on sampled residues) in place of modulus 3 and two residues.
-
-1. Sampled positions are named by their tuple of 128 = 400 - 272 bytes, and the names are sorted;
-   where two adjacent names differ from all others, no repeat passes through that sample.
-2. Two equal suffix prefixes share a sampled position with equal names within the first 272
-   bytes. So the remaining suffixes that matter are those up to 272 bytes before a repeated name;
-   they are named by their full prefix, merged into one order, and adjacent prefixes compared.
+"""Operator 10, dedup of repeated byte strings by a difference cover, with hash grouping for the sort.
+
+The dealt method sorts sampled tuples, recurses on their names, merges the other suffixes in and compares
+adjacent prefixes. Here only the first ``length`` bytes of a suffix decide, and only whether they occur again,
+not in which order they stand; so equal prefixes are brought together by their hash instead of a sort. A full
+sort by modulus 3 would send two thirds of all positions, at 16 bytes each, through the shuffle: over ten times the
+text (calculated). What is kept of the method is the difference cover: modulus 273 with 17 residues
+(any two positions have a common shift below 273 that puts both on sampled residues).
+
+1. The 128 = 400 - 272 bytes at each sampled position are hashed (their name), and names that occur once are
+   dropped: no repeat passes through such a sample.
+2. Two equal prefixes share a sampled position with equal names within their first 272 bytes. So the suffixes
+   that matter are those up to 272 bytes before a repeated name; their full prefixes are hashed and grouped.
 3. Bytes under a prefix that begins twice or more anywhere are removed.
 
-The recursion on names ends after this one level, as a name and its shift span the whole prefix.
-A full sort by modulus 3 would send two thirds of all positions, at 16 bytes each, through the
-shuffle: over ten times the text. Texts that stand in the table more than once are named once.
+There is no recursion, as a name and its shift span the whole prefix. Texts that stand in the table more than
+once are named once. Prefixes count as equal if their 64-bit hashes are, after equal names of a shared sample;
+their bytes are not compared.
 
 Defined cases: a null or empty text has no bytes. A null doc_id is a document like any other, as
-are repeated rows (copies of each other). Texts below ``length`` bytes lose nothing. No rows give
-no rows. Prefixes are equal if their 64-bit hashes are, after equal names of a shared sample.
+are repeated rows (copies of each other). Texts below ``length`` bytes lose nothing. No rows give no rows.
 """
 
 from __future__ import annotations
