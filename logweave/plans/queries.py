@@ -45,7 +45,8 @@ def fmt(c: "str | Column") -> Column:
 
 
 def _lines(spark, sf_dir):
-    return read_event_lines(spark, sf_dir)
+    # the table is one row group: spread, whatever its size
+    return read_event_lines(spark, sf_dir, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
 def _accepted(spark, sf_dir, parse_body=True):

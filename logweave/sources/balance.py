@@ -1,24 +1,16 @@
-"""Rebalance an under-split input (STR5)."""
+"""Rebalance an input over the cluster (STR5)."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
 
-def rebalance_if_narrow(df: DataFrame, min_partitions: int | None = None, key: str | None = None) -> DataFrame:
-    """Round-robin ``df`` only when its scan would leave most of the cluster idle.
+def rebalance(df: DataFrame, key: str | None = None, partitions: int | None = None) -> DataFrame:
+    """Spread the rows evenly, whatever the input's size: over ``partitions`` tasks, or as many as AQE finds right for the bytes.
 
-    A large input is already split into many files / row groups and is returned
-    unchanged (no shuffle): the trigger is a scan with fewer than half as many
-    partitions as the target (the cluster's parallelism, capped by
-    ``spark.sql.shuffle.partitions``). A single small file with one row group
-    would otherwise put the whole parse into one task. With a unique ``key`` the
-    rows are hash-distributed on it, which is deterministic under task retries
-    without the local sort a round-robin repartition needs.
+    For an input whose files or topic partitions split it badly: one shuffle of its columns. The caller asks
+    for it; no reader of this package does so by itself. With a unique ``key`` the rows are distributed by it,
+    which is the same under task retries without the local sort that a round-robin repartition needs.
     """
-    spark = df.sparkSession
-    target = min_partitions or min(spark.sparkContext.defaultParallelism,
-                                   int(spark.conf.get("spark.sql.shuffle.partitions")))
-    if df.rdd.getNumPartitions() * 2 <= target:
-        return df.repartition(target, key) if key else df.repartition(target)
-    return df
+    by = [key] if key else []
+    return df.repartition(partitions, *by) if partitions else df.hint("rebalance", *by)

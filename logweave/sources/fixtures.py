@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from logweave.functions._util import literal_map
 from logweave.schema import SEVERITY_CODES
-from logweave.sources.balance import rebalance_if_narrow
+from logweave.sources.balance import rebalance
 
 # Fixed values of the adapter.
 EVENT_LEVELS = {"error": "ERROR", "view": "WARNING", "click": "INFO", "signup": "NOTICE", "purchase": "DEBUG"}
@@ -104,10 +104,10 @@ def events_to_times(events: DataFrame) -> DataFrame:
     return events.select(eid.alias("seq"), text.alias("timestamp"))
 
 
-def read_event_lines(spark: SparkSession, sf_dir: str, rebalance: bool = True) -> DataFrame:
+def read_event_lines(spark: SparkSession, sf_dir: str, partitions: int | None = None) -> DataFrame:
     """Read ``events.parquet`` under ``sf_dir`` and adapt it to syslog lines.
 
-    ``rebalance`` spreads a scan of few row groups over the cluster (``rebalance_if_narrow``).
+    ``partitions`` rebalances its four columns first (STR5), for a table of few large row groups.
     """
     events = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type")
-    return events_to_lines(rebalance_if_narrow(events, key="event_id") if rebalance else events)
+    return events_to_lines(rebalance(events, "event_id", partitions) if partitions else events)

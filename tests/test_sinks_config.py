@@ -229,3 +229,13 @@ def test_failing_query_is_noticed_while_the_other_runs():
     with pytest.raises(RuntimeError):
         _Both(None, [tables, alerts]).awaitTermination()
     assert tables.stopped
+
+
+def test_rebalance_spreads_rows(spark):
+    from logweave.sources.balance import rebalance
+    rows = spark.range(0, 10_000, numPartitions=1)
+    sizes = [len(p) for p in rebalance(rows, "id", 8).rdd.glom().collect()]
+    assert len(sizes) == 8 and sum(sizes) == 10_000 and max(sizes) < 2 * min(sizes)
+    assert rebalance(rows, "id").count() == rebalance(rows).count() == 10_000
+    assert "REBALANCE" in rebalance(rows)._jdf.queryExecution().executedPlan().toString()
+    assert len(rebalance(rows.where("false"), "id", 4).collect()) == 0
