@@ -101,24 +101,26 @@ FROM f
 
 def op7() -> str:
     m = licenses
-    rows = [(text, label, "true") for text, label in m.PHRASES] + [(text, label, "false") for text, label in m.TEMPLATES]
-    values = ", ".join(f"({k}, '{text}', '{label}', {base})" for k, (text, label, base) in enumerate(rows))
+    values = ", ".join(f"({n}, {_list(own)}, '{label}', {base}, {k})" for n, own, label, base, k in m.numbered())
+    grams = " UNION ALL ".join(
+        f"SELECT id, template, label, base, k, grams, i - spot AS diagonal, spot, i FROM (SELECT id, i, array_to_string(w[i + 1:i + {k}], ' ') AS gram FROM "
+        f"(SELECT id, w, unnest(range(0, len(w) - {k - 1})) AS i FROM t)) d JOIN (SELECT * FROM grams WHERE k = {k}) g USING (gram)" for k in (m.SHORT, m.LONG))
     return f"""
-WITH tpl AS (SELECT * FROM (VALUES {values}) v(template, body, label, base)),
-pairs AS (SELECT template, label, base, k AS spot, len(p) - 1 AS pairs, p[k + 1] || ' ' || p[k + 2] AS pair
-          FROM (SELECT *, unnest(range(0, len(p) - 1)) AS k FROM (SELECT *, string_split(body, ' ') AS p FROM tpl))),
+WITH tpl AS (SELECT * FROM (VALUES {values}) v(template, p, label, base, k)),
+grams AS (SELECT template, label, base, k, spot, len(p) - k + 1 AS grams, array_to_string(p[spot + 1:spot + k], ' ') AS gram
+          FROM (SELECT *, unnest(range(0, len(p) - k + 1)) AS spot FROM tpl)),
 t AS (SELECT row_number() OVER () AS id, doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
              '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda v: v <> '') AS w FROM documents),
-hits AS (SELECT id, template, label, base, pairs, i - spot AS diagonal, spot, i FROM (SELECT id, w, unnest(range(0, len(w) - 1)) AS i FROM t) JOIN pairs ON pair = w[i + 1] || ' ' || w[i + 2]),
+hits AS ({grams}),
 near AS (SELECT *, CASE WHEN base OR coalesce(diagonal - lag(diagonal) OVER (PARTITION BY id, template ORDER BY diagonal), {m.GAP + 1}) > {m.GAP} THEN 1 ELSE 0 END AS new
          FROM (SELECT DISTINCT id, template, base, diagonal FROM hits)),
 grp AS (SELECT *, sum(new) OVER (PARTITION BY id, template ORDER BY diagonal) AS g FROM near),
-merged AS (SELECT h.id, h.template, any_value(h.label) AS label, any_value(h.base) AS base, any_value(h.pairs) AS pairs, min(h.diagonal) AS start,
-                  count(DISTINCT h.spot) AS votes, max(h.i) - min(h.i) + 2 AS span
+merged AS (SELECT h.id, h.template, any_value(h.label) AS label, any_value(h.base) AS base, any_value(h.grams) AS grams, min(h.diagonal) AS start,
+                  count(DISTINCT h.spot) AS votes, max(h.i) - min(h.i) + any_value(h.k) AS span, any_value(h.k) AS k
            FROM hits h JOIN grp ON grp.id = h.id AND grp.template = h.template AND grp.diagonal = h.diagonal GROUP BY h.id, h.template, grp.g),
-good AS (SELECT * FROM merged WHERE CASE WHEN base THEN votes = pairs ELSE 100 * votes >= {m.SHARE_PERCENT} * pairs AND 100 * span <= {m.LENGTH_PERCENT} * (pairs + 1) END),
+good AS (SELECT * FROM merged WHERE CASE WHEN base THEN votes = grams ELSE 100 * votes >= {m.SHARE_PERCENT} * grams AND 100 * span <= {m.LENGTH_PERCENT} * (grams + k - 1) END),
 doc AS (SELECT id, count(*) FILTER (base) AS n_base, min(start) FILTER (base) AS first_word, max(start) FILTER (base) AS last_word,
-               string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(votes / pairs) AS score
+               string_agg(DISTINCT label, ',' ORDER BY label) FILTER (base) AS base_labels, string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(votes / grams) AS score
         FROM good GROUP BY id)
 SELECT t.doc_id, len(t.w)::BIGINT AS n_words, coalesce(n_base, 0)::BIGINT AS n_base, first_word::BIGINT AS first_word, last_word::BIGINT AS last_word,
        coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, round(coalesce(score, 0), 6)::DOUBLE AS score

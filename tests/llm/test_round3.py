@@ -334,3 +334,47 @@ def test_chunk_identifiers_of_equal_texts_agree_across_slices():
     batch_of = lambda rows: __import__("pyarrow").RecordBatch.from_pydict({"doc_id": list(range(len(rows))), "text": rows})
     out = [r for b in exact._recipes(0)([batch_of([text.decode(), "x", text.decode()])]) for r in b.column("recipe").to_pylist()]
     assert out[0] == out[2] != out[1] and out[1] == xxhash.xxh3_128_digest(b"x", 0)
+
+
+def brute_licenses(text):
+    """(n_base, labels, best share) by taking every template's hits one by one."""
+    m = licenses
+    w = [x for x in re.split(m.NOT_WORD, "".join(c.lower() if c.isascii() else c for c in text)) if x]
+    n_base, labels, best = 0, set(), 0.0
+    for _, own, label, base, k in m.numbered():
+        spots, n = {}, len(own) - k + 1
+        for j in range(n):
+            spots.setdefault(tuple(own[j:j + k]), []).append(j)
+        hits = sorted((i - j, j, i) for i in range(len(w) - k + 1) for j in spots.get(tuple(w[i:i + k]), ()))
+        groups = []
+        for hit in hits:
+            if groups and (hit[0] == groups[-1][-1][0] or not base and hit[0] - groups[-1][-1][0] <= m.GAP):
+                groups[-1].append(hit)
+            else:
+                groups.append([hit])
+        for g in groups:
+            votes, span = len({j for _, j, _ in g}), max(i for *_, i in g) - min(i for *_, i in g) + k
+            if votes == n if base else 100 * votes >= m.SHARE_PERCENT * n and 100 * span <= m.LENGTH_PERCENT * len(own):
+                n_base, best = n_base + base, max(best, votes / n)
+                labels.add(label)
+    return n_base, ",".join(sorted(labels)), round(best, 6)
+
+
+def test_whole_license_texts(spark):
+    m = licenses
+    texts = [x for x, _ in m.TEXTS]
+    changed = lambda x, every, put: " ".join(put(w) if k % every == every - 1 else w for k, w in enumerate(x.split()))
+    rows = ["Copyright (c) 2001 Someone\n\n" + x for x in texts] + [x.upper() for x in texts]
+    rows += [changed(x, 20, lambda w: "") for x in texts] + [changed(x, 24, lambda w: w + " indeed") for x in texts] + [changed(x, 3, lambda w: "other") for x in texts]
+    rows += [changed(texts[0], 20, lambda w: w + " and more of the"), "of the software " * 3000, " ".join(texts), texts[0][:300] + " gap " * 400 + texts[0][300:], "the license",
+             texts[1] + " MIT License. mit license", "GNU General Public License of the " * 50, "", "mit"]
+    got = {r.doc_id: r for r in m.scan(spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")).collect()}
+    assert {d: (r.n_base, r.labels, r.score) for d, r in got.items()} == {d: brute_licenses(x) for d, x in enumerate(rows)}
+    n = len(texts)
+    for start in (0, n, 2 * n, 3 * n):  # as they are, in capitals, with words left out, with words added
+        assert all(label in got[start + k].labels.split(",") for k, (_, label) in enumerate(m.TEXTS)), start
+    alone = m.scan(spark.createDataFrame([(k, x) for k, x in enumerate(rows[4 * n:5 * n])], "doc_id long, text string"), templates=())
+    assert all(r.labels == r.base_labels for r in alone.collect())  # every third word is another: no whole text, base phrases only
+    assert all(w == w.lower() for _, own, *_ in m.numbered() for w in own)
+    with pytest.raises(ValueError):
+        m.numbered(texts=(("too short", "x"),))
