@@ -50,8 +50,13 @@ STAGES = [("quality_rules", quality_rules), ("exact_dedup", exact_dedup), ("near
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows. The stages' tables lie in a new shared folder, which goes when the application ends."""
     docs = documents(spark, sf_dir)
     home = f"{ensure_checkpoint_dir(spark).rstrip('/')}/pipeline-{uuid.uuid4().hex}"
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(home)
+    files = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(folder)
+    files.deleteOnExit(folder)
     for k, (name, stage) in enumerate(STAGES):
         path = f"{home}/{k}_{name}"
         stage(spark, docs, sf_dir).write.parquet(path)
