@@ -4,7 +4,8 @@ A document hashes to 60 bits of the MD5 of its doc_id. A bucket is a prefix of t
 bucket over the byte limit splits, on its next bit, until every shard fits. Bytes are summed once by
 a prefix some bits longer than the expected depth and rolled up to all shorter prefixes, which gives
 the directory (depth and prefix of every shard) without moving a document; buckets that need more
-bits go through another such pass alone. Documents find their shard by depth and prefix, so a shard
+bits go through another such pass alone. What a pass decides is written once, so that asking whether
+another is due does not work it out again. Documents find their shard by depth and prefix, so a shard
 far deeper than the others costs no more than they do.
 
 Defined cases: a null text has no bytes. A null doc_id hashes like the empty string. Rows that
@@ -40,7 +41,7 @@ def _roll_up(fine: DataFrame, low: int, high: int) -> DataFrame:
 
 
 def directory(hashed: DataFrame, limit: int) -> DataFrame:
-    """(depth, prefix, shard_bytes) of every shard of ``hashed(h long, n_bytes long)``."""
+    """(depth, prefix, shard_bytes) of every shard of ``hashed(h long, n_bytes long)``, read from staged files."""
     total = hashed.agg(F.sum("n_bytes")).first()[0] or 0
     high = min(BITS, max(0, math.ceil(math.log2(max(1, total / limit)))) + STEP)
     low, left, found = 0, hashed, []
@@ -52,8 +53,10 @@ def directory(hashed: DataFrame, limit: int) -> DataFrame:
         parents = levels.where(over).select((F.col("depth") + 1).alias("depth"), F.col("prefix").alias("_parent"))
         made = levels.where(F.col("depth") == low).unionByName(
             levels.join(parents, (levels["depth"] == parents["depth"]) & (F.shiftright(levels["prefix"], 1) == parents["_parent"]), "left_semi"))
-        found.append(made.where(~over).select("depth", "prefix", F.col("bytes").alias("shard_bytes")))
-        rest = made.where(over & (F.col("depth") == high)).select(F.col("prefix").alias("_split"))
+        split = over & (F.col("depth") == high)
+        decided = stage(made.where(~over | split).select("depth", "prefix", F.col("bytes").alias("shard_bytes"), split.alias("split")), "directory")
+        found.append(decided.where(~F.col("split")).drop("split"))
+        rest = decided.where("split").select(F.col("prefix").alias("_split"))
         if high == BITS or rest.isEmpty():
             break
         left = left.join(rest, _prefix(F.col("h"), high) == F.col("_split"), "left_semi")
@@ -68,7 +71,7 @@ def shard(docs: DataFrame, limit: int) -> DataFrame:
     """(doc_id, n_bytes, shard, depth, shard_bytes) of each row; ``shard`` is the prefix in binary."""
     hashed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), hash_bits(F.col("doc_id")).alias("h"),
                          F.coalesce(F.octet_length("text"), F.lit(0)).cast("long").alias("n_bytes"))
-    shards = stage(directory(hashed.select("h", "n_bytes"), limit), "directory")
+    shards = directory(hashed.select("h", "n_bytes"), limit)
     # a document meets its shard at one of the depths that occur, which are 61 at most
     depths = [r[0] for r in shards.select("depth").distinct().collect()] or [0]
     probes = hashed.withColumn("_depth", F.explode(F.array(*[F.lit(d) for d in sorted(depths)])))

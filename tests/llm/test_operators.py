@@ -315,6 +315,16 @@ def test_long_white_space_is_encoded(spark):
     assert [r.length for r in got] == [len(own.encode(rows[0], add_special_tokens=False).ids) + 1]
 
 
+def test_sharding_decides_each_pass_once(spark):
+    """The directory is read from files: neither the question for another pass nor a later reader sums the bytes again."""
+    rows = [(k, 300) for k in range(4)] + [(k << 50, 300) for k in range(1, 9)]
+    hashed = spark.createDataFrame(rows, "h long, n_bytes long")
+    found = sharding.directory(hashed, 400)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Relation" in plan and "Aggregate" not in plan and "LogicalRDD" not in plan and "LocalRelation" not in plan
+    assert sum(r.shard_bytes for r in found.collect()) == 12 * 300 and max(r.depth for r in found.collect()) == sharding.BITS
+
+
 def test_sharding_with_one_deep_shard(spark):
     hashes = sorted((int(hashlib.md5(str(d).encode()).hexdigest()[:15], 16), d) for d in range(200_000))
     (a, x), (b, y) = min(zip(hashes, hashes[1:]), key=lambda p: p[0][0] ^ p[1][0])
